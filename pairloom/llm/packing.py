@@ -22,6 +22,7 @@ import bisect
 import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from math import ceil
 
 import numpy as np
@@ -86,6 +87,12 @@ class WordEncoder:
             return b"".join(map(self.words.__getitem__, words))
 
 
+@lru_cache(maxsize=1)
+def _encoder(tokenizer_file: str) -> WordEncoder:
+    """One for each Python worker, so that its caches outlive a task."""
+    return WordEncoder(tokenizer_file)
+
+
 def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """Pieces of every document: doc_id, piece, start, length, ids_crc32, and on request ``ids`` (array of int)."""
     bound_batches(docs.sparkSession)
@@ -93,7 +100,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY,
     width = 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = WordEncoder(tokenizer_file), END_ID.to_bytes(4, "little")
+        encoder, end = _encoder(tokenizer_file), END_ID.to_bytes(4, "little")
         for batch in batches:
             of, piece, start, length, crc, ids = [], [], [], [], [], []
             for row, text in enumerate(texts(batch.column(1))):
@@ -217,13 +224,14 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     ranked = ranked.select(*pieces.columns, (F.col("_before") + F.col("_rank") - 1).alias("_rank"))
     sent = spark.sparkContext.broadcast(segments)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
-    at, keep = pieces.columns.index("length"), len(pieces.columns)
+    names = pieces.columns
+    at, keep = names.index("length"), len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = batch.columns
             sequence, offset = place(sent.value, columns[at].to_numpy(), columns[keep].to_numpy().astype(np.int64)) if len(batch) else (np.empty(0, np.int64),) * 2
-            yield pa.RecordBatch.from_arrays([*columns[:keep], pa.array(sequence), pa.array(offset)], names=[*pieces.columns, "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([*columns[:keep], pa.array(sequence), pa.array(offset)], names=[*names, "sequence_id", "offset"])
 
     return ranked.mapInArrow(run, schema)
 

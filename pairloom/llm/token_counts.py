@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
@@ -188,6 +189,12 @@ class PrefixCounter:
         return max(i for i, c in enumerate(counts) if c <= budget)
 
 
+@lru_cache(maxsize=1)
+def _counter(model_file: str) -> PrefixCounter:
+    """One for each Python worker, so that its caches outlive a task."""
+    return PrefixCounter(model_file)
+
+
 def count_tokens(docs: DataFrame, model_file: str, limit: int = TOKEN_LIMIT, id_column: str = "doc_id", text_column: str = "text", with_prefixes: bool = False) -> DataFrame:
     """One row per document: its id, n_bytes, n_tokens, over_limit, and on request ``prefix_tokens``.
 
@@ -198,7 +205,7 @@ def count_tokens(docs: DataFrame, model_file: str, limit: int = TOKEN_LIMIT, id_
     id_type = docs.schema[id_column].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PrefixCounter(model_file)
+        counter = _counter(model_file)
         for batch in batches:
             n_bytes, n_tokens, prefixes = [], [], []
             for text in texts(batch.column(1)):
