@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pairloom.llm.packing import op4_best_fit_packing
+from pairloom.llm.simhash import op1_simhash
 from pairloom.llm.token_counts import op9_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op9_token_counts": op9_token_counts,
 }
