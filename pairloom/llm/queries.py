@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pairloom.llm.packing import op4_best_fit_packing
+from pairloom.llm.pii import op7_pii
 from pairloom.llm.quality import op10_quality_rules
 from pairloom.llm.simhash import op1_simhash
 from pairloom.llm.token_counts import op9_token_counts
@@ -15,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op10_quality_rules": op10_quality_rules,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op7_pii": op7_pii,
     "op9_token_counts": op9_token_counts,
 }
 
