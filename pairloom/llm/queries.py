@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pairloom.llm.licenses import op8_licenses
 from pairloom.llm.packing import op4_best_fit_packing
 from pairloom.llm.pii import op7_pii
 from pairloom.llm.quality import op10_quality_rules
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op7_pii": op7_pii,
+    "op8_licenses": op8_licenses,
     "op9_token_counts": op9_token_counts,
 }
 
