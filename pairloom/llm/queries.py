@@ -12,6 +12,7 @@ from pairloom.llm.pii import op7_pii
 from pairloom.llm.quality import op10_quality_rules
 from pairloom.llm.simhash import op1_simhash
 from pairloom.llm.token_counts import op9_token_counts
+from pairloom.llm.topk import op6_topk
 from pairloom.llm.url_filter import op5_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_url_filter": op5_url_filter,
+    "op6_topk": op6_topk,
     "op7_pii": op7_pii,
     "op8_licenses": op8_licenses,
     "op9_token_counts": op9_token_counts,
