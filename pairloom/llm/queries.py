@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pairloom.llm.html_text import op2_html_text
 from pairloom.llm.licenses import op8_licenses
 from pairloom.llm.packing import op4_best_fit_packing
 from pairloom.llm.pii import op7_pii
@@ -18,6 +19,7 @@ from pairloom.llm.url_filter import op5_url_filter
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op10_quality_rules": op10_quality_rules,
+    "op2_html_text": op2_html_text,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_url_filter": op5_url_filter,
     "op6_topk": op6_topk,
