@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pairloom.llm.html_text import op2_html_text
 from pairloom.llm.licenses import op8_licenses
+from pairloom.llm.mixing import op3_mixing
 from pairloom.llm.packing import op4_best_fit_packing
 from pairloom.llm.pii import op7_pii
 from pairloom.llm.quality import op10_quality_rules
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op10_quality_rules": op10_quality_rules,
     "op2_html_text": op2_html_text,
+    "op3_mixing": op3_mixing,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_url_filter": op5_url_filter,
     "op6_topk": op6_topk,
