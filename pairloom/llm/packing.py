@@ -35,7 +35,7 @@ from pairloom.llm.common import bound_batches, cut_lineage, distinct_names, read
 CAPACITY = 4096
 END_ID = 1
 #: Entries of a worker's word caches; when full, a cache starts anew.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 900_000
 #: Pieces of one length that meet in one ranking group, about.
 RANK_GROUP = 100_000
 #: The most segments a plan may have, 48 bytes each; from capacity and run splitting, checked before it is sent.
@@ -55,36 +55,66 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closing = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a run
+        self.closing[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self.words: dict[str, bytes] = {"": b""}
         self.parts: dict[str, bytes] = {"": b""}
 
     def _library(self, words: list[str]) -> dict[str, bytes]:
-        encoded = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        return {w: np.array(e.ids, dtype="<u4").tobytes() for w, e in zip(words, encoded, strict=True)}
+        """Words of letters are one run of tokens each, so they are encoded as one text and cut after closing tokens."""
+        letters = [w for w in words if w.isalpha()]
+        found: dict[str, bytes] = {}
+        if letters:
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(letters)], add_special_tokens=False)[0].ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.closing[ids]) + 1)).tolist()
+            if len(ends) == len(letters):
+                raw = ids.tobytes()
+                found = {w: raw[i:j] for w, i, j in zip(letters, [0, *ends], ends, strict=False)}
+        rest = [w for w in words if w not in found]
+        encoded = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+        return found | {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(rest, encoded, strict=True)}
 
     def learn(self, words: set[str]) -> None:
         """Add missing words. Closing punctuation after plain letters and digits is a token run of its own."""
-        if len(self.words) >= CACHE_ENTRIES:
+        if len(self.words) + len(words) > CACHE_ENTRIES:
             self.words = {"": b""}
         if len(self.parts) >= CACHE_ENTRIES:
             self.parts = {"": b""}
         split = {}
         for w in words:
             base = w.rstrip(".,;:!?")
-            split[w] = (base.lower(), w[len(base) :]) if base.isascii() and base.isalnum() else (w, "")
+            if base.isalpha() and "İ" not in base:  # its lower case ends in a mark, which would join the punctuation
+                split[w] = (base.lower() if base.isascii() else base, w[len(base) :])
+            else:
+                split[w] = (w, "")
         parts = self.parts
         if missing := [p for p in {p for pair in split.values() for p in pair} if p not in parts]:
-            for k in range(0, len(missing), 10_000):
-                parts.update(self._library(missing[k : k + 10_000]))
+            for k in range(0, len(missing), 2_000):
+                parts.update(self._library(missing[k : k + 2_000]))
         self.words.update((w, parts[a] + parts[b]) for w, (a, b) in split.items())
 
-    def encode(self, text: str) -> bytes:
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        try:
-            return b"".join(map(self.words.__getitem__, words))
-        except KeyError:
-            self.learn({w for w in words if w not in self.words} if len(self.words) < CACHE_ENTRIES else set(words))
-            return b"".join(map(self.words.__getitem__, words))
+    def encode(self, some: list[str]) -> list[bytes]:
+        """Ids of texts; what is missing in the cache is learnt for all of them at once."""
+        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in some]
+        missing = set().union(*split).difference(self.words)
+        if missing:
+            full = len(self.words) + len(missing) > CACHE_ENTRIES
+            self.learn(set().union(*split) if full else missing)
+        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+
+
+def _groups(some: Iterator[str], characters: int = 1 << 20) -> Iterator[list[str]]:
+    """Texts in runs of about so many characters, one text at least."""
+    group, size = [], 0
+    for text in some:
+        group.append(text)
+        size += len(text)
+        if size >= characters:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
 
 
 @lru_cache(maxsize=1)
@@ -102,9 +132,9 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = _encoder(tokenizer_file), END_ID.to_bytes(4, "little")
         for batch in batches:
-            of, piece, start, length, crc, ids = [], [], [], [], [], []
-            for row, text in enumerate(texts(batch.column(1))):
-                whole = encoder.encode(text) + end
+            of, piece, start, length, crc, ids_of = [], [], [], [], [], []
+            encoded = (ids for group in _groups(texts(batch.column(1))) for ids in encoder.encode(group))
+            for row, whole in enumerate(e + end for e in encoded):
                 for k in range(0, len(whole), width):
                     part = whole[k : k + width]
                     of.append(row)
@@ -113,11 +143,11 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY,
                     length.append(len(part) // 4)
                     crc.append(zlib.crc32(part))
                     if with_ids:
-                        ids.append(np.frombuffer(part, "<u4").astype("i4"))
+                        ids_of.append(np.frombuffer(part, "<u4").astype("i4"))
             columns = [batch.column(0).take(pa.array(of, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
             names = list(PIECE_COLUMNS)
             if with_ids:
-                columns, names = [*columns, pa.array(ids, pa.list_(pa.int32()))], [*names, "ids"]
+                columns, names = [*columns, pa.array(ids_of, pa.list_(pa.int32()))], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
