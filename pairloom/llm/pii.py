@@ -138,19 +138,20 @@ def written(spans: Column) -> Column:
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; n_chars, where there is one, follows."""
-    found = personal_data(docs).filter(F.size("spans") > 0).select("_key", "spans").dropDuplicates(["_key"])
+    key, spans, until = "_pii_key", F.col("_pii_spans"), F.col("_pii_until")
+    found = personal_data(docs).filter(F.size("spans") > 0).select(F.col("_key").alias(key), F.col("spans").alias("_pii_spans")).dropDuplicates([key])
     text = F.coalesce("text", F.lit(""))
-    keyed = docs.withColumn("_key", F.struct(F.xxhash64("doc_id", text).alias("a"), F.xxhash64(text, F.lit(1), "doc_id").alias("b")))
-    df = keyed.join(found, "_key", "left").withColumn("_until", running(F.transform("spans", lambda s: s["end"]), lambda a, b: F.greatest(a, b), 0))
+    keyed = docs.withColumn(key, F.struct(F.xxhash64("doc_id", text).alias("a"), F.xxhash64(text, F.lit(1), "doc_id").alias("b")))
+    df = keyed.join(found, key, "left").withColumn("_pii_until", running(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b), 0))
     # each span with the end of what stands before it; overlapped ones add nothing
     cut = F.transform(
-        F.sequence(F.lit(0), F.size("spans") - 1),
-        lambda i: F.struct(F.when(i > 0, F.get("_until", i - 1)).otherwise(F.lit(0)).alias("from"), F.get("spans", i)["start"].alias("to"), F.get("spans", i)["kind"].alias("kind")),
+        F.sequence(F.lit(0), F.size(spans) - 1),
+        lambda i: F.struct(F.when(i > 0, F.get(until, i - 1)).otherwise(F.lit(0)).alias("from"), F.get(spans, i)["start"].alias("to"), F.get(spans, i)["kind"].alias("kind")),
     )
     pieces = F.transform(F.filter(cut, lambda c: c["from"] <= c["to"]), lambda c: F.concat(F.substring(F.col("text"), (c["from"] + 1).cast("int"), (c["to"] - c["from"]).cast("int")), F.lit("["), F.upper(c["kind"]), F.lit("]")))
-    rest = F.substring(F.col("text"), (F.element_at("_until", -1) + 1).cast("int"), F.lit(2**31 - 1))
-    df = df.withColumn("_clean", F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.concat(F.array_join(pieces, ""), rest)))
-    new = {"text": F.col("_clean"), "n_chars": F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length("_clean").cast("long"))} if "n_chars" in docs.columns else {"text": F.col("_clean")}
+    rest = F.substring(F.col("text"), (F.element_at(until, -1) + 1).cast("int"), F.lit(2**31 - 1))
+    df = df.withColumn("_pii_clean", F.when(spans.isNull(), F.col("text")).otherwise(F.concat(F.array_join(pieces, ""), rest)))
+    new = {"text": F.col("_pii_clean"), "n_chars": F.when(spans.isNull(), F.col("n_chars")).otherwise(F.length("_pii_clean").cast("long"))} if "n_chars" in docs.columns else {"text": F.col("_pii_clean")}
     return df.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 

@@ -161,8 +161,8 @@ def judged(assessed: DataFrame, model: list[tuple[float, float]]) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept; texts are read twice, for the model and for the verdicts."""
     model = learn(assess(docs))
-    kept = judged(assess(docs.withColumn("_row_text", F.col("text")), (*docs.columns, "_row_text")), model).filter("kept")
-    return kept.select(*[F.col("_row_text" if c == "text" else f"`{c}`").alias(c) for c in docs.columns])
+    whole = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))  # apart from columns made here
+    return judged(assess(whole, ("_row",)), model).filter("kept").select("_row.*")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,85 @@
+import hashlib
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from pairloom.llm import pii
+
+PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def luhn(digits):
+    return sum(d if k % 2 == 0 else 2 * d - 9 * (d > 4) for k, d in enumerate(map(int, reversed(digits)))) % 10 == 0
+
+
+def brute(text):
+    counts, spans = dict.fromkeys(PATTERNS, 0), []
+    for k, (kind, pattern) in enumerate(PATTERNS.items()):
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m.group())
+            if {"email": True, "ip": kind == "ip" and max(map(int, m.group().split("."))) <= 255, "card": 12 <= len(digits) <= 19 and luhn(digits), "phone": 9 <= len(digits) <= 15}[kind]:
+                counts[kind] += 1
+                spans.append((m.start(), k, f"{kind}:{m.start()}:{m.end()}"))
+    return tuple(counts.values()), ",".join(s for _, _, s in sorted(spans))
+
+
+def found(docs):
+    return pii.personal_data(docs).select("doc_id", *[F.size(k) for k in pii.KINDS], pii.written(F.col("base")), pii.written(F.col("spans"))).collect()
+
+
+def test_spans_against_plain_patterns(spark):
+    rnd = random.Random(3)
+    parts = [*"aB.@-+1 45()é\n😀_", "a@b.c", "1.2.3.4", "4111 1111 1111 1111", "+1 (555) 123-4567", "256.1.1.1", "4111111111111111", "@x.y", ".com", "001.2.3.04"]
+    rows = [(i, "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 60)))) for i in range(2000)]
+    for r in found(spark.createDataFrame(rows, "doc_id long, text string")):
+        assert (tuple(r[1:5]), r[5]) == brute(rows[r[0]][1])
+
+
+def test_long_runs_cost_linear_time(spark):
+    rows = [(1, "1 " * 20000), (2, "a" * 200000), (3, "a@b.co " * 2000), (4, "1" * 200000), (5, "+" * 1000 + "1-" * 20000), (6, "a." * 50000), (7, "1." * 50000)]
+    got = {r[0]: r for r in found(spark.createDataFrame(rows, "doc_id long, text string"))}
+    assert got[3][1] == 2000
+    assert got[7][2] == 12500
+    assert len(got) == 7
+
+
+def test_query(spark, texts):
+    from .conftest import DATA
+
+    for r in pii.op7_pii(spark, DATA).collect():
+        counts, spans = brute(texts[r["doc_id"]])
+        assert (r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]) == counts
+        assert r["base_sha256"] == hashlib.sha256(spans.encode()).hexdigest()
+        assert set(filter(None, spans.split(","))) <= set(r["spans"].split(","))
+
+
+def test_contexts_of_seeds_find_more(spark):
+    rows = [(i, f"please contact user id: K{i}X{i * 7919 % 1000003} now" if i == 1 else f"please contact user id: a{i}@b.com now") for i in range(40)]
+    rows += [(100 + i, f"order number is: Z{i}77{i} then") for i in range(20)]
+    got = {r[0]: r[6] for r in found(spark.createDataFrame(rows, "doc_id long, text string"))}
+    assert got[1] == "found:24:31"
+    assert got[100] == ""
+
+
+def test_redaction(spark):
+    rows = [(1, "é a@b.co, 4111111111111111."), (2, "clean"), (3, None), (4, "+1 (555) 123-4567"), (4, "+1 (555) 123-4567"), (4, "other 1.2.3.4 end")]
+    docs = spark.createDataFrame([(i, t, len(t or "")) for i, t in rows], "doc_id long, text string, n_chars long").withColumn("spans", F.lit(1))
+    got = sorted(((r["doc_id"], r["text"], r["n_chars"]) for r in pii.redact(docs).collect()), key=repr)
+    assert got == sorted([(1, "é [EMAIL], [CARD].", 18), (2, "clean", 5), (3, None, 0), (4, "[PHONE]", 7), (4, "[PHONE]", 7), (4, "other [IP] end", 14)], key=repr)
+
+
+def test_overlapping_spans_are_covered(spark):
+    docs = spark.createDataFrame([(1, "x 4111111111111111@b.co y")], "doc_id long, text string")
+    assert pii.redact(docs).first()["text"] == "x [EMAIL] y"
+
+
+def test_odd_rows(spark, odd):
+    assert [r[5] for r in found(odd)] == [""] * odd.count()
+    assert pii.redact(odd).columns == odd.columns
+    assert pii.redact(odd).count() == odd.count()
+    assert pii.personal_data(odd.limit(0)).count() == 0
+
+
+def test_no_python_on_the_way(spark, odd):
+    assert "Python" not in pii.personal_data(odd)._jdf.queryExecution().toString()
