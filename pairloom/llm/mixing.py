@@ -19,6 +19,7 @@ with no tokens at all every row is taken once. Extra columns are kept as they ar
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import log
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -100,17 +101,23 @@ def plan(docs: DataFrame, repetition_limit: float | None = REPETITION_LIMIT, ent
     blocks = F.greatest(F.lit(1), F.ceil(F.col("rows") / BLOCK_ROWS)).cast("long")
     fine = weighed.select(*key, "rest", blocks.alias("blocks"), F.greatest(F.lit(1), F.ceil(F.sqrt(blocks))).cast("long").alias("wide"))
     block = F.floor(F.col("at") / F.lit(float(_SCALE)) * F.col("blocks")).cast("long")
-    dealt = narrow.join(fine.filter("rest > 0"), key).withColumn("block", F.least(block, F.col("blocks") - 1)).withColumn("super", F.floor(F.col("block") / F.col("wide")).cast("long"))
+    small = _few(weighed)
+    dealt = narrow.join(small(fine.filter("rest > 0")), key).withColumn("block", F.least(block, F.col("blocks") - 1)).withColumn("super", F.floor(F.col("block") / F.col("wide")).cast("long"))
     # the super-block, then the block, then the row in which the budget ends
     supers = dealt.groupBy(*key, "super", "rest").agg(F.sum("tokens").alias("n"))
-    in_super = _ends_in(supers, key, "super")
-    blocks_of = dealt.join(in_super.select(*key, "super", "rest").withColumnRenamed("rest", "left"), [*key, "super"]).groupBy(*key, "block", "left").agg(F.sum("tokens").alias("n"))
+    in_super = small(_ends_in(supers, key, "super"))
+    blocks_of = dealt.join(in_super.withColumnRenamed("rest", "left"), [*key, "super"]).groupBy(*key, "block", "left").agg(F.sum("tokens").alias("n"))
     in_block = cut_lineage(_ends_in(blocks_of.withColumnRenamed("left", "rest"), key, "block"))
-    rows_of = dealt.drop("rest").join(in_block.select(*key, "block", "rest"), [*key, "block"]).groupBy(*key, "at", "rest").agg(F.sum("tokens").alias("n"))
+    rows_of = dealt.drop("rest").join(small(in_block.select(*key, "block", "rest")), [*key, "block"]).groupBy(*key, "at", "rest").agg(F.sum("tokens").alias("n"))
     cut = _ends_in(rows_of, key, "at").select(*key, F.col("at").alias("cut"))
     return cut_lineage(weighed.join(cut, key, "left").select(*key, "tokens", "rows", "p", "weight", "budget", "epochs", F.coalesce("cut", F.lit(0)).alias("cut")))
 
 
+def _few(sources: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """What marks tables of one row a source for broadcast, if there are few enough sources."""
+    return F.broadcast if sources.count() <= BROADCAST_SOURCES else lambda df: df
+
+
 def _ends_in(parts: DataFrame, key: list[str], order: str) -> DataFrame:
     """Of each source's parts (with n tokens), the one in which ``rest`` tokens end, with what is left of them there.
 
@@ -121,17 +128,19 @@ def _ends_in(parts: DataFrame, key: list[str], order: str) -> DataFrame:
 
 
 def mix(docs: DataFrame, seed: int = SEED, **target: float | int | None) -> DataFrame:
-    """The rows of ``docs``, each as often as its source's budget asks, with ``epoch`` (from 1) and ``place`` (0 to 1) in the mixture.
+    """The rows of ``docs``, each as often as its source's budget asks, with ``epoch`` (from 1) and ``place`` (0 to 1) in the mixture,
+    instead of columns of those names.
 
     Rows lie in the mixture by ``place``; for ``target`` see ``plan``.
     """
-    planned = plan(docs, seed=seed, **target).select("_s", "_no", "epochs", "cut", F.when(F.col("tokens") > 0, F.col("budget") / F.col("tokens")).otherwise(F.lit(1.0)).alias("_times"))
-    few = planned.count() <= BROADCAST_SOURCES
-    keyed = docs.select("*", *_source_key(docs), _place(docs, seed).alias("_at")).join(F.broadcast(planned) if few else planned, ["_s", "_no"])
-    times = F.col("epochs") + F.when(F.col("_at") < F.col("cut"), F.lit(1)).otherwise(F.lit(0))
-    taken = keyed.withColumn("_times_taken", times.cast("int")).filter("_times_taken > 0").withColumn("epoch", F.explode(F.sequence(F.lit(1), F.col("_times_taken"))))
-    place = (F.col("epoch") - 1 + F.col("_at") / F.lit(float(_SCALE))) / F.greatest(F.col("_times"), F.lit(1e-12))
-    return taken.select(*docs.columns, "epoch", F.least(place, F.lit(1.0)).alias("place"))
+    times = F.when(F.col("tokens") > 0, F.col("budget") / F.col("tokens")).otherwise(F.lit(1.0))
+    planned = plan(docs, seed=seed, **target).select(F.struct("_s", "_no").alias("_mix_source"), F.struct("epochs", "cut", times.alias("times")).alias("_mix"))
+    keyed = docs.select("*", F.struct(*_source_key(docs)).alias("_mix_source"), _place(docs, seed).alias("_mix_at")).join(_few(planned)(planned), "_mix_source")
+    taken = F.col("_mix.epochs") + F.when(F.col("_mix_at") < F.col("_mix.cut"), F.lit(1)).otherwise(F.lit(0))
+    rows = keyed.withColumn("_mix_taken", taken.cast("int")).filter("_mix_taken > 0").withColumn("_mix_epoch", F.explode(F.sequence(F.lit(1), F.col("_mix_taken"))))
+    place = (F.col("_mix_epoch") - 1 + F.col("_mix_at") / F.lit(float(_SCALE))) / F.greatest(F.col("_mix.times"), F.lit(1e-12))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("epoch", "place")]
+    return rows.select(*kept, F.col("_mix_epoch").alias("epoch"), F.least(place, F.lit(1.0)).alias("place"))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
