@@ -30,8 +30,7 @@ SIMILARITY = 0.8
 WORDS, COMPARED, BLOCK_BITS = 10, 4, 16
 #: Fingerprints of near copies at the similarity differ in more bits than expected half of the time; this many deviations are allowed.
 DEVIATIONS = 1.0
-#: Fingerprints of a bucket beyond which it is dealt again: near copies of 0.8 then have to agree in a second block, of
-#: sixteen, which seven of ten do in each hot bucket that they share.
+#: Fingerprints of a bucket beyond which it is cut into parts, every two of which meet: no pair is lost.
 BUCKET_LIMIT = 20_000
 _MIX = np.random.Generator(np.random.PCG64(SEED)).integers(1, 1 << 63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -163,10 +162,10 @@ def near_copy_links(fps: DataFrame, limit: int) -> DataFrame:
             yield solved(held)
 
     rows = fps.select("node", "fp").mapInArrow(dealt, ", ".join(f"{c} long" for c in names))
-    hot = cut_lineage(rows.groupBy("bucket").count().filter(F.col("count") > BUCKET_LIMIT).select("bucket"))
-    if not hot.isEmpty():  # dealt again by the blocks of the compared fingerprints
-        more = [F.xxhash64("bucket", F.lit(f"{w}.{b}"), F.shiftrightunsigned(f"w{w}", b).bitwiseAND(F.lit(2**BLOCK_BITS - 1))) for w in range(COMPARED) for b in range(0, 64, BLOCK_BITS)]
-        again = rows.join(hot, "bucket", "left_semi").withColumn("bucket", F.explode(F.array(*more))).select(*names)
+    hot = cut_lineage(rows.groupBy("bucket").count().filter(F.col("count") > BUCKET_LIMIT).select("bucket", F.ceil(2 * F.col("count") / BUCKET_LIMIT).cast("int").alias("parts")))
+    if not hot.isEmpty():  # a row goes to the meetings of its part with each part
+        parted = rows.join(hot, "bucket").withColumn("part", F.pmod(F.xxhash64("node", "bucket"), "parts")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        again = parted.withColumn("bucket", F.xxhash64("bucket", F.least("part", "other"), F.greatest("part", "other"))).select(*names)
         rows = rows.join(hot, "bucket", "left_anti").select(*names).unionByName(again)
     return rows.repartition("bucket").sortWithinPartitions("bucket", gray_rank(F.col("w0"))).mapInArrow(run, "a long, b long").distinct()
 

@@ -88,6 +88,23 @@ def test_index_finds_what_brute_force_finds():
     assert label.tolist() == [find(i) for i in range(len(values))]
 
 
+def test_hot_buckets_lose_no_pair(spark, monkeypatch):
+    """The fingerprints agree in one block of the last word alone; two of them differ in 32 of the compared bits."""
+    monkeypatch.setattr(near_copies, "BUCKET_LIMIT", 4)
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 16, 16, dtype=np.uint16)
+    wide = rng.integers(0, 1 << 16, (14, 4 * near_copies.WORDS), dtype=np.uint16)
+    wide[:, :16] = base ^ (np.uint16(1) << np.arange(14, dtype=np.uint16))[:, None]
+    wide[:, -1] = 7
+    fps = spark.createDataFrame([(k, bytearray(w.tobytes())) for k, w in enumerate(wide)], "node long, fp binary")
+    edges = near_copies.near_copy_links(fps, 44).collect()
+    groups = {k: {k} for k in range(14)}
+    for e in edges:
+        both = groups[e["a"]] | groups[e["b"]]
+        groups |= dict.fromkeys(both, both)
+    assert groups[0] == set(range(14))
+
+
 def test_odd_rows(spark, odd):
     rows = near_copies.near_copies(odd).collect()
     assert len(rows) == odd.count()
