@@ -1,8 +1,8 @@
 """Licence scan over a positional rare-token index (operator 8), in DataFrame functions only.
 
-A template is a licence's notice; its rarer words, with their places in it, make the index. A file's licence words of
-the highest inverse document frequency (over all files) are looked up in it; postings that agree on the distance
-between file and template place are counted together, weighed by that frequency. A template is named if its weight at
+A template is a licence's notice; its rarer words, with their places in it, make the index. All of a
+file's words that are in it are looked up; postings that agree on the distance between file and template place are
+counted together, weighed by inverse document frequency (over all files). A template is named if its weight at
 the best distance is high enough and its mandatory key phrase stands in the file.
 
 Words are runs of digits, A-Z taken as a-z, and all that is not ASCII; places count words from 0. Defined results: null
@@ -46,8 +46,6 @@ TEMPLATES = [
 # Template words too common to look up.
 COMMON = frozenset("a and any are by charge code copy form forms free general in into is of or person public source subject terms the this to under use version with without 0 2 3 4".split())
 
-#: Licence words of a file that are looked up.
-RAREST = 8
 #: Least share of a template's weight at the best distance.
 LEAST_SCORE = 0.6
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
@@ -102,9 +100,7 @@ def matched(found: DataFrame) -> DataFrame:
     n, df = found.count(), dict(map(tuple, counts.collect()))
     idf = {w: F.log(F.lit((n + 2) / (df.get(w, 0) + 1))) for w in RARE}
     weight = F.create_map(*[x for w in RARE for x in (F.lit(w), idf[w])])
-    known = F.array_distinct(F.transform("hits", lambda h: h["word"]))
-    rarest = F.slice(F.array_sort(F.transform(known, lambda w: F.struct((-weight[w]).alias("order"), w.alias("word")))), 1, RAREST)
-    hit = texts.select("_key", "keys", F.explode(F.filter("hits", lambda h: F.exists(rarest, lambda r: r["word"] == h["word"]))).alias("h")).select("_key", "keys", "h.word", "h.at")
+    hit = texts.select("_key", "keys", F.explode("hits").alias("h")).select("_key", "keys", "h.word", "h.at")
     postings = spark.createDataFrame(POSTINGS, "word string, template int, place int").withColumn("weight", weight[F.col("word")])
     whole = postings.groupBy("template").agg(F.sum("weight").alias("whole"))
     postings = F.broadcast(postings.join(whole, "template"))  # fixed size: the words of TEMPLATES

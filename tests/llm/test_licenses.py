@@ -42,6 +42,18 @@ def test_labels_of_notices(spark, monkeypatch):
 
 
 
+def test_no_notice_pushes_out_another(spark):
+    """Also where the words of one are in many more files than those of the others."""
+    notices = {label: notice for label, notice, _ in licenses.TEMPLATES}
+    every = " and ".join(f"x {n}" for n in notices.values())
+    rows = [(1, " x ".join(notices[k] for k in ("mit", "bsd", "unlicense"))), (2, every)]
+    rows += [(10 + k, "permission hereby granted obtaining software") for k in range(30)]
+    got = {r["doc_id"]: set(r["labels"]) for r in licenses.licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == {"mit", "bsd", "unlicense"}
+    assert got[2] >= set(notices)
+    assert got[10] == set()
+
+
 def test_query(spark, texts):
     from .conftest import DATA
 
