@@ -4,10 +4,10 @@ Pages of a host come from a template. A page is read as tokens: its elements, by
 its text blocks, by path and text. A token's occurrence vector is how often each page of the host has it; tokens with
 equal vectors make an equivalence class. A vector is carried as an exclusive-or of hashes of (page, count), which
 partial sums build before anything is shuffled, so a host with very many pages is no group that must meet in a task.
-Classes that enough pages and enough tokens share are valid; nested by their paths they are the template, and what
-lies between its tokens are the slots. An article or main element is the slot that is asked for; in a page without one
-it is the slot under a template element with the most text that isn't the template's own. Slots for menus, headers,
-footers, sidebars, notices, adverts, forms and comments, known by their elements, roles and class names, go.
+Classes that enough pages and enough tokens share are valid; their tokens together are the template, and what isn't
+its own text are the slots. Articles and main elements are the slots that are asked for; in a page without one all
+slots are. Slots are joined in page order. Those for menus, headers, footers, sidebars, notices, adverts, forms and
+comments, known by their elements, roles and class names, go.
 
 Text inside an article is never taken for the template's own, so copies of an article within a host stay whole.
 
@@ -46,7 +46,6 @@ DROPPED_WORDS = frozenset(
     " newsletter subscribe subscription comment comments commentlist respond reply replies disqus sidebar sidebars aside widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs"
     " masthead footer share sharing social related recommended recommendations toolbar pagination pager login signup search form".split()
 )
-TEXT_TAGS = CLOSED_BY_BLOCK | frozenset("h1 h2 h3 h4 h5 h6 li ul ol td tr tbody table dd dt dl blockquote pre".split())
 HEADER_WORDS = frozenset("header topbar site-header".split())
 MAIN = frozenset(["article", "main"])
 
@@ -73,7 +72,7 @@ class Element:
             unwanted = unwanted or tag not in ("html", "body", "article", "main")
         self.dropped = unwanted or (above is not None and above.dropped)
         kind = "article" if tag == "article" else "main" if tag == "main" or named.get("role") == "main" else None
-        self.main = (above.main if inside and not (kind == "article" and above.main == "main") else kind) if not self.dropped else None
+        self.main = (above.main if inside else kind) if not self.dropped else None
 
 
 class Page:
@@ -125,22 +124,11 @@ class Page:
         end_block()
 
     def main_text(self, template: frozenset[int] | None) -> str:
-        """The blocks of the main slot; ``template`` has the tokens of the host's template, None if there is none."""
+        """The blocks of the slots in page order; ``template`` has the tokens of the host's template, None if there is none."""
         kept = [(e, t) for e, t in self.blocks if e is None or not e.dropped]
-        for kind in ("article", "main"):
-            if inside := [t for e, t in kept if e is not None and e.main == kind]:
-                return " ".join(inside)
-        slots: dict[str, list[str]] = {}
-        for e, t in kept:
-            path = e.path if e is not None else ""
-            if template is not None and token(path, t) in template:
-                continue
-            while template is not None and path and token(path) not in template:
-                path = path.rpartition("/")[0]
-            while template is None and path.rpartition("/")[2].partition(".")[0] in TEXT_TAGS:
-                path = path.rpartition("/")[0]
-            slots.setdefault(path, []).append(t)
-        return " ".join(max(slots.values(), key=lambda s: sum(map(len, s)), default=[]))
+        if inside := [t for e, t in kept if e is not None and e.main is not None]:
+            return " ".join(inside)
+        return " ".join(t for e, t in kept if template is None or token(e.path if e is not None else "", t) not in template)
 
 
 def token(path: str, text: str | None = None) -> int:

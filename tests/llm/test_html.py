@@ -30,6 +30,24 @@ def test_main_text(page, text):
     assert html_text.Page(page).main_text(None) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<body><h1>Title</h1><div class="content"><p>more than it</p></div></body>', "Title more than it"),
+        ("<main>body text <article>teaser</article> end</main>", "body text teaser end"),
+        ("<article>one</article>tail<main>two</main>", "one two"),
+    ],
+)
+def test_all_slots_in_page_order(page, text):
+    assert html_text.Page(page).main_text(None) == text
+
+
+def test_every_slot_of_a_template(spark):
+    page = lambda k: f'<body><div class="top">All pages say this</div><div class="lead">Lead {k}</div><div class="body"><p>Body {k} is longer</p></div></body>'
+    got = html_text.main_texts(pages(spark, [(k, f"http://h.example/{k}", page(k)) for k in range(6)])).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {k: f"Lead {k} Body {k} is longer" for k in range(6)}
+
+
 def pages(spark, rows):
     return spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, host string")
 
