@@ -9,7 +9,8 @@ its own text are the slots. Articles and main elements are the slots that are as
 slots are. Slots are joined in page order. Those for menus, headers, footers, sidebars, notices, adverts, forms and
 comments, known by their elements, roles and class names, go.
 
-Text inside an article is never taken for the template's own, so copies of an article within a host stay whole.
+The template thus decides only on pages without such an element; its classes are one flat set and aren't nested. Text
+inside an article is never taken for the template's own, so copies of an article within a host stay whole.
 
 Defined results: null and empty pages have an empty text; a host with too few pages has no template, its elements then
 all count as one; every row gets one row, repeated rows alike; columns beyond id, url and html are not read.
