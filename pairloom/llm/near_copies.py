@@ -5,8 +5,12 @@ J) is about the cosine of what a Jaccard similarity J leaves. 64 bits are too fe
 find pairs by blocks of equal bits, so this takes ``WORDS`` independent fingerprints of 64 bits. Each gives four blocks;
 documents that agree in a block of 16 bits meet in a bucket, where the index over Gray order links those whose first
 ``COMPARED`` fingerprints together differ in at most the limit. Near copies of similarity 0.8 agree in one of the 40
-blocks with a chance of 95 in 100, of 0.85 with 99 (measured on the test data: 195 of 196 and all); what is linked differs in fewer bits than the limit, while unlike
-texts differ in half of all bits, so they are left alone.
+blocks with a chance of 95 in 100, of 0.85 with 99 (measured on the test data: 195 of 196 and all), and stay within the limit of three deviations with
+99.8 in 100.
+
+Such pairs are candidates. Of each bucket the lightest forest of candidates is confirmed by the exact similarity of the
+sets of shingles; where one of its pairs fails, all candidates between the parts that are left are confirmed too. So
+candidates of the similarity are connected and no others are.
 
 Defined results as for operator 1.
 """
@@ -29,7 +33,7 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 WORDS, COMPARED, BLOCK_BITS = 10, 4, 16
 #: Fingerprints of near copies at the similarity differ in more bits than expected half of the time; this many deviations are allowed.
-DEVIATIONS = 1.0
+DEVIATIONS = 3.0
 #: Fingerprints of a bucket beyond which it is cut into parts, every two of which meet: no pair is lost.
 BUCKET_LIMIT = 20_000
 _MIX = np.random.Generator(np.random.PCG64(SEED)).integers(1, 1 << 63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -41,17 +45,23 @@ def bit_limit(similarity: float = SIMILARITY, bits: int = 64 * COMPARED) -> int:
     return floor(bits * share + DEVIATIONS * (bits * share * (1 - share)) ** 0.5)
 
 
-def wide_fingerprint(text: str, shingle_words: int = SHINGLE_WORDS) -> np.ndarray:
-    """``WORDS`` fingerprints of 64 bits from re-mixed shingle hashes; zeros for a text without words."""
+def shingle_set(text: str, shingle_words: int = SHINGLE_WORDS) -> np.ndarray:
+    """Hashes of a text's distinct shingles in order."""
     from xxhash import xxh64_intdigest
 
     words = text.encode("utf-8").translate(_LOWER).split()
-    found = np.zeros(WORDS, np.uint64)
     if not words:
-        return found
+        return np.zeros(0, np.uint64)
     k = min(shingle_words, len(words))
     n = len(words) - k + 1
-    hashes = np.fromiter((xxh64_intdigest(s, SEED) for s in map(b" ".join, zip(*(words[i : i + n] for i in range(k)), strict=True))), np.uint64, n)
+    return np.unique(np.fromiter((xxh64_intdigest(s, SEED) for s in map(b" ".join, zip(*(words[i : i + n] for i in range(k)), strict=True))), np.uint64, n))
+
+
+def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """``WORDS`` fingerprints of 64 bits from re-mixed shingle hashes; zeros for none."""
+    n, found = len(hashes), np.zeros(WORDS, np.uint64)
+    if not n:
+        return found
     padded = np.zeros(-(-n // 255) * 255, np.uint64)
     for w in range(WORDS):
         mixed = hashes * _MIX[w]
@@ -67,20 +77,33 @@ def wide_fingerprint(text: str, shingle_words: int = SHINGLE_WORDS) -> np.ndarra
     return found
 
 
+def text_key(text: F.Column) -> F.Column:
+    """Tells texts apart; null counts as empty."""
+    text = F.coalesce(text, F.lit(""))
+    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(text, F.lit(1)).alias("b"))
+
+
 def wide_fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp) for every row; fp has all fingerprints as bytes."""
+    """(doc_id, key_a, key_b, fp, shingles) for every row; fp has all fingerprints as bytes, shingles a hash of the set."""
     bound_batches(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([wide_fingerprint(t, shingle_words).tobytes() for t in texts(batch.column(1))], pa.binary())], names=["doc_id", "fp"])
+            fps, sums = [], np.zeros(len(batch), np.uint64)
+            for row, t in enumerate(texts(batch.column(1))):
+                hashes = shingle_set(t, shingle_words)
+                fps.append(wide_fingerprint(hashes).tobytes())
+                sums[row] = hashes.sum(dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(fps, pa.binary()), pa.array(sums.view(np.int64))], names=["doc_id", "key_a", "key_b", "fp", "shingles"])
 
-    return distinct_names(docs, "doc_id", "text").mapInArrow(run, f"doc_id {id_type}, fp binary")
+    key = text_key(F.col("text"))
+    rows = distinct_names(docs, "doc_id", "text").select("doc_id", "text", key["a"].alias("key_a"), key["b"].alias("key_b"))
+    return rows.mapInArrow(run, f"doc_id {id_type}, key_a long, key_b long, fp binary, shingles long")
 
 
-def stars(values: np.ndarray, first: np.ndarray, limit: int) -> np.ndarray:
-    """For each row the first row of its connected group in its bucket; rows of a bucket are in Gray order.
+def pairs(values: np.ndarray, first: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of rows of a bucket within the limit, with their differences; rows of a bucket are in Gray order.
 
     The index: nodes over runs of rows hold the bits that all of them share. A query's differences add up from the root
     down over bits that a node shares and its parent doesn't; groups beyond the limit are left out as a whole.
@@ -97,7 +120,6 @@ def stars(values: np.ndarray, first: np.ndarray, limit: int) -> np.ndarray:
         count = -(-count // FAN_OUT)
         if count.max() == 1:
             break
-    label = np.arange(len(values))
     bucket = np.repeat(np.arange(len(first)), sizes)
     ahead, at = np.cumsum(sizes[bucket]), 0
     while at < len(values):
@@ -114,22 +136,76 @@ def stars(values: np.ndarray, first: np.ndarray, limit: int) -> np.ndarray:
                 above = np.repeat(shared[node], n, axis=0)
                 child = np.repeat(starts[node] - (np.cumsum(n) - n), n) + np.arange(n.sum())
                 query, gathered, node = np.repeat(query, n), np.repeat(gathered, n), child
-        a, b = query[node < query], node[node < query]
-        while len(a):
-            x, y = label[a], label[b]
-            apart = x != y
-            if not apart.any():
-                break
-            a, b, x, y = a[apart], b[apart], x[apart], y[apart]
-            np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
-            while not np.array_equal(nearer := label[label], label):
-                label = nearer
+        once = node < query
+        yield query[once], node[once], gathered[once]
         at = to
+
+
+def joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels, each the first row of its group, with the groups of every pair joined."""
+    label = label.copy()
+    while len(a):
+        x, y = label[a], label[b]
+        apart = x != y
+        if not apart.any():
+            break
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while not np.array_equal(nearer := label[label], label):
+            label = nearer
+    return label
+
+
+def stars(values: np.ndarray, first: np.ndarray, limit: int) -> np.ndarray:
+    """For each row the first row of its connected group in its bucket."""
+    label = np.arange(len(values))
+    for a, b, _ in pairs(values, first, limit):
+        label = joined(label, a, b)
     return label
 
 
+def lightest(a: np.ndarray, b: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+    """Places of the pairs of a spanning forest of least weight, by rounds in which each group takes its lightest pair."""
+    order = np.lexsort((b, a, weight))
+    a, b = a[order], b[order]
+    label, alive, kept = np.arange(n), np.arange(len(a)), []
+    while True:
+        x, y = label[a[alive]], label[b[alive]]
+        apart = x != y
+        alive, x, y = alive[apart], x[apart], y[apart]
+        if not len(alive):
+            return order[np.concatenate(kept)] if kept else order[:0]
+        best = np.full(n, len(a))
+        np.minimum.at(best, x, alive)
+        np.minimum.at(best, y, alive)
+        kept.append(np.unique(best[best < len(a)]))
+        label = joined(label, a[kept[-1]], b[kept[-1]])
+
+
+def forest(values: np.ndarray, first: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of a spanning forest of least differences over the pairs within the limit."""
+    n = len(values)
+    a, b, d = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    label, heaviest = np.arange(n), np.zeros(n, np.int64)
+    for x, y, w in pairs(values, first, limit):
+        new = (label[x] != label[y]) | (w < heaviest[label[x]])  # others close a circle as its heaviest pair
+        if not new.any():
+            continue
+        a, b, d = np.concatenate([a, x[new]]), np.concatenate([b, y[new]]), np.concatenate([d, w[new]])
+        kept = lightest(a, b, d, n)
+        a, b, d = a[kept], b[kept], d[kept]
+        label, heaviest = joined(np.arange(n), a, b), np.zeros(n, np.int64)
+        np.maximum.at(heaviest, label[a], d)
+    return a, b
+
+
 def near_copy_links(fps: DataFrame, limit: int) -> DataFrame:
-    """Edges (a, b) among distinct fingerprints (columns node, fp), stars of the buckets' connected groups."""
+    """Pairs (a, b), a < b, within the limit among fingerprints (columns node, fp): spanning forests of the buckets.
+
+    With a column comp they are all pairs of unequal comp instead.
+    """
+    every = "comp" in fps.columns
+
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = len(batch)
@@ -137,16 +213,22 @@ def near_copy_links(fps: DataFrame, limit: int) -> DataFrame:
             bands = wide.view(np.uint16).reshape(n, -1).astype(np.int64) | np.arange(WORDS * 64 // BLOCK_BITS, dtype=np.int64) << 16
             each = bands.shape[1]
             compared = [pa.array(np.repeat(wide[:, w].view(np.int64), each)) for w in range(COMPARED)]
-            yield pa.RecordBatch.from_arrays([pa.array(bands.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), each)), *compared], names=["bucket", "node", *(f"w{w}" for w in range(COMPARED))])
+            if every:
+                compared.append(pa.array(np.repeat(batch.column(2).to_numpy(), each)))
+            yield pa.RecordBatch.from_arrays([pa.array(bands.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), each)), *compared], names=names)
 
-    names = ["bucket", "node", *(f"w{w}" for w in range(COMPARED))]
+    names = ["bucket", "node", *(f"w{w}" for w in range(COMPARED)), *(["comp"] if every else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def solved(rows: list[np.ndarray]) -> pa.RecordBatch:
-            key, nodes, values = rows[0], rows[1], np.stack([r.view(np.uint64) for r in rows[2:]], axis=1)
-            label = stars(values, np.flatnonzero(np.append(True, key[1:] != key[:-1])), limit)
-            moved = label != np.arange(len(label))
-            return pa.RecordBatch.from_arrays([pa.array(nodes[moved]), pa.array(nodes[label[moved]])], names=["a", "b"])
+        def solved(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            key, nodes, values = rows[0], rows[1], np.stack([r.view(np.uint64) for r in rows[2 : 2 + COMPARED]], axis=1)
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            for a, b in ((a, b) for a, b, _ in pairs(values, first, limit)) if every else [forest(values, first, limit)]:
+                if every:
+                    apart = rows[-1][a] != rows[-1][b]
+                    a, b = a[apart], b[apart]
+                x, y = nodes[a], nodes[b]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
         held: list[np.ndarray] | None = None
         for batch in batches:
@@ -156,12 +238,12 @@ def near_copy_links(fps: DataFrame, limit: int) -> DataFrame:
             held = rows if held is None else [np.concatenate(x) for x in zip(held, rows, strict=True)]
             whole = int(np.searchsorted(held[0], held[0][-1]))  # the last bucket may go on
             if whole:
-                yield solved([x[:whole] for x in held])
+                yield from solved([x[:whole] for x in held])
                 held = [x[whole:] for x in held]
         if held is not None:
-            yield solved(held)
+            yield from solved(held)
 
-    rows = fps.select("node", "fp").mapInArrow(dealt, ", ".join(f"{c} long" for c in names))
+    rows = fps.select("node", "fp", *(["comp"] if every else [])).mapInArrow(dealt, ", ".join(f"{c} long" for c in names))
     hot = cut_lineage(rows.groupBy("bucket").count().filter(F.col("count") > BUCKET_LIMIT).select("bucket", F.ceil(2 * F.col("count") / BUCKET_LIMIT).cast("int").alias("parts")))
     if not hot.isEmpty():  # a row goes to the meetings of its part with each part
         parted = rows.join(hot, "bucket").withColumn("part", F.pmod(F.xxhash64("node", "bucket"), "parts")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -170,14 +252,50 @@ def near_copy_links(fps: DataFrame, limit: int) -> DataFrame:
     return rows.repartition("bucket").sortWithinPartitions("bucket", gray_rank(F.col("w0"))).mapInArrow(run, "a long, b long").distinct()
 
 
+def confirmed(links: DataFrame, fps: DataFrame, docs: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
+    """(a, b, same) for every pair of ``links``: whether the sets of shingles have the similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            same = []
+            for s, t in zip(texts(batch.column(2)), texts(batch.column(3)), strict=True):
+                x, y = shingle_set(s, shingle_words), shingle_set(t, shingle_words)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                same.append(both >= similarity * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.bool_())], names=["a", "b", "same"])
+
+    links = cut_lineage(links)
+    nodes = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
+    keys = cut_lineage(nodes.join(fps, "node").select("node", "key"))
+    of_text = distinct_names(docs, "text").select(text_key(F.col("text")).alias("key"), "text").join(keys.select("key"), "key", "left_semi").dropDuplicates(["key"])
+    of_node = keys.join(of_text, "key").select("node", "text")
+    one = links.join(of_node.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    two = one.join(of_node.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    return cut_lineage(two.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, same boolean"))
+
+
+def _with_roots(found: DataFrame) -> DataFrame:
+    return found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
+
+
 def near_copies(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, component_id) for every row: component_id is the least id reached over links of that similarity or more."""
+    limit = bit_limit(similarity)
     of_docs = cut_lineage(wide_fingerprints(docs, shingle_words))
-    fps = cut_lineage(of_docs.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumn("node", F.xxhash64("fp")))
-    found = components(near_copy_links(fps, bit_limit(similarity)))
-    members = found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
+    fps = of_docs.groupBy("fp", "shingles").agg(F.min("doc_id").alias("least"), F.min(F.struct(F.col("key_a").alias("a"), F.col("key_b").alias("b"))).alias("key"))
+    fps = cut_lineage(fps.withColumn("node", F.xxhash64("fp", "shingles")))
+    tried = confirmed(near_copy_links(fps, limit), fps, docs, shingle_words, similarity)
+    good = tried.filter("same")
+    if not (wrong := tried.filter("NOT same")).isEmpty():  # what a forest's failed pair parts may still be joined by others
+        whole = cut_lineage(_with_roots(components(tried.select("a", "b"))))
+        doubtful = wrong.select(F.col("a").alias("node")).join(whole, "node").select("root").distinct()
+        parts = components(good.select("a", "b")).select("node", F.col("root").alias("part"))
+        rest = whole.join(doubtful, "root", "left_semi").join(fps, "node").join(parts, "node", "left").select("node", "fp", F.coalesce("part", "node").alias("comp"))
+        more = near_copy_links(cut_lineage(rest), limit).join(wrong, ["a", "b"], "left_anti")
+        good = good.unionByName(confirmed(more, fps, docs, shingle_words, similarity).filter("same"))
+    members = _with_roots(components(good.select("a", "b")))
     members = cut_lineage(members.join(fps.select("node", "least"), "node"))
     least = cut_lineage(members.groupBy("root").agg(F.min("least").alias("component_id")))
     linked = cut_lineage(members.join(least, "root").select("node", "component_id"))
-    of_fp = cut_lineage(fps.join(linked, "node", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")))
-    return of_docs.join(of_fp, "fp").select("doc_id", "component_id")
+    of_fp = cut_lineage(fps.join(linked, "node", "left").select("fp", "shingles", F.coalesce("component_id", "least").alias("component_id")))
+    return of_docs.join(of_fp, ["fp", "shingles"]).select("doc_id", "component_id")

@@ -105,6 +105,24 @@ def test_hot_buckets_lose_no_pair(spark, monkeypatch):
     assert groups[0] == set(range(14))
 
 
+def test_pairs_at_the_similarity_are_confirmed_exactly(spark):
+    """Of pairs just above it hardly any is lost to the limit of bits; none below it is linked."""
+    rnd, texts = random.Random(4), {}
+    for k in range(160):
+        base = [f"w{rnd.randrange(10**6)}" for _ in range(400)]
+        copy, changes = list(base), 8 if k < 80 else 11  # each takes five shingles of 396: 0.82 and 0.76
+        for c in range(changes):
+            copy[20 + 30 * c] = "other"
+        texts |= {2 * k: " ".join(base), 2 * k + 1: " ".join(copy)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(docs).collect()}
+    above = [jaccard(shingles(texts[2 * k]), shingles(texts[2 * k + 1])) >= 0.8 for k in range(160)]
+    assert above == [k < 80 for k in range(160)]
+    linked = [got[2 * k + 1] == 2 * k for k in range(160)]
+    assert sum(linked[:80]) >= 75
+    assert not any(linked[80:])
+
+
 def test_odd_rows(spark, odd):
     rows = near_copies.near_copies(odd).collect()
     assert len(rows) == odd.count()
