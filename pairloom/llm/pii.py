@@ -2,9 +2,11 @@
 
 Well-formed e-mail addresses, IPs, payment cards and phone numbers are the seeds. The two words before an instance are
 its lexical pattern. Instances, seeds and other tokens of an identifier's shape, and patterns make a bipartite graph
-whose scores are refined in turns: a pattern's confidence is the mean confidence of the distinct instances it
-extracts, an instance's that of its best pattern; patterns of high confidence and enough distinct instances are
-accepted, and what they extract beyond the seeds is added as kind ``found``.
+whose scores are refined in turns: a pattern's confidence is the share of sure ones among the distinct instances it
+extracts that are sure or speak against it. Seeds are sure, and so is what an accepted pattern extracts; an instance
+speaks against if it isn't sure and stands in another context too, of enough distinct instances and no sure one. Others
+are unknown and don't count. Patterns of high confidence and enough sure instances are accepted, and what they extract
+beyond the seeds is added as kind ``found``.
 
 Spans count code points from 0, ends are exclusive. Defined results: null and empty texts have no spans; every row gets
 one row, repeated rows alike; columns beyond id and text are not read. Patterns are possessive and anchored where a
@@ -101,14 +103,18 @@ def base_spans(docs: DataFrame) -> DataFrame:
 def accepted_patterns(seen: DataFrame) -> DataFrame:
     """Patterns (column pattern) to be trusted, from rows (pattern, instance, seed)."""
     edges = cut_lineage(seen.filter("pattern IS NOT NULL").groupBy("pattern", "instance").agg(F.max("seed").alias("seed")))
-    known = edges.withColumn("sure", F.col("seed").cast("double"))
+    known = edges.withColumn("sure", F.col("seed"))
     for turn in range(ROUNDS):
-        scores = known.groupBy("pattern").agg(F.avg("sure").alias("score"), F.sum(F.when(F.col("sure") >= CONFIDENCE, 1).otherwise(0)).alias("support"), F.min("seed").alias("only_seeds"))
-        good = cut_lineage(scores.filter((F.col("score") >= CONFIDENCE) & (F.col("support") >= SUPPORT)))
+        contexts = known.groupBy("pattern").agg(F.count("*").alias("n"), F.max("sure").alias("any_sure"))
+        ordinary = contexts.filter((F.col("n") >= SUPPORT) & ~F.col("any_sure")).select("pattern")
+        against = known.join(ordinary, "pattern", "left_semi").select("instance").distinct().withColumn("against", F.lit(1))
+        judged = known.join(cut_lineage(against), "instance", "left").groupBy("pattern")
+        scores = judged.agg(F.sum(F.when(F.col("sure"), 1).otherwise(0)).alias("support"), F.sum(F.when(~F.col("sure"), F.col("against"))).alias("against"), F.min("seed").alias("only_seeds"))
+        good = cut_lineage(scores.filter((F.col("support") >= SUPPORT) & (F.col("support") >= CONFIDENCE * (F.col("support") + F.coalesce("against", F.lit(0))))))
         if turn == ROUNDS - 1 or good.filter("NOT only_seeds").isEmpty():
             return good.select("pattern")
-        reached = edges.filter("NOT seed").join(good.select("pattern", "score"), "pattern").groupBy("instance").agg(F.max("score").alias("score"))
-        known = edges.join(cut_lineage(reached), "instance", "left").select("pattern", "instance", "seed", F.when(F.col("seed"), F.lit(1.0)).otherwise(F.coalesce("score", F.lit(0.0))).alias("sure"))
+        reached = cut_lineage(edges.filter("NOT seed").join(good.select("pattern"), "pattern").select("instance").distinct().withColumn("reached", F.lit(True)))
+        known = edges.join(reached, "instance", "left").select("pattern", "instance", "seed", (F.col("seed") | F.coalesce("reached", F.lit(False))).alias("sure"))
     raise AssertionError
 
 

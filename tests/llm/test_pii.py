@@ -62,6 +62,16 @@ def test_contexts_of_seeds_find_more(spark):
     assert got[100] == ""
 
 
+def test_mixed_contexts_find_unseen_identifiers(spark):
+    """As many unseen ones as seeds; those that stand in contexts without a seed too speak against a context."""
+    rows = [(i, f"please contact user id: a{i}@b.com now") for i in range(5)] + [(10 + i, f"please contact user id: K{i}X{(i + 1) * 7919} now") for i in range(5)]
+    rows += [(20 + i, f"sent by part no: a{i}@c.com now") for i in range(5)] + [(30 + i, f"sent by part no: Z{i}77{i}Y now") for i in range(5)]
+    rows += [(40 + i, f"the screw number is: Z{i}77{i}Y then") for i in range(5)]
+    got = {r[0]: r[6] for r in found(spark.createDataFrame(rows, "doc_id long, text string"))}
+    assert all(got[10 + i].startswith("found:24:") for i in range(5))
+    assert {got[k] for k in (*range(30, 35), *range(40, 45))} == {""}
+
+
 def test_redaction(spark):
     rows = [(1, "é a@b.co, 4111111111111111."), (2, "clean"), (3, None), (4, "+1 (555) 123-4567"), (4, "+1 (555) 123-4567"), (4, "other 1.2.3.4 end")]
     docs = spark.createDataFrame([(i, t, len(t or "")) for i, t in rows], "doc_id long, text string, n_chars long").withColumn("spans", F.lit(1))
