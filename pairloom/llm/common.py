@@ -7,7 +7,7 @@ import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of one Arrow batch that goes to a Python worker; a batch holds one row at least, so one text bounds it.
@@ -44,6 +44,12 @@ def distinct_names(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
+def text_key(text: Column) -> Column:
+    """Tells texts apart; null counts as empty."""
+    text = F.coalesce(text, F.lit(""))
+    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(text, F.lit(1)).alias("b"))
+
+
 def texts(column: pa.Array) -> Iterator[str]:
     """Texts of an Arrow column; null counts as empty."""
     for value in column:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import bound_batches, cut_lineage, distinct_names, texts
+from pairloom.llm.common import bound_batches, cut_lineage, distinct_names, text_key, texts
 from pairloom.llm.components import components
 from pairloom.llm.simhash import _LANES, _LOWER, FAN_OUT, FRONTIER, SEED, gray_rank
 
@@ -77,12 +77,6 @@ def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
     return found
 
 
-def text_key(text: F.Column) -> F.Column:
-    """Tells texts apart; null counts as empty."""
-    text = F.coalesce(text, F.lit(""))
-    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(text, F.lit(1)).alias("b"))
-
-
 def wide_fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, key_a, key_b, fp, shingles) for every row; fp has all fingerprints as bytes, shingles a hash of the set."""
     bound_batches(docs.sparkSession)
@@ -279,7 +273,10 @@ def _with_roots(found: DataFrame) -> DataFrame:
 
 
 def near_copies(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, component_id) for every row: component_id is the least id reached over links of that similarity or more."""
+    """(doc_id, key, group, component_id) for every row: component_id is the least id reached over links of that similarity or more.
+
+    ``key`` tells the texts of an id apart, ``group`` groups of the same component_id.
+    """
     limit = bit_limit(similarity)
     of_docs = cut_lineage(wide_fingerprints(docs, shingle_words))
     fps = of_docs.groupBy("fp", "shingles").agg(F.min("doc_id").alias("least"), F.min(F.struct(F.col("key_a").alias("a"), F.col("key_b").alias("b"))).alias("key"))
@@ -296,6 +293,6 @@ def near_copies(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, similarity:
     members = _with_roots(components(good.select("a", "b")))
     members = cut_lineage(members.join(fps.select("node", "least"), "node"))
     least = cut_lineage(members.groupBy("root").agg(F.min("least").alias("component_id")))
-    linked = cut_lineage(members.join(least, "root").select("node", "component_id"))
-    of_fp = cut_lineage(fps.join(linked, "node", "left").select("fp", "shingles", F.coalesce("component_id", "least").alias("component_id")))
-    return of_docs.join(of_fp, ["fp", "shingles"]).select("doc_id", "component_id")
+    linked = cut_lineage(members.join(least, "root").select("node", "root", "component_id"))
+    of_fp = cut_lineage(fps.join(linked, "node", "left").select("fp", "shingles", F.coalesce("root", "node").alias("group"), F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id")))
+    return of_docs.join(of_fp, ["fp", "shingles"]).select("doc_id", F.struct(F.col("key_a").alias("a"), F.col("key_b").alias("b")).alias("key"), "group", "component_id")

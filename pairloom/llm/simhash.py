@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import bound_batches, cut_lineage, distinct_names, read_table, texts
+from pairloom.llm.common import bound_batches, cut_lineage, distinct_names, read_table, text_key, texts
 from pairloom.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -62,16 +62,18 @@ def fingerprint(text: str, shingle_words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp long) for every row."""
+    """(doc_id, fp long, key_a, key_b) for every row; the keys tell texts apart."""
     bound_batches(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.fromiter((fingerprint(t, shingle_words) for t in texts(batch.column(1))), np.uint64, len(batch))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64)), batch.column(2), batch.column(3)], names=["doc_id", "fp", "key_a", "key_b"])
 
-    return distinct_names(docs, "doc_id", "text").mapInArrow(run, f"doc_id {id_type}, fp long")
+    key = text_key(F.col("text"))
+    rows = distinct_names(docs, "doc_id", "text").select("doc_id", "text", key["a"].alias("key_a"), key["b"].alias("key_b"))
+    return rows.mapInArrow(run, f"doc_id {id_type}, fp long, key_a long, key_b long")
 
 
 def blocks(mask: int, parts: int = MAX_DIFFERENCES + 1) -> list[int]:
@@ -199,29 +201,38 @@ def fingerprint_links(fps: DataFrame, limit: int = MAX_DIFFERENCES, bucket_limit
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, limit: int = MAX_DIFFERENCES) -> DataFrame:
-    """(doc_id, fp, component_id) for every row: component_id is the least id that is reached over links."""
+    """(doc_id, key, fp, group, component_id) for every row: component_id is the least id that is reached over links.
+
+    ``key`` tells the texts of an id apart, ``group`` groups of the same component_id.
+    """
     of_docs = cut_lineage(fingerprints(docs, shingle_words))
     fps = cut_lineage(of_docs.groupBy("fp").agg(F.min("doc_id").alias("least")))
     stars = components(fingerprint_links(fps, limit))
     members = stars.select(F.col("node").alias("fp"), "root").unionByName(stars.select(F.col("root").alias("fp"), "root").distinct())
     members = cut_lineage(members.join(fps, "fp"))
     least = cut_lineage(members.groupBy("root").agg(F.min("least").alias("component_id")))
-    linked = cut_lineage(members.join(least, "root").select("fp", "component_id"))
-    of_fp = cut_lineage(fps.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")))
-    return of_docs.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    linked = cut_lineage(members.join(least, "root").select("fp", "root", "component_id"))
+    of_fp = cut_lineage(fps.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("group"), F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id")))
+    return of_docs.join(of_fp, "fp").select("doc_id", F.struct(F.col("key_a").alias("a"), F.col("key_b").alias("b")).alias("key"), "fp", "group", "component_id")
 
 
 def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each group the row with the least id stays, one if it is repeated.
 
-    Groups without any id are left as they are.
+    Rows are told apart by id and text. Groups without any id are left as they are.
     """
-    drop = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    rest = docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
-    again = cut_lineage(groups.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
+    by = ["doc_id", "_copy_key"]
+    groups = groups.withColumnRenamed("key", "_copy_key")
+    first = groups.filter("doc_id = component_id")
+    again = cut_lineage(first.groupBy("group").agg(F.count("*").alias("n"), F.min("_copy_key").alias("least"), F.first("doc_id").alias("doc_id")).filter("n > 1"))
+    drop = groups.filter("doc_id <> component_id").select(*by)
+    keyed = docs.withColumn("_copy_key", text_key(F.col("text")))
     if again.isEmpty():
-        return rest
-    return rest.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(rest.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+        return keyed.join(drop.distinct(), by, "left_anti").select(*docs.columns)
+    drop = drop.unionByName(first.join(again.select("group", "least"), "group").filter(F.col("_copy_key") != F.col("least")).select(*by))
+    rest, again = keyed.join(drop.distinct(), by, "left_anti"), again.select("doc_id", F.col("least").alias("_copy_key"))
+    once = rest.join(again, by, "left_semi").dropDuplicates(by)
+    return rest.join(again, by, "left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

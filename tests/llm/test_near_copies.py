@@ -123,6 +123,15 @@ def test_pairs_at_the_similarity_are_confirmed_exactly(spark):
     assert not any(linked[80:])
 
 
+def test_unlike_texts_of_one_id_stay(spark):
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(1, text(1)), (2, text(1)), (2, text(2)), (3, text(3)), (3, text(4)), (3, text(4)), (4, text(4)), (5, text(5)), (5, text(5) + " more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((r["doc_id"], r["text"]) for r in keep_one(docs, near_copies.near_copies(docs)).collect())
+    assert kept[:4] == [(1, text(1)), (2, text(2)), (3, text(3)), (3, text(4))]
+    assert [i for i, _ in kept[4:]] == [5]
+
+
 def test_odd_rows(spark, odd):
     rows = near_copies.near_copies(odd).collect()
     assert len(rows) == odd.count()
