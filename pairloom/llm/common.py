@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,9 +27,14 @@ def bound_batches(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``.
 
-    Only where none is set (tests, a notebook) this is a folder of its own, which is sound in local mode alone.
+    Only in local mode, where none is set (tests, a notebook), this is a folder of the machine; elsewhere it must be set.
     """
-    return spark.sparkContext.getConf().get("spark.checkpoint.dir") or os.path.join(tempfile.gettempdir(), "pairloom-checkpoints")
+    conf = spark.sparkContext.getConf()
+    if folder := conf.get("spark.checkpoint.dir"):
+        return folder
+    if not conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return os.path.join(tempfile.gettempdir(), "pairloom-checkpoints")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -39,11 +45,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like ``cut_lineage``, as a Parquet table, for what is read by some of its columns or is large."""
+    folder = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def distinct_names(df: DataFrame, *columns: str) -> DataFrame:
     """Only ``columns``; further columns of the input, whatever their names, cannot clash with working columns."""
     return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
+def whole_rows(df: DataFrame, *columns: str) -> DataFrame:
+    """``columns``, and all columns together as struct ``row``: names of the input cannot clash with working columns.
+
+    ``select("row.*")`` gives the input's columns back, also those with dots or back-ticks in their names.
+    """
+    return df.select(*[F.col(f"`{c}`") for c in columns], F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns]).alias("row"))
+
+
 def text_key(text: Column) -> Column:
     """Tells texts apart; null counts as empty."""
     text = F.coalesce(text, F.lit(""))

@@ -3,23 +3,26 @@
 Each rule votes for or against a text or abstains. Expectation-maximisation over the counts of vote patterns (at most
 3 to the number of rules, however many texts there are) estimates how often each rule votes against good and against
 bad texts; the posterior probability of being good, given all votes, decides, rather than passing every rule.
-Abstaining says nothing about a text, and a rule never counts against its own direction.
+Abstaining says nothing about a text. A rule keeps its direction: its votes against bad texts are at least ``RATIO``
+times as frequent as those against good ones, so a rule that alone knows a kind of bad text isn't talked out of it.
 
-Defined results: null and empty texts have no words and fail the base rules; every row gets one row; the posterior
-depends on the whole table. Columns beyond id and text are not read.
+Defined results: null and empty texts have no words and fail the base rules; very long texts are measured whole, one to
+a batch if need be; every row gets one row, repeated rows alike; equal odds keep a text; an empty table gives an empty
+result and a model in which no vote counts. The posterior depends on the whole table. A null id is kept as it is.
+Columns beyond id and text are not read by ``assess``; ``keep_good`` returns all of them, whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import log
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, ByteType, LongType, StructField, StructType
 
-from pairloom.llm.common import bound_batches, cut_lineage, distinct_names, read_table, texts
+from pairloom.llm.common import bound_batches, cut_lineage, distinct_names, read_table, stored, texts, whole_rows
 
 SYMBOLS = "#*$%&|<>"
 WHITE = " \t\n\v\f\r"
@@ -41,6 +44,8 @@ _NOT_LETTER = bytes(b for b in range(256) if not (65 <= b <= 90 or 97 <= b <= 12
 EM_STEPS = 200
 #: What a rule is taken to do before the data speak, with this share of all texts as weight: votes against good and bad texts.
 MISS, HIT, SMOOTHING = 0.001, 0.2, 0.01
+#: A vote against is at least so many times as frequent for bad texts as for good ones.
+RATIO = 20.0
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -101,7 +106,6 @@ def assess(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """The id, ``extra`` columns, measures and votes (array of tinyint ``votes``) of every row."""
     bound_batches(docs.sparkSession)
     keep = ["doc_id", *(c for c in extra if c not in ("doc_id", "text"))]
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -109,8 +113,8 @@ def assess(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
             v = votes(m)
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *(pa.array(m[:, k]) for k in range(5)), pa.array(list(v), pa.list_(pa.int8()))], names=[*keep, *MEASURES, "votes"])
 
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), *(f"{c} long" for c in MEASURES), "votes array<tinyint>"])
-    return distinct_names(docs, "text", *keep).mapInArrow(run, schema)
+    made = [*(StructField(c, LongType()) for c in MEASURES), StructField("votes", ArrayType(ByteType()))]
+    return distinct_names(docs, "text", *keep).mapInArrow(run, StructType([*(docs.schema[c] for c in keep), *made]))
 
 
 def fit(patterns: list[tuple[list[int], int]]) -> list[tuple[float, float]]:
@@ -119,7 +123,8 @@ def fit(patterns: list[tuple[list[int], int]]) -> list[tuple[float, float]]:
     ``patterns`` has vote patterns and how many texts have them. Classes have even odds before any vote: a rare kind of
     bad text that one rule alone knows isn't outvoted by how common good texts are. Starts from the votes (a text with a
     vote against is bad, more likely than not); rates are smoothed by a share of all texts, so the fit is alike at
-    every size. With no texts nothing counts.
+    every size. Where counts would bring a rule's rates nearer than ``RATIO``, both are what its pooled counts say at
+    that ratio. With no texts nothing counts.
     """
     if not patterns:
         return [(0.0, 0.0)] * len(RULES)
@@ -128,8 +133,11 @@ def fit(patterns: list[tuple[list[int], int]]) -> list[tuple[float, float]]:
     good, smooth = np.where(against.sum(1) > 0, 0.1, 0.9), SMOOTHING * n.sum()
     for _ in range(EM_STEPS):
         w, u = n * good, n * (1 - good)
-        miss = (w @ against + MISS * smooth) / (w @ (for_ + against) + smooth)  # votes against good texts
-        hit = np.maximum((u @ against + HIT * smooth) / (u @ (for_ + against) + smooth), miss)  # against bad ones
+        no_good, all_good = w @ against + MISS * smooth, w @ (for_ + against) + smooth  # votes against good texts, all on them
+        no_bad, all_bad = u @ against + HIT * smooth, u @ (for_ + against) + smooth
+        apart = no_bad / all_bad >= RATIO * no_good / all_good
+        pooled = np.minimum((no_good + no_bad) / (all_good + RATIO * all_bad), 0.999 / RATIO)
+        miss, hit = np.where(apart, no_good / all_good, pooled), np.where(apart, no_bad / all_bad, RATIO * pooled)
         pro, con = np.log((1 - miss) / (1 - hit)), np.log(miss / hit)
         now = 1 / (1 + np.exp(-np.clip(for_ @ pro + against @ con, -700, 700)))
         if np.abs(now - good).max() < 1e-9:
@@ -159,10 +167,9 @@ def judged(assessed: DataFrame, model: list[tuple[float, float]]) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept; texts are read twice, for the model and for the verdicts."""
-    model = learn(assess(docs))
-    whole = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))  # apart from columns made here
-    return judged(assess(whole, ("_row",)), model).filter("kept").select("_row.*")
+    """The rows of ``docs`` that are kept. Rows are written once with their votes, so no text is measured twice."""
+    assessed = stored(assess(whole_rows(docs, "doc_id", "text"), ("row",)))
+    return judged(assessed, learn(assessed)).filter("kept").select("row.*")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
