@@ -1,16 +1,25 @@
 """Personal data by bootstrapped contextual extraction (operator 7), in DataFrame functions only.
 
-Well-formed e-mail addresses, IPs, payment cards and phone numbers are the seeds. The two words before an instance are
-its lexical pattern. Instances, seeds and other tokens of an identifier's shape, and patterns make a bipartite graph
-whose scores are refined in turns: a pattern's confidence is the share of sure ones among the distinct instances it
-extracts that are sure or speak against it. Seeds are sure, and so is what an accepted pattern extracts; an instance
-speaks against if it isn't sure and stands in another context too, of enough distinct instances and no sure one. Others
-are unknown and don't count. Patterns of high confidence and enough sure instances are accepted, and what they extract
-beyond the seeds is added as kind ``found``.
-
-Spans count code points from 0, ends are exclusive. Defined results: null and empty texts have no spans; every row gets
-one row, repeated rows alike; columns beyond id and text are not read. Patterns are possessive and anchored where a
-run starts, so long runs of digits or letters cost linear time and no stack.
+Seeds are well-formed e-mail addresses, IPs, payment cards, phone numbers and keys of known formats (kind ``secret``).
+Other tokens of an identifier's shape are unknown at first, long random-looking ones among them hopeful. An instance's
+lexical patterns are what stands around it: its last word with a mark behind it (``token = "``), its last two words,
+and either with the mark that follows the instance; words and marks are kept, white space isn't. Instances and patterns
+make a bipartite graph whose scores are refined in turns:
+
+* An instance is sure if it is a seed or a pattern that is trusted extracts it. It speaks against a pattern if it
+  isn't sure and the word before it names what isn't personal (``sha256:``), or if it also stands in an ordinary
+  context: one of ``SUPPORT`` distinct instances or more of which none is sure or hopeful.
+* A pattern is trusted if it extracts ``SUPPORT`` distinct sure or hopeful instances or more, no fewer than unknown
+  ones, and they are ``CONFIDENCE`` of them together with those that speak against it.
+
+Turns end when no pattern is added; trusted patterns only grow in number, so they do. What they extract beyond the
+seeds is added as kind ``found``.
+
+Spans count code points from 0, ends are exclusive. Defined results: null and empty texts have no spans; very long
+texts are read whole, contexts have no limit in characters, and long runs of digits or letters cost linear time and no
+stack; equal scores need no order, as all patterns that qualify are trusted; every row gets one row, repeated rows alike;
+instances are counted once however often a row is repeated; an empty table gives an empty result; a null id is kept.
+Columns beyond id and text are not read; ``redact`` returns all of them, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,7 +29,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import cut_lineage, distinct_names, read_table
+from pairloom.llm.common import cut_lineage, distinct_names, read_table, whole_rows
 
 _LOCAL = "A-Za-z0-9._%+-"
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
@@ -31,16 +40,34 @@ KINDS: dict[str, tuple[Callable[[Column], Column], str]] = {
     "card": (lambda t: t.isNotNull(), r"[0-9]++(?:[ -][0-9]++)*+"),
     "phone": (lambda t: t.contains("+"), r"\+[0-9][ ().0-9-]+[0-9]"),
 }
-FOUND = "found"
+SECRET, FOUND = "secret", "found"
 #: A token of an identifier's shape: with a digit, at least six characters (checked apart).
 CANDIDATE = r"(?<![A-Za-z0-9._%+@-])(?=[A-Za-z._%+@-]*+[0-9])[A-Za-z0-9._%+@-]*[A-Za-z0-9]"
 CANDIDATE_LENGTH = 6
-#: Characters before an instance in which its pattern is looked for.
-CONTEXT = 64
-ROUNDS = 3
+# Public formats of keys.
+KEYS = (
+    "AKIA[0-9A-Z]{16}",
+    "ASIA[0-9A-Z]{16}",
+    "AIza[0-9A-Za-z_-]{35}",
+    "gh[pousr]_[0-9A-Za-z]{36,}",
+    "glpat-[0-9A-Za-z_-]{20,}",
+    "sk_(?:live|test)_[0-9A-Za-z]{16,}",
+    "xox[abprs]-[0-9A-Za-z-]{10,}",
+    r"eyJ[0-9A-Za-z_-]{10,}\.eyJ[0-9A-Za-z_-]{10,}\.[0-9A-Za-z_-]{10,}",
+)
+# Words before what isn't personal.
+IMPERSONAL = "build checksum commit crc32 digest doi etag hash integrity isbn issn md5 part revision sha sha1 sha256 sha512 uuid version".split()
+#: A hopeful token: so many letters and digits, which alternate.
+HOPEFUL_LENGTH, HOPEFUL = 20, "^[0-9]*+(?:[A-Za-z]++[0-9]++){3,}+[A-Za-z]*+$"
+#: Marks behind a word that make it a pattern by itself.
+_MARKS = r"[:=(\[{<\"'#]"
+_W, _NO_W = r"[\p{L}\p{N}_]", r"[^\p{L}\p{N}_]"
 CONFIDENCE = 0.9
 SUPPORT = 3
-_SPAN = "struct<start:bigint,rank:int,end:bigint,kind:string,value:string>"
+#: Parts of a pattern's or an instance's rows in joins, so that none needs a task for itself.
+SALTS = 8
+_SPAN = "struct<start:bigint,rank:int,end:bigint,kind:string,value:string,before:string,after:string>"
+_SURE, _HOPEFUL, _UNKNOWN, _AGAINST = 2, 1, 0, -1
 
 
 def running(values: Column, merge: Callable[[Column, Column], Column], identity: int) -> Column:
@@ -55,14 +82,23 @@ def running(values: Column, merge: Callable[[Column, Column], Column], identity:
 
 
 def located(df: DataFrame, name: str, test: Column, pattern: str, rank: int) -> DataFrame:
-    """Adds the array of spans of a pattern's matches in ``_text``."""
-    text, m = F.col("_text"), f"_m_{name}"
+    """Adds the array of spans of a pattern's matches in ``_text``.
+
+    ``before`` is the text up to a span from the end of the last match but one, ``after`` goes on to the next match.
+    """
+    text, m, p = F.col("_text"), f"_m_{name}", f"_p_{name}"
     df = df.withColumn(m, F.when(test, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>")))
-    pieces = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(m))
-    df = df.withColumn(f"_l_{name}", F.when(F.size(m) > 0, F.zip_with(pieces, F.col(m), lambda p, x: (F.length(p) + F.length(x)).cast("long"))).otherwise(F.array().cast("array<bigint>")))
-    ends = running(F.col(f"_l_{name}"), lambda a, b: a + b, 0)
-    span = F.zip_with(F.col(m), ends, lambda x, e: F.struct((e - F.length(x)).alias("start"), F.lit(rank).alias("rank"), e.alias("end"), F.lit(name).alias("kind"), x.alias("value")))
-    return df.withColumn(name, F.when(F.size(m) > 0, span).otherwise(F.array().cast(f"array<{_SPAN}>"))).drop(m, f"_l_{name}")
+    df = df.withColumn(p, F.when(F.size(m) > 0, F.split(text, pattern, -1)))
+    lengths = F.zip_with(F.slice(p, F.lit(1), F.size(m)), F.col(m), lambda a, x: (F.length(a) + F.length(x)).cast("long"))
+    df = df.withColumn(f"_l_{name}", F.when(F.size(m) > 0, running(lengths, lambda a, b: a + b, 0)))
+
+    def span(i: Column) -> Column:
+        value, end = F.get(m, i), F.get(f"_l_{name}", i)
+        ahead = F.when(i > 0, F.concat(F.get(p, i - 1), F.get(m, i - 1))).otherwise(F.lit(""))
+        return F.struct((end - F.length(value)).alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(name).alias("kind"), value.alias("value"), F.concat(ahead, F.get(p, i)).alias("before"), F.get(p, i + 1).alias("after"))
+
+    spans = F.transform(F.sequence(F.lit(0), F.size(m) - 1), span)
+    return df.withColumn(name, F.when(F.size(m) > 0, spans).otherwise(F.array().cast(f"array<{_SPAN}>"))).drop(m, p, f"_l_{name}")
 
 
 def _valid(kind: str) -> Callable[[Column], Column]:
@@ -75,67 +111,110 @@ def _valid(kind: str) -> Callable[[Column], Column]:
     }[kind]
 
 
-def _with_pattern(spans: Column, text: Column) -> Column:
-    """Spans with the lower-cased two words before each; null where there aren't two."""
-    before = lambda s: F.lower(F.substring(text, F.greatest(s["start"] - (CONTEXT - 1), F.lit(1)).cast("int"), F.least(s["start"], F.lit(CONTEXT)).cast("int")))
-    two = lambda s: F.regexp_extract(before(s), r"(?:^|\s)(\S+\s+\S+\s*)$", 1)
-    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.xxhash64(s["value"]).alias("instance"), F.when(two(s) != "", F.xxhash64(two(s))).alias("pattern"), (s["kind"] != FOUND).alias("seed")))
+def _patterns(s: Column) -> Column:
+    """Hashes of a span's lexical patterns."""
+    plain = lambda c: F.lower(F.regexp_replace(F.regexp_replace(c, r"\s++", " "), rf" ?+({_NO_W}) ?+", "$1"))
+    one = F.regexp_extract(s["before"], rf"(?<!{_W}){_W}++{_NO_W}*+\z", 0)
+    two = F.regexp_extract(s["before"], rf"(?<!{_W}){_W}++{_NO_W}++{_W}++{_NO_W}*+\z", 0)
+    left = F.array(F.when(one.rlike(_MARKS), plain(one)), F.when(two != "", plain(F.concat(F.lit("2 "), two))))
+    mark = F.regexp_extract(s["after"], r"^\s*+([^\s\p{L}\p{N}_])", 1)
+    both = F.transform(left, lambda c: F.when(mark != "", F.concat(c, F.lit("\n"), mark)))
+    return F.transform(F.array_compact(F.concat(left, both)), lambda c: F.xxhash64(c))
+
+
+def _state(s: Column) -> Column:
+    """What is known of a span before any turn."""
+    word = F.lower(F.regexp_extract(s["before"], rf"(?<!{_W})({_W}++){_NO_W}*+\z", 1))
+    hopeful = (F.length(s["value"]) >= HOPEFUL_LENGTH) & s["value"].rlike(HOPEFUL)
+    return F.when(s["kind"] != FOUND, _SURE).when(word.isin(IMPERSONAL), _AGAINST).when(hopeful, _HOPEFUL).otherwise(_UNKNOWN)
+
+
+def _plain(spans: Column) -> Column:
+    return F.transform(spans, lambda s: F.struct(*[s[c].alias(c) for c in ("start", "rank", "end", "kind")]))
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, _key, email, ip, card, phone, base, others) for every row.
+    """(doc_id, _key, email, ip, card, phone, base, secrets, _seen) for every row.
 
-    ``base`` has all seeds in order of start, then kind; ``others`` what has an identifier's shape beside them;
+    ``base`` has the spans of the four kinds in order of start, then kind; ``_seen`` all instances with their patterns;
     ``_key`` tells rows of one id but other texts apart.
     """
     df = distinct_names(docs, "doc_id", "text").select("doc_id", F.coalesce("text", F.lit("")).alias("_text"))
-    df = df.withColumn("_key", F.struct(F.xxhash64("doc_id", "_text").alias("a"), F.xxhash64("_text", F.lit(1), "doc_id").alias("b")))
+    df = df.withColumn("_key", _row_key(F.col("_text")))
     for rank, (kind, (test, pattern)) in enumerate(KINDS.items()):
         df = located(df, kind, test(F.col("_text")), pattern, rank)
         df = df.withColumn(kind, F.filter(kind, _valid(kind)))
-    df = located(df, FOUND, F.col("_text").rlike("[0-9]"), CANDIDATE, len(KINDS))
-    df = df.withColumn("base", F.array_sort(F.concat(*KINDS)))
-    clear = F.filter(FOUND, lambda c: (F.length(c["value"]) >= CANDIDATE_LENGTH) & ~F.exists("base", lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"])))
-    df = df.withColumn("others", F.when(F.size(FOUND) > 0, clear).otherwise(F.col(FOUND)))
-    return df.select("doc_id", "_key", *KINDS, "base", _with_pattern(F.concat("base", "others"), F.col("_text")).alias("_seen"))
-
-
-def accepted_patterns(seen: DataFrame) -> DataFrame:
-    """Patterns (column pattern) to be trusted, from rows (pattern, instance, seed)."""
-    edges = cut_lineage(seen.filter("pattern IS NOT NULL").groupBy("pattern", "instance").agg(F.max("seed").alias("seed")))
-    known = edges.withColumn("sure", F.col("seed"))
-    for turn in range(ROUNDS):
-        contexts = known.groupBy("pattern").agg(F.count("*").alias("n"), F.max("sure").alias("any_sure"))
-        ordinary = contexts.filter((F.col("n") >= SUPPORT) & ~F.col("any_sure")).select("pattern")
-        against = known.join(ordinary, "pattern", "left_semi").select("instance").distinct().withColumn("against", F.lit(1))
-        judged = known.join(cut_lineage(against), "instance", "left").groupBy("pattern")
-        scores = judged.agg(F.sum(F.when(F.col("sure"), 1).otherwise(0)).alias("support"), F.sum(F.when(~F.col("sure"), F.col("against"))).alias("against"), F.min("seed").alias("only_seeds"))
-        good = cut_lineage(scores.filter((F.col("support") >= SUPPORT) & (F.col("support") >= CONFIDENCE * (F.col("support") + F.coalesce("against", F.lit(0))))))
-        if turn == ROUNDS - 1 or good.filter("NOT only_seeds").isEmpty():
-            return good.select("pattern")
-        reached = cut_lineage(edges.filter("NOT seed").join(good.select("pattern"), "pattern").select("instance").distinct().withColumn("reached", F.lit(True)))
-        known = edges.join(reached, "instance", "left").select("pattern", "instance", "seed", (F.col("seed") | F.coalesce("reached", F.lit(False))).alias("sure"))
-    raise AssertionError
+    df = located(df, FOUND, F.col("_text").rlike("[0-9]"), CANDIDATE, len(KINDS) + 1)
+    df = df.withColumn("_base", F.array_sort(F.concat(*KINDS)))
+    clear = F.filter(FOUND, lambda c: (F.length(c["value"]) >= CANDIDATE_LENGTH) & ~F.exists("_base", lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"])))
+    df = df.withColumn("_others", F.when(F.size(FOUND) > 0, clear).otherwise(F.col(FOUND)))
+    is_key = lambda s: s["value"].rlike(f"^(?:{'|'.join(KEYS)})$")
+    known = lambda s: s.withField("kind", F.when(is_key(s), F.lit(SECRET)).otherwise(F.lit(FOUND))).withField("rank", F.when(is_key(s), len(KINDS)).otherwise(len(KINDS) + 1))
+    df = df.withColumn("_others", F.transform("_others", known))
+    seen = F.transform(F.concat("_base", "_others"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.xxhash64(s["value"]).alias("instance"), _patterns(s).alias("patterns"), _state(s).alias("state")))
+    secrets = F.filter("_others", lambda s: s["kind"] == SECRET)
+    return df.select("doc_id", "_key", *[_plain(F.col(k)).alias(k) for k in KINDS], _plain(F.col("_base")).alias("base"), _plain(secrets).alias("secrets"), seen.alias("_seen"))
+
+
+def _row_key(text: Column) -> Column:
+    return F.struct(F.xxhash64("doc_id", text).alias("a"), F.xxhash64(text, F.lit(1), "doc_id").alias("b"))
+
+
+def _salted(big: DataFrame, small: DataFrame, key: str, other: str, how: str = "inner") -> DataFrame:
+    """``big`` joined with ``small``, which has one row a key: rows of a key are dealt by ``other`` to ``SALTS`` parts."""
+    parts = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return big.withColumn("_salt", F.pmod(F.xxhash64(other), F.lit(SALTS)).cast("int")).join(parts, [key, "_salt"], how).drop("_salt")
+
+
+def trusted_patterns(seen: DataFrame) -> DataFrame:
+    """Patterns (column pattern) to be trusted, from rows (pattern, instance, state)."""
+    strongest = F.when(F.max("state") == _SURE, _SURE).when(F.min("state") == _AGAINST, _AGAINST).otherwise(F.max("state"))
+    states = cut_lineage(seen.groupBy("pattern", "instance").agg(F.max("state").alias("most"), F.min("state").alias("state")))
+    # fewer distinct instances neither make a pattern nor an ordinary context
+    wide = states.groupBy("pattern").agg(F.count("*").alias("n")).filter(F.col("n") >= SUPPORT).select("pattern")
+    edges = cut_lineage(_salted(states, wide, "pattern", "instance"))
+    of_instance = edges.select("instance", F.explode(F.array("most", "state")).alias("state")).groupBy("instance").agg(strongest.alias("state"))
+    known, trusted = cut_lineage(_salted(edges.select("pattern", "instance"), of_instance, "instance", "pattern")), None
+    positive, unsure = F.col("state") >= _HOPEFUL, F.col("state") < _SURE
+    while True:
+        ordinary = cut_lineage(known.groupBy("pattern").agg(F.max("state").alias("most")).filter(F.col("most") < _HOPEFUL).select("pattern"))
+        against = _salted(known.filter(unsure), ordinary, "pattern", "instance").select("instance").distinct().withColumn("elsewhere", F.lit(True))
+        judged = _salted(known, cut_lineage(against), "instance", "pattern", "left")
+        bad = (F.col("state") == _AGAINST) | (unsure & F.coalesce("elsewhere", F.lit(False)))
+        scores = judged.groupBy("pattern").agg(F.count_if(positive & ~bad).alias("support"), F.count_if(bad).alias("against"), F.count_if(~positive & ~bad).alias("unknown"))
+        enough = (F.col("support") >= SUPPORT) & (F.col("support") >= F.col("unknown")) & (F.col("support") >= CONFIDENCE * (F.col("support") + F.col("against")))
+        now = scores.filter(enough).select("pattern")
+        if trusted is not None:
+            now = now.unionByName(trusted).distinct()
+        now = cut_lineage(now)
+        if now.count() == (0 if trusted is None else trusted.count()):
+            return now
+        trusted = now
+        reached = _salted(known.filter(unsure & (F.col("state") > _AGAINST)), trusted, "pattern", "instance").select("instance").distinct().withColumn("reached", F.lit(True))
+        turned = _salted(known, cut_lineage(reached), "instance", "pattern", "left")
+        known = cut_lineage(turned.select("pattern", "instance", F.when(F.col("reached"), _SURE).otherwise(F.col("state")).alias("state")))
 
 
 def _discovered(found: DataFrame) -> DataFrame | None:
-    """(_key, more): the spans that accepted patterns extract beyond the seeds; None if there are none."""
-    seen = found.select("_key", F.explode("_seen").alias("s")).select("_key", "s.*")
-    patterns = accepted_patterns(seen.select("pattern", "instance", "seed"))
-    if patterns.isEmpty():
+    """(_key, more): the spans that trusted patterns extract beyond the seeds; None if there are none."""
+    seen = found.select("_key", F.explode("_seen").alias("s")).select("_key", "s.*").withColumn("pattern", F.explode("patterns"))
+    trusted = trusted_patterns(seen.select("pattern", "instance", "state"))
+    if trusted.isEmpty():
         return None
-    more = seen.filter("NOT seed").join(patterns, "pattern").select("_key", F.struct("start", F.lit(len(KINDS)).alias("rank"), "end", F.lit(FOUND).alias("kind"), F.lit("").alias("value")).alias("s"))
+    span = F.struct("start", F.lit(len(KINDS) + 1).alias("rank"), "end", F.lit(FOUND).alias("kind"))
+    fresh = seen.filter(F.col("state").between(_UNKNOWN, _HOPEFUL)).select("_key", "pattern", "instance", span.alias("s"))
+    more = _salted(fresh, trusted, "pattern", "_key")
     return cut_lineage(more.groupBy("_key").agg(F.collect_set("s").alias("more")))
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
-    """(doc_id, _key, email, ip, card, phone, base, spans) for every row; spans are base and discovered ones in order."""
+    """(doc_id, _key, email, ip, card, phone, base, spans) for every row; spans are all of them in order."""
     found = cut_lineage(base_spans(docs))
-    more = _discovered(found)
-    if more is None:
-        return found.withColumn("spans", F.col("base"))
-    both = F.when(F.col("more").isNotNull(), F.array_sort(F.concat("base", "more"))).otherwise(F.col("base"))
-    return found.join(more, "_key", "left").withColumn("spans", both)
+    more, sure = _discovered(found), F.concat("base", "secrets")
+    if more is not None:
+        found = found.join(more, "_key", "left")
+        sure = F.when(F.col("more").isNotNull(), F.concat(sure, "more")).otherwise(sure)
+    return found.select("doc_id", "_key", *KINDS, "base", F.array_sort(sure).alias("spans"))
 
 
 def written(spans: Column) -> Column:
@@ -144,11 +223,11 @@ def written(spans: Column) -> Column:
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; n_chars, where there is one, follows."""
-    key, spans, until = "_pii_key", F.col("_pii_spans"), F.col("_pii_until")
-    found = personal_data(docs).filter(F.size("spans") > 0).select(F.col("_key").alias(key), F.col("spans").alias("_pii_spans")).dropDuplicates([key])
-    text = F.coalesce("text", F.lit(""))
-    keyed = docs.withColumn(key, F.struct(F.xxhash64("doc_id", text).alias("a"), F.xxhash64(text, F.lit(1), "doc_id").alias("b")))
-    df = keyed.join(found, key, "left").withColumn("_pii_until", running(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b), 0))
+    rows = whole_rows(docs, "doc_id", "text")
+    found = personal_data(rows).filter(F.size("spans") > 0).select("_key", "spans").dropDuplicates(["_key"])
+    spans, until = F.col("spans"), F.col("until")
+    keyed = rows.withColumn("_key", _row_key(F.coalesce("text", F.lit(""))))
+    df = keyed.join(found, "_key", "left").withColumn("until", running(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b), 0))
     # each span with the end of what stands before it; overlapped ones add nothing
     cut = F.transform(
         F.sequence(F.lit(0), F.size(spans) - 1),
@@ -156,9 +235,10 @@ def redact(docs: DataFrame) -> DataFrame:
     )
     pieces = F.transform(F.filter(cut, lambda c: c["from"] <= c["to"]), lambda c: F.concat(F.substring(F.col("text"), (c["from"] + 1).cast("int"), (c["to"] - c["from"]).cast("int")), F.lit("["), F.upper(c["kind"]), F.lit("]")))
     rest = F.substring(F.col("text"), (F.element_at(until, -1) + 1).cast("int"), F.lit(2**31 - 1))
-    df = df.withColumn("_pii_clean", F.when(spans.isNull(), F.col("text")).otherwise(F.concat(F.array_join(pieces, ""), rest)))
-    new = {"text": F.col("_pii_clean"), "n_chars": F.when(spans.isNull(), F.col("n_chars")).otherwise(F.length("_pii_clean").cast("long"))} if "n_chars" in docs.columns else {"text": F.col("_pii_clean")}
-    return df.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    df = df.withColumn("clean", F.when(spans.isNull(), F.col("text")).otherwise(F.concat(F.array_join(pieces, ""), rest)))
+    old = lambda c: F.col("row").getField(c)
+    new = {"text": F.col("clean")} | ({"n_chars": F.when(spans.isNull(), old("n_chars")).otherwise(F.length("clean").cast("long"))} if "n_chars" in docs.columns else {})
+    return df.select(*[new.get(c, old(c)).alias(c) for c in docs.columns])
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
