@@ -1,6 +1,8 @@
 import html as entities
 import os
+import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -27,7 +29,7 @@ from pairloom.llm import html_text
     ],
 )
 def test_main_text(page, text):
-    assert html_text.Page(page).main_text(None) == text
+    assert html_text.Page(page).main_text() == text
 
 
 @pytest.mark.parametrize(
@@ -39,7 +41,7 @@ def test_main_text(page, text):
     ],
 )
 def test_all_slots_in_page_order(page, text):
-    assert html_text.Page(page).main_text(None) == text
+    assert html_text.Page(page).main_text() == text
 
 
 def test_every_slot_of_a_template(spark):
@@ -65,6 +67,50 @@ def test_copies_of_an_article_stay_whole(spark):
     assert {r["text"] for r in html_text.main_texts(pages(spark, rows)).collect()} == {"The same article"}
 
 
+def test_templates_find_the_text_without_article_tags(spark):
+    """The same text on every page whether its element is called article or div, and against a plain deduction."""
+    rnd = random.Random(3)
+    some = lambda n: " ".join("".join(rnd.choice("abcdefg") for _ in range(5)) for _ in range(n))
+    rows = []
+    for k in range(40):
+        nav, body = "".join(f"<li>{some(1)}</li>" for _ in range(4)), "".join(f"<p>{some(rnd.randint(5, 40))}</p>" for _ in range(rnd.randint(1, 6)))
+        rows.append((k, f"http://h{k % 3}.example/{k}", f"<html><body><nav><ul>{nav}</ul></nav><div class=slogan>We say the same on all pages</div><article><h1>{some(4)}</h1>{body}</article><div class=about>Written by us all</div><footer>{some(3)}</footer></body></html>"))
+    rows += [(100 + k, "http://h0.example/copy", rows[0][2]) for k in range(5)]
+    renamed = [(i, u, h.replace("<article>", "<div>").replace("</article>", "</div>")) for i, u, h in rows]
+    one = {r["page_id"]: r["text"] for r in html_text.main_texts(pages(spark, rows)).collect()}
+    two = {r["page_id"]: (r["text"], r["template_tokens"]) for r in html_text.main_texts(pages(spark, renamed)).collect()}
+    assert one == {i: t for i, (t, _) in two.items()}
+    assert one == {i: " ".join(re.sub("<[^>]*>", " ", re.search("<article>(.*)</article>", h)[1]).split()) for i, _, h in rows}
+    for host in range(3):  # classes by their definition: equal counts on every page
+        own = [html_text.Page(h) for i, u, h in renamed if u.startswith(f"http://h{host}.")]
+        count = Counter()
+        vectors = {}
+        for at, page in enumerate(own):
+            for token, n in [(html_text.PAGE, 1), *page.elements.items(), *Counter(html_text.text_token(e.node, t) for e, t in page.blocks).items()]:
+                vectors.setdefault(token, {})[at] = n
+        for v in vectors.values():
+            count[tuple(sorted(v.items()))] += 1
+        size = sum(n for v, n in count.items() if len(v) >= html_text.SUPPORT and n >= html_text.CLASS_SIZE)
+        # repeated rows cancel in the hashes, alike for all tokens; hosts without them agree exactly
+        if host:
+            assert {two[i][1] for i, u, _ in renamed if u.startswith(f"http://h{host}.")} == {size}
+
+
+def test_large_sets_of_hosts_and_text_outside_the_slot(spark, monkeypatch):
+    page = lambda k: f'<body><div class="top">All pages say this</div><div class="text"><p>Body {k} is very much longer than what stands above it, on every page of this host {k}</p></div></body>'
+    rows = [(k, f"http://h{k % 2}.example/{k}", page(k)) for k in range(8)]
+    few = {r["page_id"]: r["text"] for r in html_text.main_texts(pages(spark, rows)).collect()}
+    assert all(t.startswith("Body") for t in few.values())
+    monkeypatch.setattr(html_text, "BROADCAST_HOSTS", 0)
+    assert {r["page_id"]: r["text"] for r in html_text.main_texts(pages(spark, rows)).collect()} == few
+
+
+def test_deep_pages(spark):
+    html = "<div>" * 20000 + "deep" + "</div>" * 20000
+    got = html_text.main_texts(pages(spark, [(k, "http://d.example/", html + f"<p>{k}</p>") for k in range(4)])).collect()
+    assert {r["text"] for r in got} == {str(k) for k in range(4)}  # what stands on all pages is the template's
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (2, "", ""), (3, "x", "<article>" + "word " * 50000), (4, "http://a/", "<p>a"), (4, "http://a/", "<p>a"), (None, None, "<" * 20000), (5, "http://a/", "<div " * 5000), (6, "http://a/", '<a href="' * 3000)]
     got = html_text.main_texts(pages(spark, rows)).collect()
