@@ -38,15 +38,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and go on from there."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a Parquet table in the shared folder and go on from there.
 
-
-def stored(df: DataFrame) -> DataFrame:
-    """Like ``cut_lineage``, as a Parquet table, for what is read by some of its columns or is large."""
+    Unlike a checkpoint, whose size is what its plan was estimated at, a table has its true size, by which Spark plans
+    joins; estimates of repeated joins would grow without bound.
+    """
     folder = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import bound_batches, cut_lineage, distinct_names, read_table, stored
+from pairloom.llm.common import bound_batches, cut_lineage, distinct_names, read_table
 from pairloom.llm.url_filter import parsed
 
 #: Pages and tokens that a valid class needs at least.
@@ -247,7 +247,7 @@ def deduced(read: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars, template_tokens) for every row; template_tokens is the size of the host's template."""
-    read = stored(read_pages(pages))
+    read = cut_lineage(read_pages(pages))
     hosts, fixed = deduced(read)
     few = hosts.count() <= BROADCAST_HOSTS
     df = read.select("page_id", "url", "host", "page", "blocks").join(F.broadcast(hosts) if few else hosts, "host", "left")

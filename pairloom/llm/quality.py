@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, ByteType, LongType, StructField, StructType
 
-from pairloom.llm.common import bound_batches, cut_lineage, distinct_names, read_table, stored, texts, whole_rows
+from pairloom.llm.common import bound_batches, cut_lineage, distinct_names, read_table, texts, whole_rows
 
 SYMBOLS = "#*$%&|<>"
 WHITE = " \t\n\v\f\r"
@@ -168,7 +168,7 @@ def judged(assessed: DataFrame, model: list[tuple[float, float]]) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept. Rows are written once with their votes, so no text is measured twice."""
-    assessed = stored(assess(whole_rows(docs, "doc_id", "text"), ("row",)))
+    assessed = cut_lineage(assess(whole_rows(docs, "doc_id", "text"), ("row",)))
     return judged(assessed, learn(assessed)).filter("kept").select("row.*")
 
 

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -51,15 +52,15 @@ def corpus(seed=1):
     return texts
 
 
-@pytest.mark.parametrize("limit", [20_000, 3])
-def test_planted_copies(spark, monkeypatch, limit):
-    """Also where buckets are dealt again; then fewer of the near copies are found, but no other text goes."""
+@pytest.mark.parametrize(("limit", "meeting"), [(8192, 2000), (3, 2000), (8192, 3)])
+def test_planted_copies(spark, monkeypatch, limit, meeting):
+    """The same groups where buckets and groups of candidates are cut."""
     monkeypatch.setattr(near_copies, "BUCKET_LIMIT", limit)
+    monkeypatch.setattr(near_copies, "MEETING", meeting)
     texts = corpus()
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     kept = {r["doc_id"] for r in keep_one(docs, near_copies.near_copies(docs)).collect()}
-    if limit > 3:
-        check_copies(texts, kept)
+    check_copies(texts, kept)
     sets = {i: shingles(t) for i, t in texts.items()}
     assert all(i in kept or any(j != i and jaccard(sets[i], sets[j]) > 0.5 for j in texts) for i in texts)
 
@@ -89,15 +90,17 @@ def test_index_finds_what_brute_force_finds():
 
 
 def test_hot_buckets_lose_no_pair(spark, monkeypatch):
-    """The fingerprints agree in one block of the last word alone; two of them differ in 32 of the compared bits."""
+    """The fingerprints agree in one block of the last word alone; two of them differ in 32 of the compared bits, those of two halves in 4 more."""
     monkeypatch.setattr(near_copies, "BUCKET_LIMIT", 4)
     rng = np.random.default_rng(5)
     base = rng.integers(0, 1 << 16, 16, dtype=np.uint16)
     wide = rng.integers(0, 1 << 16, (14, 4 * near_copies.WORDS), dtype=np.uint16)
     wide[:, :16] = base ^ (np.uint16(1) << np.arange(14, dtype=np.uint16))[:, None]
     wide[:, -1] = 7
-    fps = spark.createDataFrame([(k, bytearray(w.tobytes())) for k, w in enumerate(wide)], "node long, fp binary")
-    edges = near_copies.near_copy_links(fps, 44).collect()
+    wide[7:, :2] ^= np.uint16(3 << 14)
+    fps = spark.createDataFrame([(k, k, bytearray(w.tobytes())) for k, w in enumerate(wide)], "node long, comp long, fp binary")
+    monkeypatch.setattr(near_copies, "bit_limit", lambda similarity: 44)
+    edges = near_copies.candidates(fps, 0.8).collect()
     groups = {k: {k} for k in range(14)}
     for e in edges:
         both = groups[e["a"]] | groups[e["b"]]
@@ -105,6 +108,33 @@ def test_hot_buckets_lose_no_pair(spark, monkeypatch):
     assert groups[0] == set(range(14))
 
 
+def test_exact_links_against_all_pairs():
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 2**63, (6, 200), dtype=np.uint64)
+    sets = [np.unique(np.where(rng.random(200) < rng.choice([0.0, 0.05, 0.12]), rng.integers(0, 2**63, 200, dtype=np.uint64), base[k % 6])) for k in range(90)] + [np.zeros(0, np.uint64)] * 2
+    group = np.arange(92)
+    group[6:12] = group[0:6]
+    a, b = near_copies.exact_links(sets, group, 0.8)
+    label = near_copies.joined(near_copies.firsts(group), a, b)
+    want = near_copies.firsts(group)
+    for i in range(92):
+        for j in range(i):
+            if len(sets[i]) and len(sets[j]) and len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j])):
+                want = near_copies.joined(want, np.array([i]), np.array([j]))
+    assert (label == want).all()
+    assert all(len(np.intersect1d(sets[x], sets[y])) >= 0.8 * len(np.union1d(sets[x], sets[y])) for x, y in zip(a, b, strict=True))
+
+
+@pytest.mark.parametrize("n", [1000, 1 << 26, 1 << 30])
+def test_wider_blocks_miss_no_more(n):
+    """Bits of pairs at the similarity agree independently by the angle; the share of pairs without a common block."""
+    rng, blocks = np.random.default_rng(1), near_copies.block_plan(n)
+    differ = rng.random((4000, 640)) < math.acos(2 * 0.8 / 1.8) / math.pi
+    missed = 1 - np.any([~differ[:, b].any(axis=1) for b in blocks], axis=0).mean()
+    assert missed < 0.08
+    assert n / 2.0 ** len(blocks[0]) <= 2 * near_copies.BUCKET_MEAN
+
+
 def test_pairs_at_the_similarity_are_confirmed_exactly(spark):
     """Of pairs just above it hardly any is lost to the limit of bits; none below it is linked."""
     rnd, texts = random.Random(4), {}
