@@ -31,7 +31,7 @@ and text are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import acos, ceil, floor, log, log2, pi
+from math import acos, ceil, floor, lgamma, log, log2, pi
 
 import numpy as np
 import pyarrow as pa
@@ -67,8 +67,14 @@ def bit_limit(similarity: float = SIMILARITY, bits: int = 64 * COMPARED) -> int:
 def block_plan(n: int, similarity: float = SIMILARITY) -> list[np.ndarray]:
     """The bits of each block for ``n`` texts: neighbouring ones as long as there are any, then fixed random choices."""
     width = min(MOST_BITS, max(BLOCK_BITS, ceil(log2(max(n, 1) / BUCKET_MEAN))))
-    agree = (1 - acos(2 * similarity / (1 + similarity)) / pi) ** width
-    count, bits, rng = ceil(log(MISSED) / log(1 - agree)), 64 * WORDS, np.random.Generator(np.random.PCG64(SEED))
+    share, bits, rng = acos(2 * similarity / (1 + similarity)) / pi, 64 * WORDS, np.random.Generator(np.random.PCG64(SEED))
+    count = ceil(log(MISSED) / log(1 - (1 - share) ** width))
+    if count * width > bits:  # blocks share bits: how many of all differ decides for all of them
+        differ = np.arange(bits - width + 1)
+        of = np.array([lgamma(bits + 1) - lgamma(d + 1) - lgamma(bits - d + 1) + d * log(share) + (bits - d) * log(1 - share) for d in differ])
+        agree = np.exp([lgamma(bits - d + 1) - lgamma(bits - d - width + 1) - lgamma(bits + 1) + lgamma(bits - width + 1) for d in differ])
+        while np.exp(of) @ (1 - agree) ** count > MISSED:
+            count += ceil(count / 50)
     return [np.arange(k * width, (k + 1) * width) if (k + 1) * width <= bits else np.sort(rng.choice(bits, width, replace=False)) for k in range(count)]
 
 

@@ -3,13 +3,16 @@
 Vectors become integers; candidates are dealt by descending length into ranges and packed into blocks. Vectors are also
 rotated by the right singular vectors of a bounded sample, so that their leading components carry most of a product
 (any rotation keeps products, so the sample affects speed alone). Each query first meets the longest block, which
-bounds its k-th best score from below; it is then sent only to the ranges whose longest vector can reach that. In a
-block, candidates are taken by descending length and dropped by Cauchy-Schwarz: the partial sum over the leading
-components plus the product of the residual lengths bounds the score. What is left is scored exactly in integers.
+bounds its k-th best score from below. Queries go in groups to the ranges whose longest vector can reach that, and of a
+range only those blocks go to a group that can reach the bound of one of its queries. There blocks are taken by
+descending length and the bounds rise from block to block: candidates are dropped by Cauchy-Schwarz, as the partial sum
+over the leading components plus the product of the residual lengths bounds the score. What is left is scored exactly
+in integers. A group gives at most k rows for each of its queries and range.
 
 Defined results: a vector that is null, or holds null or non-finite components, takes no part; shorter vectors count
-as filled up with zeros; ties go to the smaller id; a query doesn't meet rows of its own id; scores beyond 64 bits are
-held at the largest or smallest long. Columns beyond id and vector are not read.
+as filled up with zeros; ties go to the smaller id; a query doesn't meet rows of its own id; repeated rows are
+candidates each; very long vectors are taken whole; scores beyond 64 bits are held at the largest or smallest long; an
+empty table gives an empty result. Columns beyond id and vector are not read.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ QUERY_EVERY = 100
 #: Vectors of a block; vectors in the sample for the rotation.
 BLOCK = 1024
 SAMPLE = 4096
+#: Blocks of queries, of a quarter of that size, in a group.
+GROUP_BLOCKS = 16
 _PACKED = "range int, block int, n int, longest double, ids binary, whole binary, turned binary"
 _SAFE = 2**62
 
@@ -109,12 +114,16 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.array([max(-(2**63), min(2**63 - 1, int(x))) for x in exact], np.int64)
 
 
-def search(queries: Block, candidates: Block, least: np.ndarray, k: int, chunk: int = 256) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The k best candidates of each query that reach ``least``: rows of queries, ids, scores; and the new bounds."""
+Found = tuple[np.ndarray, np.ndarray, np.ndarray]
+NOTHING: Found = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def search(queries: Block, candidates: Block, least: np.ndarray, k: int, found: Found = NOTHING, chunk: int = 256) -> tuple[Found, np.ndarray]:
+    """What was ``found`` (rows of queries, ids, scores) with the candidates that reach ``least``, the k best of each query; and the new bounds."""
     width = queries.turned.shape[1]
     cuts = sorted({c for c in (width // 8, width // 3) if 0 < c < width})
     order = np.argsort(-candidates.length, kind="stable")
-    q_of, ids, scores = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    q_of, ids, scores = found
     least = least.copy()
     for at in range(0, len(order), chunk):
         some = order[at : at + chunk]
@@ -140,7 +149,7 @@ def search(queries: Block, candidates: Block, least: np.ndarray, k: int, chunk:
         q_of, ids, scores, rank = (x[rank < k] for x in (q_of, ids, scores, rank))
         last = rank == k - 1
         least[q_of[last]] = np.maximum(least[q_of[last]], scores[last])
-    return q_of, ids, scores, least
+    return (q_of, ids, scores), least
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
@@ -159,30 +168,56 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_column: str = "ve
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     first = candidates.filter((F.col("range") == min(longest)) & (F.col("block") == 0)).select("n", "ids", "whole", "turned").first()
     seed, names = tuple(first), sorted(longest)
-    packed = _packed(ready.filter(is_query).repartition(ranges, "vec_id"), width, turn, BLOCK // 4)
+    asked = ready.filter(is_query)
+    parts = max(1, -(-asked.count() // (GROUP_BLOCKS * BLOCK // 4)))
+    packed = _packed(asked.repartition(parts, "vec_id"), width, turn, BLOCK // 4)
+    shape = "n int, ids binary, whole binary, turned binary, least binary"
 
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Adds the bounds of each query's k-th score and the ranges that can reach them."""
+        """Adds the bounds of each query's k-th score, the ranges that can reach them and the length needed for it."""
         top = Block(*seed)
         for batch in batches:
             for row in batch.to_pylist():
                 queries = Block(row["n"], row["ids"], row["whole"], row["turned"])
-                least = search(queries, top, np.full(row["n"], -np.inf), k)[3]
-                reach = [r for r in names if (queries.length * longest[r] * (1 + 1e-9) + 1e-3 >= least).any()]
-                yield pa.RecordBatch.from_pylist([{"to": reach, "q_n": row["n"], "q_ids": row["ids"], "q_whole": row["whole"], "q_turned": row["turned"], "least": least.tobytes()}], schema=pa.schema([("to", pa.list_(pa.int32())), ("q_n", pa.int32()), *((c, pa.binary()) for c in ("q_ids", "q_whole", "q_turned", "least"))]))
+                least = search(queries, top, np.full(row["n"], -np.inf), k)[1]
+                need = float(np.where(queries.length > 0, least / np.maximum(queries.length, 1e-300), np.where(least > 0, np.inf, -np.inf)).min())
+                reach = [r for r in names if longest[r] * (1 + 1e-5) + 1e-3 >= need]
+                made = {"to": reach, "part": row["range"], "group": row["block"] // GROUP_BLOCKS, "need": need, "n": row["n"], "ids": row["ids"], "whole": row["whole"], "turned": row["turned"], "least": least.tobytes()}
+                yield pa.RecordBatch.from_pylist([made], schema=pa.schema([("to", pa.list_(pa.int32())), ("part", pa.int32()), ("group", pa.int32()), ("need", pa.float64()), ("n", pa.int32()), *((c, pa.binary()) for c in ("ids", "whole", "turned", "least"))]))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A group's queries, then the blocks of a range by descending length."""
+        of, queries, found, least = None, [], [], []
+
+        def best() -> pa.RecordBatch:
+            ids = np.concatenate([q.ids[f[0]] for q, f in zip(queries, found, strict=True)])
+            rest = [np.concatenate([f[c] for f in found]) for c in (1, 2)]
+            return pa.RecordBatch.from_arrays([pa.array(ids), *map(pa.array, rest)], names=["query_id", "vec_id", "score"])
+
         for batch in batches:
             for row in range(len(batch)):
-                q_n, q_ids, q_whole, q_turned, least, n, ids, whole, turned = (c[row].as_py() for c in batch.columns)
-                queries = Block(q_n, q_ids, q_whole, q_turned)
-                q, i, s, _ = search(queries, Block(n, ids, whole, turned), np.frombuffer(least, np.float64), k)
-                yield pa.RecordBatch.from_arrays([pa.array(queries.ids[q]), pa.array(i), pa.array(s)], names=["query_id", "vec_id", "score"])
-
-    queries = packed.mapInArrow(bounded, "to array<int>, q_n int, q_ids binary, q_whole binary, q_turned binary, least binary")
-    queries = cut_lineage(queries).withColumn("range", F.explode("to")).drop("to")
-    pairs = queries.join(candidates, "range").select("q_n", "q_ids", "q_whole", "q_turned", "least", "n", "ids", "whole", "turned")
-    found = pairs.mapInArrow(scored, "query_id long, vec_id long, score long")
+                *key, n, ids, whole, turned, bounds = (c[row].as_py() for c in batch.columns)
+                if key != of:
+                    if queries:
+                        yield best()
+                    of, queries, found, least = key, [], [], []
+                block = Block(n, ids, whole, turned)
+                if bounds is not None:
+                    queries.append(block)
+                    found.append(NOTHING)
+                    least.append(np.frombuffer(bounds, np.float64))
+                else:
+                    for at, q in enumerate(queries):
+                        found[at], least[at] = search(q, block, least[at], k, found[at])
+        if queries:
+            yield best()
+
+    queries = cut_lineage(packed.mapInArrow(bounded, f"to array<int>, part int, group int, need double, {shape}")).withColumn("range", F.explode("to"))
+    needs = queries.groupBy("range", "part", "group").agg(F.min("need").alias("need"))
+    data, key = [c.split()[0] for c in shape.split(", ")], ["range", "part", "group"]
+    sent = candidates.join(needs, "range").filter(F.col("longest") * (1 + 1e-5) + 1e-3 >= F.col("need")).select(*key, F.col("block").alias("at"), *data[:-1], F.lit(None).cast("binary").alias("least"))
+    rows = queries.select(*key, F.lit(-1).alias("at"), *data).unionByName(sent)
+    found = rows.repartition(*key).sortWithinPartitions(*key, "at").drop("at").mapInArrow(scored, "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best).cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
