@@ -1,19 +1,28 @@
 """Licence scan over a positional rare-token index (operator 8), in DataFrame functions only.
 
-A template is a licence's notice; its rarer words, with their places in it, make the index. All of a
-file's words that are in it are looked up; postings that agree on the distance between file and template place are
-counted together, weighed by inverse document frequency (over all files). A template is named if its weight at
-the best distance is high enough and its mandatory key phrase stands in the file.
+Templates are licence notices of one line and whole texts, which are cut into sentences, as names and years stand
+between them. How many files have each of their words is counted over all files; the ``INDEX_WORDS`` words of a notice or
+sentence with the highest inverse document frequency, with their places, make the index. Each file's index words are
+looked up; postings that agree on the distance between file and template place are counted together, and the distance
+of most weight is the candidate. It is verified there over all words of the template, weighed by inverse document
+frequency. A licence is named if a notice reaches ``LEAST_SCORE`` of its weight, or the sentences of its whole text
+together do, and its mandatory key phrase stands in the file. Every template is looked up by itself, so what else a file
+holds changes nothing.
 
 Words are runs of digits, A-Z taken as a-z, and all that is not ASCII; places count words from 0. Defined results: null
-and empty texts have no words and no label; every row gets one row, repeated rows alike; columns beyond id and text are
-not read.
+and empty texts have no words and no label; very long texts are read whole; of distances of equal weight the smallest
+counts, of equally frequent words the first by name; every row gets one row, repeated rows alike; an empty table gives an
+empty result; null ids are kept. Columns beyond id and text are not read.
 """
 
 from __future__ import annotations
 
+import re
 import string
+from functools import reduce
 from itertools import starmap
+from math import log
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,15 +52,72 @@ TEMPLATES = [
     ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
 ]
 
-# Template words too common to look up.
-COMMON = frozenset("a and any are by charge code copy form forms free general in into is of or person public source subject terms the this to under use version with without 0 2 3 4".split())
+# Whole texts, in sentences.
+WHOLE = {
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+The Software is provided "as is", without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement.
+In no event shall the authors or copyright holders be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection with the Software or the use or other dealings in the Software.""",
+    "bsd": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+This software is provided by the copyright holders and contributors "as is" and any express or implied warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed.
+In no event shall the copyright holder or contributors be liable for any direct, indirect, incidental, special, exemplary, or consequential damages (including, but not limited to, procurement of substitute goods or services; loss of use, data, or profits; or business interruption) however caused and on any theory of liability, whether in contract, strict liability, or tort (including negligence or otherwise) arising in any way out of the use of this software, even if advised of the possibility of such damage.""",
+    "isc": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+The software is provided "as is" and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness.
+In no event shall the author be liable for any special, direct, indirect, or consequential damages or any damages whatsoever resulting from loss of use, data or profits, whether in an action of contract, negligence or other tortious action, arising out of or in connection with the use or performance of this software.""",
+    "apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.
+You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and limitations under the License.""",
+    "gpl-3.0": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+See the GNU General Public License for more details.
+You should have received a copy of the GNU General Public License along with this program.""",
+    "gpl-2.0": """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+See the GNU General Public License for more details.
+You should have received a copy of the GNU General Public License along with this program.""",
+    "mpl-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.
+If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "unlicense": """This is free and unencumbered software released into the public domain.
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain.
+We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors.
+We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+The software is provided "as is", without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement.
+In no event shall the authors be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection with the software or the use or other dealings in the software.""",
+}
+
+# Mandatory key phrases of whole texts, any of them.
+WHOLE_KEYS = {
+    "mit": ["permission is hereby granted free of charge"],
+    "bsd": ["redistribution and use in source and binary forms"],
+    "isc": ["permission to use copy modify and or distribute this software"],
+    "apache-2.0": ["apache license", "apache org licenses license 2 0"],
+    "gpl-3.0": ["either version 3 of the license", "general public license version 3"],
+    "gpl-2.0": ["either version 2 of the license", "general public license version 2"],
+    "mpl-2.0": ["mozilla public license"],
+    "unlicense": ["free and unencumbered software"],
+}
 
+#: Words of a notice or sentence in the index.
+INDEX_WORDS = 6
 #: Least share of a template's weight at the best distance.
 LEAST_SCORE = 0.6
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 _OTHER = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
-POSTINGS = [(w, t, at) for t, (_, notice, _) in enumerate(TEMPLATES) for at, w in enumerate(notice.split()) if w not in COMMON]
-RARE = sorted({w for w, _, _ in POSTINGS})
+
+
+def _words(text: str) -> list[str]:
+    return re.findall(f"{_WORD}+", text.translate(str.maketrans(string.ascii_uppercase, string.ascii_lowercase)))
+
+
+#: Of every notice and sentence its licence, whether it is a notice, and its words; by licence its key phrases.
+UNITS = [(label, True, notice.split()) for label, notice, _ in TEMPLATES] + [(label, False, _words(line)) for label, text in WHOLE.items() for line in text.split("\n")]
+VOCABULARY = sorted({w for _, _, words in UNITS for w in words})
+LABELS = sorted({label for label, _, _ in UNITS})
+KEYS = {label: [key for name, _, key in TEMPLATES if name == label] + WHOLE_KEYS.get(label, []) for label in LABELS}
 
 
 def _any_of(phrases: list[str]) -> str:
@@ -72,52 +138,74 @@ def _places(words: Column, phrase: str) -> Column:
     return F.when(F.size(words) > 0, F.filter(F.sequence(F.lit(0), F.size(words) - 1), stands)).otherwise(F.array().cast("array<int>"))
 
 
-def observed(docs: DataFrame) -> DataFrame:
-    """(doc_id, _key, n_words, places, hits, keys) for every row.
+def _texts(docs: DataFrame) -> DataFrame:
+    df = distinct_names(docs, "doc_id", "text").select("doc_id", F.coalesce("text", F.lit("")).alias("_text"))
+    return df.withColumn("_lower", F.translate("_text", string.ascii_uppercase, string.ascii_lowercase))
 
-    ``places`` has for each fixed phrase the word places, ``hits`` the rare words with their places, ``keys`` the
-    templates whose key phrase stands in the text. Only texts with a phrase or a rare word are split into words.
+
+def frequencies(docs: DataFrame) -> dict[str, float]:
+    """Inverse document frequency of every template word, over all files; the driver gets one row for each."""
+    own = F.array_intersect(F.regexp_extract_all("_lower", F.lit(f"{_WORD}+"), F.lit(0)), F.array(*map(F.lit, VOCABULARY)))
+    counts = _texts(docs).select(F.explode(F.concat(own, F.array(F.lit("")))).alias("word")).groupBy("word").count()
+    df = dict(map(tuple, counts.collect()))
+    return {w: log((df.get("", 0) + 2) / (df.get(w, 0) + 1)) for w in VOCABULARY}
+
+
+def index_words(idf: dict[str, float]) -> list[list[tuple[str, int]]]:
+    """Of every notice and sentence the rarest words, with all their places."""
+    rarest = [set(sorted(set(words), key=lambda w: (-idf[w], w))[:INDEX_WORDS]) for _, _, words in UNITS]
+    return [[(w, at) for at, w in enumerate(words) if w in rare] for (_, _, words), rare in zip(UNITS, rarest, strict=True)]
+
+
+def observed(docs: DataFrame, rare: list[str]) -> DataFrame:
+    """(doc_id, _key, n_words, places, hits, keys, words) for every row.
+
+    ``places`` has for each fixed phrase the word places, ``keys`` the licences of which a key phrase stands in the text,
+    ``hits`` the rare words with their places and ``words`` all of them, both only where there is a key. Only texts with
+    a phrase or a rare word are split into words.
     """
-    df = distinct_names(docs, "doc_id", "text").select("doc_id", F.coalesce("text", F.lit("")).alias("_text"))
-    df = df.withColumn("_key", F.struct(F.xxhash64("_text").alias("a"), F.xxhash64("_text", F.lit(1)).alias("b")))
+    df = _texts(docs).withColumn("_key", F.struct(F.xxhash64("_text").alias("a"), F.xxhash64("_text", F.lit(1)).alias("b")))
     df = df.withColumn("n_words", F.regexp_count("_text", F.lit(f"{_WORD}+")).cast("long"))
-    of_use = F.col("_text").rlike(_any_of([*PHRASES, *RARE]))
-    lowered = F.translate("_text", string.ascii_uppercase, string.ascii_lowercase)
-    df = df.withColumn("_words", F.when(of_use, F.regexp_extract_all(lowered, F.lit(f"{_WORD}+"), F.lit(0))).otherwise(F.array().cast("array<string>")))
+    of_use = F.col("_text").rlike(_any_of([*PHRASES, *rare]))
+    df = df.withColumn("_words", F.when(of_use, F.regexp_extract_all("_lower", F.lit(f"{_WORD}+"), F.lit(0))).otherwise(F.array().cast("array<string>")))
     words = F.col("_words")
     df = df.withColumn("_line", F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" ")))
-    hits = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("at"))), lambda s: s["word"].isin(RARE))
-    keys = F.filter(F.array(*[F.when(F.col("_line").contains(f" {key} "), F.lit(t)) for t, (_, _, key) in enumerate(TEMPLATES)]), lambda t: t.isNotNull())
-    return df.select("doc_id", "_key", "n_words", F.array(*[_places(words, p) for p in PHRASES]).alias("places"), hits.alias("hits"), keys.alias("keys"))
+    any_key = lambda label: reduce(or_, (F.col("_line").contains(f" {key} ") for key in KEYS[label]))
+    df = df.withColumn("keys", F.array_compact(F.array(*[F.when(any_key(label), F.lit(label)) for label in LABELS])))
+    hits = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("at"))), lambda s: s["word"].isin(rare))
+    with_key = lambda c: F.when(F.size("keys") > 0, c)
+    return df.select("doc_id", "_key", "n_words", F.array(*[_places(words, p) for p in PHRASES]).alias("places"), with_key(hits).alias("hits"), "keys", with_key(words).alias("words"))
 
 
-def matched(found: DataFrame) -> DataFrame:
-    """(_key, named, score): the templates found in each distinct text that has rare words."""
+def matched(found: DataFrame, idf: dict[str, float], index: list[list[tuple[str, int]]]) -> DataFrame:
+    """(_key, named, score): the licences found in each distinct text with a key phrase."""
     spark = found.sparkSession
-    texts = cut_lineage(found.filter(F.size("hits") > 0).select("_key", "hits", "keys").dropDuplicates(["_key"]))
-    # over all files; the driver gets one row for each rare word of the templates
-    counts = found.select(F.explode(F.array_distinct(F.transform("hits", lambda h: h["word"]))).alias("word")).groupBy("word").count()
-    n, df = found.count(), dict(map(tuple, counts.collect()))
-    idf = {w: F.log(F.lit((n + 2) / (df.get(w, 0) + 1))) for w in RARE}
-    weight = F.create_map(*[x for w in RARE for x in (F.lit(w), idf[w])])
+    texts = cut_lineage(found.filter(F.size("keys") > 0).select("_key", "hits", "keys", "words").dropDuplicates(["_key"]))
+    postings = spark.createDataFrame([(w, k, UNITS[k][0], at, idf[w]) for k, words in enumerate(index) for w, at in words], "word string, unit int, label string, place int, weight double")
+    units = spark.createDataFrame([(k, notice, words, float(sum(idf[w] for w in words))) for k, (_, notice, words) in enumerate(UNITS)], "unit int, notice boolean, template array<string>, whole double")
+    of_label = spark.createDataFrame([(label, float(sum(idf[w] for name, notice, words in UNITS if name == label and not notice for w in words))) for label in LABELS], "label string, total double")
     hit = texts.select("_key", "keys", F.explode("hits").alias("h")).select("_key", "keys", "h.word", "h.at")
-    postings = spark.createDataFrame(POSTINGS, "word string, template int, place int").withColumn("weight", weight[F.col("word")])
-    whole = postings.groupBy("template").agg(F.sum("weight").alias("whole"))
-    postings = F.broadcast(postings.join(whole, "template"))  # fixed size: the words of TEMPLATES
-    aligned = hit.join(postings, "word").filter(F.array_contains("keys", F.col("template")))
-    at_distance = aligned.groupBy("_key", "template", (F.col("at") - F.col("place")).alias("distance")).agg((F.sum("weight") / F.first("whole")).alias("score"))
-    best = at_distance.groupBy("_key", "template").agg(F.max("score").alias("score")).filter(F.col("score") >= LEAST_SCORE)
-    return best.groupBy("_key").agg(F.collect_set("template").alias("named"), F.least(F.max("score"), F.lit(1.0)).alias("score"))
+    aligned = hit.join(F.broadcast(postings), "word").filter(F.array_contains("keys", F.col("label")))  # fixed size: the words of the templates
+    at_distance = aligned.groupBy("_key", "unit", "label", (F.col("at") - F.col("place")).alias("distance")).agg(F.sum("weight").alias("weight"))
+    best = at_distance.groupBy("_key", "unit", "label").agg(F.max(F.struct("weight", (-F.col("distance")).alias("back"))).alias("b")).select("_key", "unit", "label", (-F.col("b.back")).alias("distance"))
+    weigh = F.create_map(*[x for w in VOCABULARY for x in (F.lit(w), F.lit(float(idf[w])))])
+    there = F.transform("template", lambda w, i: F.when(F.when(F.col("distance") + i >= 0, F.get("words", F.col("distance") + i)) == w, F.element_at(weigh, w)).otherwise(F.lit(0.0)))
+    checked = best.join(F.broadcast(units), "unit").join(texts.select("_key", "words"), "_key").withColumn("got", F.aggregate(there, F.lit(0.0), lambda a, x: a + x))
+    scores = checked.groupBy("_key", "label").agg(F.max(F.when(F.col("notice"), F.col("got") / F.col("whole"))).alias("line"), F.sum(F.when(~F.col("notice"), F.col("got"))).alias("text"))
+    scores = scores.join(F.broadcast(of_label), "label").withColumn("score", F.greatest(F.coalesce("line", F.lit(0.0)), F.when(F.col("total") > 0, F.coalesce("text", F.lit(0.0)) / F.col("total")).otherwise(F.lit(0.0))))
+    named = scores.filter(F.col("score") >= LEAST_SCORE)
+    return named.groupBy("_key").agg(F.collect_set("label").alias("named"), F.least(F.round(F.max("score"), 9), F.lit(1.0)).alias("score"))
 
 
 def licenses(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, places, base_labels, labels, score) for every row; labels are sorted arrays."""
-    found = cut_lineage(observed(docs))
-    named = cut_lineage(matched(found))
-    labels = F.array(*[F.lit(label) for label, _, _ in TEMPLATES])
+    idf = frequencies(docs)
+    index = index_words(idf)
+    found = cut_lineage(observed(docs, sorted({w for words in index for w, _ in words})))
+    named = cut_lineage(matched(found, idf, index))
     base = F.array_compact(F.array(*starmap(lambda k, label: F.when(F.size(F.col("places")[k]) > 0, F.lit(label)), enumerate(PHRASES.values()))))
     df = found.join(named, "_key", "left").withColumn("base_labels", F.array_sort(base))
-    own = F.transform(F.coalesce("named", F.array().cast("array<int>")), lambda t: F.get(labels, t))
+    own = F.coalesce("named", F.array().cast("array<string>"))
     score = F.greatest(F.coalesce("score", F.lit(0.0)), F.when(F.size("base_labels") > 0, F.lit(1.0)).otherwise(F.lit(0.0)))
     return df.select("doc_id", "n_words", "places", "base_labels", F.array_sort(F.array_distinct(F.concat("base_labels", own))).alias("labels"), score.alias("score"))
 

@@ -13,8 +13,10 @@ source nor its permutation meets in one task, and texts are never shuffled. ``pl
 source evenly over the mixture.
 
 Tokens are words (runs without white space). Defined results: a null source is a source of its own; null and empty
-texts have no tokens and are taken with their block's rows; repeated rows share their place and are taken together;
-with no tokens at all every row is taken once. Extra columns are kept as they are.
+texts have no tokens and are taken with their block's rows; very long texts are counted whole; repeated rows, and others
+whose hashes tie, share their place and are taken together; with no tokens at all every row is taken once; an empty
+table gives an empty result; null ids take part. Extra columns are kept as they are, whatever their names, but for
+``epoch`` and ``place``, which are made anew.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from math import log
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import cut_lineage, read_table
+from pairloom.llm.common import cut_lineage, distinct_names, read_table, whole_rows
 
 REPETITION_LIMIT = 1.5
 BLOCK_ROWS = 1000
@@ -86,6 +88,7 @@ def _place(df: DataFrame, seed: int) -> Column:
 
 def plan(docs: DataFrame, repetition_limit: float | None = REPETITION_LIMIT, entropy: float | None = None, total_tokens: int | None = None, seed: int = SEED) -> DataFrame:
     """One row for each source: tokens, p, weight, budget, epochs, and the place ``cut`` before which rows are taken once more."""
+    docs = distinct_names(docs, "doc_id", "text", "source")
     narrow = cut_lineage(docs.select(*_source_key(docs), tokens(F.col("text")).alias("tokens"), _place(docs, seed).alias("at")))
     key = ["_s", "_no"]
     sources = cut_lineage(shares(narrow.groupBy(*key).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("rows"))))
@@ -134,13 +137,14 @@ def mix(docs: DataFrame, seed: int = SEED, **target: float | int | None) -> Data
     Rows lie in the mixture by ``place``; for ``target`` see ``plan``.
     """
     times = F.when(F.col("tokens") > 0, F.col("budget") / F.col("tokens")).otherwise(F.lit(1.0))
-    planned = plan(docs, seed=seed, **target).select(F.struct("_s", "_no").alias("_mix_source"), F.struct("epochs", "cut", times.alias("times")).alias("_mix"))
-    keyed = docs.select("*", F.struct(*_source_key(docs)).alias("_mix_source"), _place(docs, seed).alias("_mix_at")).join(_few(planned)(planned), "_mix_source")
-    taken = F.col("_mix.epochs") + F.when(F.col("_mix_at") < F.col("_mix.cut"), F.lit(1)).otherwise(F.lit(0))
-    rows = keyed.withColumn("_mix_taken", taken.cast("int")).filter("_mix_taken > 0").withColumn("_mix_epoch", F.explode(F.sequence(F.lit(1), F.col("_mix_taken"))))
-    place = (F.col("_mix_epoch") - 1 + F.col("_mix_at") / F.lit(float(_SCALE))) / F.greatest(F.col("_mix.times"), F.lit(1e-12))
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("epoch", "place")]
-    return rows.select(*kept, F.col("_mix_epoch").alias("epoch"), F.least(place, F.lit(1.0)).alias("place"))
+    planned = plan(docs, seed=seed, **target).select("_s", "_no", "epochs", "cut", times.alias("times"))
+    rows = whole_rows(docs, "doc_id", "text", "source")
+    keyed = rows.select(*_source_key(rows), _place(rows, seed).alias("at"), "row").join(_few(planned)(planned), ["_s", "_no"])
+    taken = F.col("epochs") + F.when(F.col("at") < F.col("cut"), F.lit(1)).otherwise(F.lit(0))
+    rows = keyed.withColumn("taken", taken.cast("int")).filter("taken > 0").withColumn("epoch", F.explode(F.sequence(F.lit(1), F.col("taken"))))
+    place = (F.col("epoch") - 1 + F.col("at") / F.lit(float(_SCALE))) / F.greatest(F.col("times"), F.lit(1e-12))
+    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("epoch", "place")]
+    return rows.select(*kept, F.col("epoch"), F.least(place, F.lit(1.0)).alias("place"))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

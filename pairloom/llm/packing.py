@@ -12,8 +12,12 @@ sequences at this offset". Its size follows from the capacity, not from the data
 goes to the executors. A piece's rank among those of its length comes from salted counts: no group of equal lengths,
 however large, meets in one task.
 
-Defined results: a null text counts as empty, and an empty document is one piece that holds the end token alone.
-Repeated rows are packed as often as they occur. Columns beyond id and text are not read.
+Defined results: a null text counts as empty, and an empty document is one piece that holds the end token alone; very
+long texts are encoded whole, one to a batch if need be. Pieces of equal length are interchangeable: which of them stands
+where follows from id, number and checksum, and among repeated rows, which are packed as often as they occur, from the
+order in which they are read. Null ids take part; an empty table gives an empty result. Columns beyond id and text are
+not read by ``token_pieces``; ``pack`` keeps further columns of pieces, whatever their names, but for ``sequence_id``
+and ``offset``, which are made anew.
 """
 
 from __future__ import annotations
@@ -29,8 +33,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from pairloom.llm.common import bound_batches, cut_lineage, distinct_names, read_table, texts
+from pairloom.llm.common import bound_batches, cut_lineage, distinct_names, read_table, texts, whole_rows
 
 CAPACITY = 4096
 END_ID = 1
@@ -238,32 +243,30 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     The pieces are written once: their lengths are read for the histogram and again for the placing. The driver gets
     one row for each length, ``capacity`` at most.
     """
-    spark = pieces.sparkSession
-    pieces = cut_lineage(pieces)
+    spark, names = pieces.sparkSession, [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    kinds = [pieces.schema[c] for c in names]
+    pieces = cut_lineage(whole_rows(pieces.select(*[F.col(f"`{c}`") for c in names]), "doc_id", "piece", "length", "ids_crc32"))
     counts = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}
     segments = plan(counts, capacity)
     if len(segments) > MAX_SEGMENTS:
         raise ValueError(f"the packing plan has {len(segments)} segments, more than {MAX_SEGMENTS}")
     salts = max(64, ceil(sum(counts.values()) / RANK_GROUP))
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)).cast("int"))
-    before = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
-    w = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
-    before = before.select("length", "_salt", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
-    within = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece", "ids_crc32")
-    ranked = salted.withColumn("_rank", F.row_number().over(within)).join(before, ["length", "_salt"])
-    ranked = ranked.select(*pieces.columns, (F.col("_before") + F.col("_rank") - 1).alias("_rank"))
+    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)).cast("int"))
+    before = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
+    w = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    before = before.select("length", "salt", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("before"))
+    within = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
+    ranked = salted.withColumn("rank", F.row_number().over(within)).join(before, ["length", "salt"])
+    ranked = ranked.select("length", (F.col("before") + F.col("rank") - 1).alias("rank"), "row")
     sent = spark.sparkContext.broadcast(segments)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
-    names = pieces.columns
-    at, keep = names.index("length"), len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = batch.columns
-            sequence, offset = place(sent.value, columns[at].to_numpy(), columns[keep].to_numpy().astype(np.int64)) if len(batch) else (np.empty(0, np.int64),) * 2
-            yield pa.RecordBatch.from_arrays([*columns[:keep], pa.array(sequence), pa.array(offset)], names=[*names, "sequence_id", "offset"])
+            length, rank = (c.to_numpy().astype(np.int64) for c in batch.columns[:2])
+            sequence, offset = place(sent.value, length, rank) if len(batch) else (np.empty(0, np.int64),) * 2
+            yield pa.RecordBatch.from_arrays([*batch.column(2).flatten(), pa.array(sequence), pa.array(offset)], names=[*names, "sequence_id", "offset"])
 
-    return ranked.mapInArrow(run, schema)
+    return ranked.mapInArrow(run, StructType([*kinds, StructField("sequence_id", LongType()), StructField("offset", LongType())]))
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,8 +13,9 @@ from the root down and leaves out whole groups beyond the limit. A bucket gives
 connected groups, never all pairs.
 
 Defined results: null and empty texts have fingerprint zero and are linked like others; texts of fewer words than a
-shingle are one shingle; repeated rows stay; a null id takes part, and a group without any id has a null component.
-Columns beyond id and text are not read.
+shingle are one shingle; very long texts are read whole; a bit that half the shingles have is 0; repeated rows stay; a
+null id takes part, and a group without any id has a null component; an empty table gives an empty result. Columns
+beyond id and text are not read; ``keep_one`` returns all of them, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import bound_batches, cut_lineage, distinct_names, read_table, text_key, texts
+from pairloom.llm.common import bound_batches, cut_lineage, distinct_names, read_table, text_key, texts, whole_rows
 from pairloom.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -221,18 +222,17 @@ def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:
 
     Rows are told apart by id and text. Groups without any id are left as they are.
     """
-    by = ["doc_id", "_copy_key"]
-    groups = groups.withColumnRenamed("key", "_copy_key")
+    by = ["doc_id", "key"]
+    rows = whole_rows(docs, "doc_id", "text").select("doc_id", text_key(F.col("text")).alias("key"), "row")
     first = groups.filter("doc_id = component_id")
-    again = cut_lineage(first.groupBy("group").agg(F.count("*").alias("n"), F.min("_copy_key").alias("least"), F.first("doc_id").alias("doc_id")).filter("n > 1"))
+    again = cut_lineage(first.groupBy("group").agg(F.count("*").alias("n"), F.min("key").alias("least"), F.first("doc_id").alias("doc_id")).filter("n > 1"))
     drop = groups.filter("doc_id <> component_id").select(*by)
-    keyed = docs.withColumn("_copy_key", text_key(F.col("text")))
     if again.isEmpty():
-        return keyed.join(drop.distinct(), by, "left_anti").select(*docs.columns)
-    drop = drop.unionByName(first.join(again.select("group", "least"), "group").filter(F.col("_copy_key") != F.col("least")).select(*by))
-    rest, again = keyed.join(drop.distinct(), by, "left_anti"), again.select("doc_id", F.col("least").alias("_copy_key"))
+        return rows.join(drop.distinct(), by, "left_anti").select("row.*")
+    drop = drop.unionByName(first.join(again.select("group", "least"), "group").filter(F.col("key") != F.col("least")).select(*by))
+    rest, again = rows.join(drop.distinct(), by, "left_anti"), again.select("doc_id", F.col("least").alias("key"))
     once = rest.join(again, by, "left_semi").dropDuplicates(by)
-    return rest.join(again, by, "left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))
+    return rest.join(again, by, "left_anti").select("row.*").unionByName(once.select("row.*"))
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

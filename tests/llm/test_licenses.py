@@ -54,6 +54,28 @@ def test_no_notice_pushes_out_another(spark):
     assert got[10] == set()
 
 
+def test_every_pair_of_whole_texts_is_named(spark):
+    """With names and years in them, and a word of the second line changed."""
+    def copy(label):
+        first, second, *rest = licenses.WHOLE[label].split("\n")
+        second = " ".join("changed" if k == 2 else w for k, w in enumerate(second.split()))
+        return "\n".join([first, "by A. Person, 2019", second, *rest])
+
+    pairs = [(a, b) for a in licenses.WHOLE for b in licenses.WHOLE if a < b]
+    rows = [(k, f"{copy(a)}\n\nand\n\n{copy(b)}") for k, (a, b) in enumerate(pairs)] + [(1000 + k, f"plain text of number {k} without any of it") for k in range(30)]
+    got = {r["doc_id"]: set(r["labels"]) for r in licenses.licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, (a, b) in enumerate(pairs):
+        assert {a, b} <= got[k]
+    assert {tuple(got[1000 + k]) for k in range(30)} == {()}
+
+
+def test_no_python_on_the_way(spark, odd):
+    idf = dict.fromkeys(licenses.VOCABULARY, 1.0)
+    index = licenses.index_words(idf)
+    found = licenses.observed(odd, sorted({w for words in index for w, _ in words}))
+    assert "Python" not in licenses.matched(found, idf, index)._jdf.queryExecution().toString()
+
+
 def test_query(spark, texts):
     from .conftest import DATA
 

@@ -47,6 +47,39 @@ def test_repetition_limit(docs, monkeypatch, limit):
     assert again == sorted((r["doc_id"], r["epoch"], r["place"]) for r in rows)
 
 
+def test_against_a_plain_computation(spark, docs):
+    """Exponent by fine bisection over the shares, budgets, and rows in the order of the same places."""
+    rows = docs.withColumn("at", mixing._place(docs, mixing.SEED)).collect()
+    total = Counter()
+    for r in rows:
+        total[of(r)] += words(r)
+    p = {s: n / sum(total.values()) for s, n in total.items() if n}
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        a = (low + high) / 2
+        ratios = [x ** (a - 1) for x in p.values()]
+        low, high = (low, a) if max(ratios) <= mixing.REPETITION_LIMIT * min(ratios) else (a, high)
+    least = min(x ** (high - 1) for x in p.values())
+    budget = {s: round(total[s] * p[s] ** (high - 1) / least) if s in p else 0 for s in total}
+    got = {(r["_s"], r["_no"]): r["budget"] for r in mixing.plan(docs).collect()}
+    for s, n in budget.items():  # the exponent is found to a step of 16 ** -5
+        assert got[s or "", s is None] == pytest.approx(n, rel=1e-4, abs=1)
+    want = Counter()
+    for s in total:
+        own, left = sorted((r for r in rows if of(r) == s), key=lambda r: r["at"]), got[s or "", s is None]
+        epochs, rest = divmod(left, total[s]) if total[s] else (1, 0)
+        cut, used = 0, 0  # rows of a place go together, as long as the budget reaches beyond them
+        for at in sorted({r["at"] for r in own}):
+            n = sum(words(r) for r in own if r["at"] == at)
+            if used <= rest < used + n:
+                cut = at
+                break
+            used += n
+        for r in own:
+            want[r["doc_id"], s] += epochs + (r["at"] < cut)
+    assert Counter((r["doc_id"], r["source"]) for r in mixing.mix(docs).collect()) == +want
+
+
 def test_target_entropy_and_total(docs):
     plan = mixing.plan(docs, repetition_limit=None, entropy=1.3, total_tokens=5000).collect()
     assert -sum(p["weight"] * math.log(p["weight"]) for p in plan if p["weight"]) == pytest.approx(1.3, abs=1e-4)
