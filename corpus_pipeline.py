@@ -2,6 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each one's result as Parquet in the
 shared folder and reads it again as the next one's input. All but the last return the columns of documents.
+
+Defined results, of every stage: an empty table gives an empty one, and repeated rows count one by one unless a stage says
+otherwise. Null and empty texts fail the quality rules; the later stages, which take any table of documents, treat them as
+copies of each other, leave them as they are, take them once and pack the end token alone. Very long texts are read whole.
+Of copies the least id stays, one row if it is repeated; rows of a null id stay unless they are copies of one with an id.
+Extra columns come back as they are, whatever their names; the mixture makes ``epoch`` and ``place`` and drops them again,
+so columns of these two names are not taken.
 """
 
 from __future__ import annotations
@@ -10,7 +17,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pairloom.llm.common import shared_folder
+from pairloom.llm.common import distinct_names, shared_folder
 from pairloom.llm.mixing import mix
 from pairloom.llm.near_copies import near_copies
 from pairloom.llm.packing import pack, token_pieces
@@ -36,7 +43,7 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document once, and those of small sources as often as the tempered weights ask."""
-    return mix(docs).select(*docs.columns)
+    return distinct_names(mix(docs), *docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
