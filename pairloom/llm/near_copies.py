@@ -53,7 +53,7 @@ FIRST_BLOCKS = 8
 DEVIATIONS = 3.0
 #: Texts beyond which a bucket is cut, and a group of candidates, or bytes of its shingle sets.
 BUCKET_LIMIT, MEETING, MEETING_BYTES = 8192, 2000, 32 << 20
-#: Hot buckets or groups whose table, 32 bytes each, is sent to the executors; if there are more, only the largest are cut.
+#: Hot buckets or groups, of each turn, whose table, 32 bytes each, is sent to the executors; if there are more, only the largest are cut.
 HOT_LIMIT = 500_000
 _MIX = np.random.Generator(np.random.PCG64(SEED)).integers(1, 1 << 63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -299,27 +299,37 @@ def main_groups(rows: DataFrame) -> DataFrame:
     return counted.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("m"), F.sum("n").alias("rows")).select("key", F.col("m.comp").alias("main"), F.col("m.n").alias("own"), "rows")
 
 
-def _dealt(fps: DataFrame, blocks: list[np.ndarray], start: int) -> DataFrame:
-    """(key, node, comp, w0, …): every fingerprint once for each block."""
+def _keys(fps: list[bytes], blocks: list[np.ndarray], start: int) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints as rows of words, and for each row its key in each block."""
+    wide = np.frombuffer(b"".join(fps), np.uint64).reshape(len(fps), WORDS)
+    bits = np.unpackbits(wide.view(np.uint8), axis=1, bitorder="little")
+    return wide, np.stack([bits[:, b] @ (np.int64(1) << np.arange(len(b), dtype=np.int64)) | (start + k) << 40 for k, b in enumerate(blocks)], axis=1)
+
+
+def _dealt(fps: DataFrame, blocks: list[np.ndarray], start: int, to: object = None) -> DataFrame:
+    """(key, node, comp, w0, …): every fingerprint once for each block; ``to`` gives places of rows (None: all) and their keys instead."""
     names = ["key", "node", "comp", *(f"w{w}" for w in range(COMPARED))]
-    powers = [np.int64(1) << np.arange(len(b), dtype=np.int64) for b in blocks]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, len(whole), 2048):
-                batch = whole.slice(at, 2048)
-                wide = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint64).reshape(len(batch), WORDS)
-                bits = np.unpackbits(wide.view(np.uint8), axis=1, bitorder="little")
-                keys = np.stack([bits[:, b] @ p | (start + k) << 40 for k, (b, p) in enumerate(zip(blocks, powers, strict=True))], axis=1)
-                each = keys.shape[1]
-                again = lambda c: pa.array(np.repeat(np.ascontiguousarray(c), each))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), again(batch.column(0).to_numpy()), again(batch.column(1).to_numpy()), *(again(wide[:, w].view(np.int64)) for w in range(COMPARED))], names=names)
+            for at in range(0, len(whole), 512):
+                batch = whole.slice(at, 512)
+                wide, keys = _keys(batch.column(2).to_pylist(), blocks, start)
+                node, comp = (np.repeat(batch.column(k).to_numpy(), keys.shape[1]) for k in range(2))
+                key, row = keys.ravel(), np.repeat(np.arange(len(batch)), keys.shape[1])
+                if to is not None:
+                    taken, key = to(key, node, comp)
+                    if taken is not None:
+                        node, comp, row = node[taken], comp[taken], row[taken]
+                for k in range(0, len(key), 20_480):
+                    of = slice(k, k + 20_480)
+                    yield pa.RecordBatch.from_arrays([pa.array(key[of]), pa.array(node[of]), pa.array(comp[of]), *(pa.array(wide[row[of], w].view(np.int64)) for w in range(COMPARED))], names=names)
 
     return fps.select("node", "comp", "fp").mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
-def _counted(rows: DataFrame) -> DataFrame:
-    """(key, n): how many rows have a key, less those that are alone in a task, so that rare keys are not shuffled."""
+def _counted(fps: DataFrame, blocks: list[np.ndarray], start: int) -> DataFrame:
+    """(key, n): how many fingerprints have a key, less those that are alone in a task, so that rare keys are not shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, waiting = [], [], 0
@@ -329,20 +339,21 @@ def _counted(rows: DataFrame) -> DataFrame:
             return key, np.bincount(at, np.concatenate(counts)).astype(np.int64)
 
         for batch in batches:
-            key, n = np.unique(batch.column(0).to_numpy(), return_counts=True)
-            keys.append(key)
-            counts.append(n)
-            waiting += len(key)
-            if waiting > 4_000_000:
-                key, n = merged()
-                keys, counts, waiting = [key], [n], len(key) // 2
+            for at in range(0, len(batch), 2048):
+                key, n = np.unique(_keys(batch.column(0).slice(at, 2048).to_pylist(), blocks, start)[1], return_counts=True)
+                keys.append(key)
+                counts.append(n)
+                waiting += len(key)
+                if waiting > 2_000_000:
+                    key, n = merged()
+                    keys, counts, waiting = [key], [n], len(key) // 2
         if keys:
             key, n = merged()
             key, n = key[n > 1], n[n > 1]
             for k in range(0, len(key), 10_000):
                 yield pa.RecordBatch.from_arrays([pa.array(key[k : k + 10_000]), pa.array(n[k : k + 10_000])], names=["key", "n"])
 
-    return rows.select("key").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return fps.select("fp").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def _forests(rows: DataFrame, limit: int) -> DataFrame:
@@ -382,21 +393,20 @@ def _forests(rows: DataFrame, limit: int) -> DataFrame:
 def near_copy_links(fps: DataFrame, blocks: list[np.ndarray], limit: int, start: int = 0) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b), a < b, within the limit among fingerprints (columns node, comp, fp): spanning forests of the buckets between
     groups ``comp``; and the buckets (key, n) that are cut into parts that don't meet."""
-    rows = _dealt(fps, blocks, start)
-    large = _largest(_counted(rows), BUCKET_LIMIT)
+    large = _largest(_counted(fps, blocks, start), BUCKET_LIMIT)
     hot = hot_keys(large, BUCKET_LIMIT)
-    if len(hot.key):
-        rows = _mapped(rows, lambda key, node, comp: (None, hot.parted(key, node)))
-    return _forests(rows, limit), large
+    parted = (lambda key, node, comp: (None, hot.parted(key, node))) if len(hot.key) else None
+    return _forests(_dealt(fps, blocks, start, parted), limit), large
 
 
 def links_of_large_buckets(fps: DataFrame, blocks: list[np.ndarray], limit: int, large: DataFrame) -> DataFrame | None:
     """The same for pairs that buckets ``large`` keep apart; None if none of them has several groups."""
     if large.isEmpty():
         return None
-    rows = _dealt(fps, blocks, 0)
-    hot = hot_keys(large, BUCKET_LIMIT, main_groups(rows.select("key", "comp").join(large.select("key"), "key", "left_semi")))
-    return _forests(_mapped(rows, hot.met), limit) if len(hot.key) else None
+    there = np.array(sorted(r["key"] for r in large.select("key").collect()), np.int64)
+    rows = _dealt(fps, blocks, 0, lambda key, node, comp: ((at := np.flatnonzero(np.isin(key, there))), key[at]))
+    hot = hot_keys(large, BUCKET_LIMIT, main_groups(rows.select("key", "comp")))
+    return _forests(_dealt(fps, blocks, 0, hot.met), limit) if len(hot.key) else None
 
 
 def _mapped(rows: DataFrame, to: object) -> DataFrame:

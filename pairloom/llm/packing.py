@@ -40,7 +40,7 @@ from pairloom.llm.common import bound_batches, cut_lineage, distinct_names, read
 CAPACITY = 4096
 END_ID = 1
 #: Entries of a worker's word caches; when full, a cache starts anew.
-CACHE_ENTRIES = 900_000
+CACHE_ENTRIES = 600_000
 #: Pieces of one length that meet in one ranking group, about.
 RANK_GROUP = 100_000
 #: The most segments a plan may have, 48 bytes each; from capacity and run splitting, checked before it is sent.
