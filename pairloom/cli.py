@@ -1,14 +1,17 @@
-"""Command line: ``python -m pairloom.cli run|preview …``."""
+"""Command line: ``python -m pairloom.cli run|tune|compare|preview …``."""
 
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.sql import SparkSession
 
 from pairloom.config import load, override
 from pairloom.operators.eda import preview
+from pairloom.operators.cleaning import clean_events
 from pairloom.output.writers import write_preview
+from pairloom.plans import tuning
 from pairloom.plans.recommend import run
 from pairloom.sources.events import scan_events, scan_products
 
@@ -27,12 +30,31 @@ def main(argv: list[str] | None = None) -> int:
     p = commands.add_parser("preview", help="export the first lists as CSV and JSON")
     for name in ("--recommendations", "--output"):
         p.add_argument(name, required=True)
+    p.add_argument("--products", help="a catalogue, for the names of items")
     p.add_argument("--items", type=int, default=20)
     p.add_argument("--top-k", type=int, default=10)
+    t = commands.add_parser("tune", help="search for settings")
+    for name in ("--events", "--config", "--tuning", "--train-until", "--output"):
+        t.add_argument(name, required=True)
+    t.add_argument("--products")
+    t.add_argument("--validation-days", type=int, default=1)
+    c = commands.add_parser("compare", help="best trials of sweeps")
+    c.add_argument("--tuning", required=True)
+    c.add_argument("sweeps", nargs="+")
     a = parser.parse_args(argv)
     spark = SparkSession.builder.appName("pairloom").getOrCreate()
     if a.command == "preview":
-        write_preview(preview(spark.read.parquet(a.recommendations), a.items, a.top_k), a.output)
+        catalogue = scan_products(spark, a.products) if a.products else None
+        write_preview(preview(spark.read.parquet(a.recommendations), a.items, a.top_k, catalogue), a.output)
+        return 0
+    if a.command == "compare":
+        for row in tuning.compared(a.sweeps, load(a.tuning)["objective"]):
+            print(json.dumps(row, default=str))
+        return 0
+    if a.command == "tune":
+        config, catalogue = load(a.config), scan_products(spark, a.products) if a.products else None
+        best = tuning.tune(clean_events(scan_events(spark, a.events)), catalogue, config, load(a.tuning), a.train_until, a.validation_days, a.output)
+        print(json.dumps(best, default=str))
         return 0
     changes = {"pipeline.lookback_days": a.lookback_days} if a.lookback_days else {}
     if a.top_k:

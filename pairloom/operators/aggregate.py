@@ -33,11 +33,18 @@ def with_weighted_counts(df: DataFrame) -> DataFrame:
 
 
 def aggregate_window(pairs: DataFrame, start: str, end: str, time_decay: TimeDecay = TimeDecay()) -> DataFrame:
-    """From raw pairs."""
-    weight = F.col("graph_weight") * time_decay.weight(_age(end))
-    found = with_graph_weight(_window(pairs, start, end)).groupBy(*PAIR).agg(
-        *count_columns(weight), F.count_distinct("user_id").alias("unique_users"), F.count_distinct("user_id", "session_index").alias("unique_sessions")
-    )
+    """From raw pairs.
+
+    Pairs are dealt once by pair and user: sessions and users are then counted by plain sums, and a pair that very many
+    users share goes to its total as one row for each of them. Distinct counts beside sums would write every row thrice.
+    """
+    weight, sums = F.col("graph_weight") * time_decay.weight(_age(end)), [*RAW_COUNTS, *WEIGHTED_COUNTS]
+    total = [F.sum(c).alias(c) for c in sums]
+    dealt = with_graph_weight(_window(pairs, start, end)).repartition(*PAIR, "user_id")
+    of_session = dealt.groupBy(*PAIR, "user_id", "session_index").agg(*count_columns(weight))
+    one = F.when(F.col("user_id").isNotNull() & F.col("session_index").isNotNull(), 1).otherwise(0)
+    of_user = of_session.groupBy(*PAIR, "user_id").agg(*total, F.sum(one).alias("unique_sessions"))
+    found = of_user.groupBy(*PAIR).agg(*total, F.count("user_id").alias("unique_users"), F.sum("unique_sessions").alias("unique_sessions"))
     return _named(found, start, end)
 
 

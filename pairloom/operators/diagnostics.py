@@ -46,10 +46,14 @@ def session_markers(events: DataFrame, timeout_minutes: float = 30, user: str =
 
 
 def gap_summary(events: DataFrame, timeout_minutes: float = 30, by: Sequence[str] = (), quantiles: Sequence[float] = QUANTILES) -> DataFrame:
-    """Counts and linear quantiles of gaps; markers start anew in each key of ``by``."""
-    d = F.col("time_diff_seconds")
-    marked = session_markers(events, timeout_minutes, by=by)
-    return marked.groupBy(*by).agg(
-        F.count("*").alias("events"), F.count(d).alias("diffs"), F.count_if(d < 0).alias("negative"), F.count_if(d == 0).alias("zero"), F.count_if(d > timeout_minutes * 60).alias("over_timeout"), F.sum("is_new_session").alias("sessions"),
-        *(F.percentile(d, F.lit(q)).alias(f"p{round(100 * q)}") for q in quantiles),
+    """Counts and linear quantiles of gaps; markers start anew in each key of ``by``.
+
+    Gaps are whole seconds: they are counted by value first, so what meets in the end is distinct values alone.
+    """
+    d, n = F.col("time_diff_seconds"), F.col("_n")
+    counted = session_markers(events, timeout_minutes, by=by).groupBy(*by, d).agg(F.count("*").alias("_n"), F.sum("is_new_session").alias("_new"))
+    of = lambda test, name: F.coalesce(F.sum(F.when(test, n)), F.lit(0)).alias(name)
+    return counted.groupBy(*by).agg(
+        F.sum(n).alias("events"), of(d.isNotNull(), "diffs"), of(d < 0, "negative"), of(d == 0, "zero"), of(d > timeout_minutes * 60, "over_timeout"), F.sum("_new").alias("sessions"),
+        *(F.percentile(d, F.lit(q), n).alias(f"p{round(100 * q)}") for q in quantiles),
     )

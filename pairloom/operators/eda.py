@@ -16,15 +16,22 @@ def user_activity(events: DataFrame) -> DataFrame:
     return events.groupBy("user_id").agg(F.count("*").alias("events"))
 
 
+def _by_value(df: DataFrame, column: str) -> DataFrame:
+    """How often each value occurs (column _n): quantiles are taken over these, not over all rows in one task."""
+    return df.groupBy(column).agg(F.count("*").alias("_n"))
+
+
 def activity_quantiles(events: DataFrame, quantiles: Sequence[float] = (0.5, 0.9, 0.95, 0.99)) -> DataFrame:
-    return user_activity(events).agg(F.count("*").alias("users"), *(F.percentile("events", F.lit(q)).alias(f"p{round(100 * q)}") for q in quantiles), F.max("events").alias("most"))
+    users = _by_value(user_activity(events), "events")
+    return users.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("users"), *(F.percentile("events", F.lit(q), F.col("_n")).alias(f"p{round(100 * q)}") for q in quantiles), F.max("events").alias("most"))
 
 
 def heavy_users(events: DataFrame, quantile: float = 0.99) -> DataFrame:
     """One row: users at or above a quantile of activity, their events, and their share of all."""
-    users = user_activity(events)
-    cut = users.agg(F.percentile("events", F.lit(quantile)).alias("_cut"), F.sum("events").alias("_all"))
-    return users.join(F.broadcast(cut)).filter(F.col("events") >= F.col("_cut")).agg(F.count("*").alias("users"), F.sum("events").alias("events"), (F.sum("events") / F.first("_all")).alias("share"))  # the cut is one row
+    users = _by_value(user_activity(events), "events")
+    cut = users.agg(F.percentile("events", F.lit(quantile), F.col("_n")).alias("_cut"), F.sum(F.col("events") * F.col("_n")).alias("_all"))
+    above = users.join(F.broadcast(cut)).filter(F.col("events") >= F.col("_cut")).withColumn("_e", F.col("events") * F.col("_n"))  # the cut is one row
+    return above.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("users"), F.sum("_e").alias("events"), (F.sum("_e") / F.first("_all")).alias("share"))
 
 
 def popularity_concentration(popularity: DataFrame, tops: Sequence[int] = (10, 100, 1000)) -> DataFrame:
@@ -75,8 +82,8 @@ def catalogue_reconciliation(events: DataFrame, products: DataFrame) -> DataFram
 def sampled_session_lengths(sessions: DataFrame, per_mille: int = 50, quantiles: Sequence[float] = (0.5, 0.9, 0.99)) -> DataFrame:
     """One row: quantiles of session lengths over a hashed sample of users, the feature of this query."""
     users = sessions.filter(F.pmod(F.xxhash64("user_id"), F.lit(1000)) < per_mille)
-    lengths = users.groupBy("user_id", "session_index").agg(F.count("*").alias("n"))
-    return lengths.agg(F.count("*").alias("sessions"), *(F.percentile("n", F.lit(q)).alias(f"p{round(100 * q)}") for q in quantiles))
+    lengths = _by_value(users.groupBy("user_id", "session_index").agg(F.count("*").alias("n")), "n")
+    return lengths.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("sessions"), *(F.percentile("n", F.lit(q), F.col("_n")).alias(f"p{round(100 * q)}") for q in quantiles))
 
 
 def item_catalogue(recommendations: DataFrame, products: DataFrame) -> DataFrame:
@@ -96,7 +103,12 @@ def search_items(catalogue: DataFrame, query: str) -> DataFrame:
     return catalogue.filter(F.lower(F.coalesce("item_name", F.lit(""))).contains(q.lower())) if exact.isEmpty() else exact
 
 
-def preview(recommendations: DataFrame, items: int = 20, top_k: int = 10) -> DataFrame:
-    """The first recommendations of the first items, by id."""
+def preview(recommendations: DataFrame, items: int = 20, top_k: int = 10, products: DataFrame | None = None) -> DataFrame:
+    """The first recommendations of the first items, by id, with the names of both items if there is a catalogue."""
     first = recommendations.select("item_id").distinct().orderBy("item_id").limit(items)
-    return recommendations.filter(F.col("rank") <= top_k).join(first, "item_id", "left_semi")
+    found = recommendations.filter(F.col("rank") <= top_k).join(first, "item_id", "left_semi")
+    if products is None:
+        return found
+    name = products.groupBy("item_id").agg(F.min("name").alias("item_name"))
+    similar = name.select(F.col("item_id").alias("similar_item_id"), F.col("item_name").alias("similar_item_name"))
+    return found.join(name, "item_id", "left").join(similar, "similar_item_id", "left").select(*recommendations.columns, "item_name", "similar_item_name")

@@ -119,6 +119,7 @@ def fallback_hits(recommendations: DataFrame, truth: DataFrame, top_k: int) -> D
     return mean_metrics(rows, truth, top_k).select(F.col("hit").alias("fallback_hit_rate"), F.col("recall").alias("fallback_recall"))
 
 
+# Names of metrics, which readers of results go by.
 @dataclass(frozen=True)
 class OfflineMetrics:
     hit_rate_at_k: float | None = None

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pairloom.operators.aggregate import with_weighted_counts
 from pairloom.schemas import CONTRACTS, RAW_COUNTS, WEIGHTED_COUNTS
+from pairloom.sources.files import staged
 
 # Level labels in order, and the order of popularity (all descending, ties to the smaller id).
 LEVELS = {
@@ -104,9 +105,11 @@ def merge_fallback(recommendations: DataFrame, popularity: DataFrame, products:
 
     Behavioural rows come first. A candidate belongs to the first level that yields it; fallback rows have score and
     raw counts 0 and no weighted counts. With an empty popularity pool the recommendations come back as they are.
+    Recommendations and popularity are written once, as each is read several times here.
     """
     if not settings.enabled or not settings.levels():
         return recommendations
+    popularity = staged(popularity)
     usable = popularity.filter(F.col("item_id").isNotNull() & (F.coalesce("events_count", F.lit(0)) >= settings.min_item_events))
     if usable.isEmpty():
         return recommendations
@@ -115,6 +118,7 @@ def merge_fallback(recommendations: DataFrame, popularity: DataFrame, products:
     base = base.filter("item_id IS NOT NULL AND similar_item_id IS NOT NULL AND item_id <> similar_item_id")
     once = Window.partitionBy("item_id", "similar_item_id").orderBy("rank")
     base = base.withColumn("_once", F.row_number().over(once)).filter("_once = 1").withColumn("_place", F.row_number().over(own)).filter(F.col("_place") <= settings.top_k).drop("_once")
+    base = staged(base)
     sources = base.select("item_id")
     if settings.include_cold_start_items:
         sources = sources.unionByName(usable.select("item_id"))

@@ -40,11 +40,12 @@ def session_items(sessions: DataFrame, settings: PairSettings = PairSettings())
     """One row for each item of a session: its strongest action, that action's widget, and its first position.
 
     Equal priorities go to the earlier event, then to the smaller widget and action name. Sessions with fewer than two
-    or more than the allowed items are left out. All keys start with the user, by whom sessions are dealt already.
+    or more than the allowed items are left out. Sessions are dealt by user and session, so a user with very many of them is
+    no task's alone; one with very many events is cut to its items by partial sums only after its events are placed.
     """
     require_columns(sessions, "sessions")
     session = ["user_id", "session_index"]
-    events = sessions.filter(F.col("action_type").isin(*settings.actions) & F.col("item_id").isNotNull())
+    events = sessions.filter(F.col("action_type").isin(*settings.actions) & F.col("item_id").isNotNull()).repartition(*session)
     order = Window.partitionBy(*session).orderBy("timestamp", "item_id", "action_type", "widget_name")
     placed = events.withColumn("_position", F.row_number().over(order)).withColumn("_priority", settings.priority(F.col("action_type")))
     strongest = F.struct("_priority", (-F.col("_position")).alias("_earlier"))
@@ -107,6 +108,11 @@ def pair_session_keys(pairs: DataFrame) -> DataFrame:
     return pairs.select("pair_date", *PAIR, "user_id", "session_index").distinct()
 
 
+def raw_pair_rows(pairs: DataFrame) -> DataFrame:
+    """How many raw pairs each day has."""
+    return pairs.groupBy("pair_date").agg(F.count("*").alias("raw_pair_rows"))
+
+
 @dataclass(frozen=True)
 class DailyPairStats:
     counts: DataFrame

@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.schemas import CONTRACTS, require_columns
+from pairloom.sources.files import staged
 
 TIMEOUT_MINUTES = 30
+#: Events from which on a user's rows are ordered by day instead of all at once.
+HEAVY_EVENTS = 1_000_000
 ORDER = "timestamp", "item_id", "action_type"
 
 
@@ -56,3 +59,17 @@ def build_sessions_by_day(clean: DataFrame, timeout_minutes: float = TIMEOUT_MIN
     so_far = F.sum("_new").over(within.rowsBetween(Window.unboundedPreceding, 0))
     indexed = marked.join(begun, day).withColumn("_so_far", so_far)
     return indexed.withColumn("session_index", F.col("_base") + F.col("_so_far")).withColumn("session_start_date", F.when(F.col("_so_far") > 0, F.col("event_date")).otherwise(F.col("_began"))).select(*CONTRACTS["sessions"])
+
+
+def build_sessions_of_all(clean: DataFrame, timeout_minutes: float = TIMEOUT_MINUTES, heavy_events: int = HEAVY_EVENTS) -> DataFrame:
+    """The same sessions whoever has most of the events: users of ``heavy_events`` or more by day, all others at once.
+
+    Counts are partial sums by user. The heavy users are at most all events over ``heavy_events``, so Spark may broadcast
+    them by their true size; the two parts of the events are never shuffled for being told apart where it does.
+    """
+    heavy = clean.groupBy("user_id").agg(F.count("*").alias("_n")).filter(F.col("_n") >= heavy_events).select("user_id")
+    heavy = staged(heavy)
+    if heavy.isEmpty():
+        return build_sessions(clean, timeout_minutes)
+    light = build_sessions(clean.join(heavy, "user_id", "left_anti"), timeout_minutes)
+    return light.unionByName(build_sessions_by_day(clean.join(heavy, "user_id", "left_semi"), timeout_minutes))

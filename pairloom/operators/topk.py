@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pairloom.schemas import CONTRACTS, WEIGHTED_COUNTS
 
-#: Which of two rows of a pair stays: the larger in these columns, one after the other.
+# Which of two rows of a pair stays, the larger in these columns, one after the other.
 _LARGER = ("score", "pair_count", "to_cart_count", "favorite_count", "click_count", "view_count", "unique_users", "unique_sessions")
 
 

@@ -3,10 +3,7 @@
 from __future__ import annotations
 
 import json
-import os
-import shutil
 from collections.abc import Mapping
-from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -14,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pairloom.operators.fallback import catalogue
 from pairloom.schemas import CONTRACTS, require_columns
+from pairloom.sources.files import joined, write_text
 
 
 def enriched(recommendations: DataFrame, products: DataFrame) -> DataFrame:
@@ -30,6 +28,13 @@ def lookup_lists(recommendations: DataFrame) -> DataFrame:
     return placed.select("item_id", F.transform("_placed", lambda p: p["similar_item_id"]).alias("similar_items_sku_list"))
 
 
+def combined(first: DataFrame, *more: DataFrame) -> DataFrame:
+    """All rows, by names of columns; a column that a table lacks is null in its rows."""
+    for df in more:
+        first = first.unionByName(df, allowMissingColumns=True)
+    return first
+
+
 def write_detailed(recommendations: DataFrame, path: str) -> None:
     require_columns(recommendations, "recommendations").write.mode("overwrite").parquet(path)
 
@@ -54,18 +59,16 @@ def write_preview(recommendations: DataFrame, folder: str) -> None:
 
 
 def write_manifest(path: str, values: Mapping[str, Any]) -> None:
-    """JSON on the driver; written beside and renamed, so readers see a whole one."""
-    target = Path(path)
-    target.parent.mkdir(parents=True, exist_ok=True)
-    part = target.with_suffix(".part")
-    part.write_text(json.dumps(values, indent=2, sort_keys=True, default=str))
-    os.replace(part, target)
+    """JSON from the driver, to any store; readers see a whole one."""
+    write_text(path, json.dumps(values, indent=2, sort_keys=True, default=str))
 
 
 def publish_latest(run_dir: str, latest_dir: str, rows: int, allow_empty: bool = False) -> bool:
-    """Make a run's outputs the latest ones, unless they are empty; whether they were."""
+    """Point ``latest`` at a run's outputs, unless they are empty; whether it was done.
+
+    The pointer is a manifest that is replaced as a whole: a reader finds the last run or this one, never a part.
+    """
     if not rows and not allow_empty:
         return False
-    shutil.rmtree(latest_dir, ignore_errors=True)
-    shutil.copytree(run_dir, latest_dir)
+    write_manifest(joined(latest_dir, "manifest.json"), {"run_dir": run_dir, "rows": rows, "lookup_path": joined(run_dir, "lookup.parquet"), "detailed_path": joined(run_dir, "detailed.parquet")})
     return True

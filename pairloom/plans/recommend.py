@@ -5,21 +5,22 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, replace
 from datetime import date, timedelta
-from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.config import Settings, override
+from pairloom.config import Settings, get, override
 from pairloom.operators.aggregate import aggregate_window, aggregate_window_from_daily
 from pairloom.operators.cleaning import clean_events
 from pairloom.operators.evaluation import OfflineMetrics, ground_truth, offline_metrics
 from pairloom.operators.fallback import merge_fallback
 from pairloom.operators.pairs import DailyPairStats, daily_pair_stats, item_pairs
 from pairloom.operators.popularity import action_distribution, action_shares, item_popularity
-from pairloom.operators.sessions import build_sessions
+from pairloom.operators.sessions import build_sessions, build_sessions_of_all
 from pairloom.output.writers import publish_latest, write_daily, write_detailed, write_enriched, write_lookup, write_manifest
+from pairloom.plans.incremental import cached, daily_tables, day_inputs
+from pairloom.sources.files import joined, staged
 
 
 def window(train_until: str, lookback_days: int) -> tuple[str, str]:
@@ -47,15 +48,21 @@ def _within(df: DataFrame, start: str, end: str, column: str = "event_date") ->
     return df.filter(F.col(column).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
 
 
-def recommend(clean: DataFrame, products: DataFrame | None, settings: Settings, train_until: str, daily: DailyPairStats | None = None) -> Plan:
-    """Recommendations from clean events of the lookback, or from daily pair tables built before."""
+def recommend(clean: DataFrame, products: DataFrame | None, settings: Settings, train_until: str, daily: DailyPairStats | None = None, keep: str | None = None) -> Plan:
+    """Recommendations from clean events of the lookback, or from daily pair tables built before.
+
+    With ``keep`` the window's pair aggregates are written there and gone on from.
+    """
     start, end = window(train_until, settings.lookback_days)
     clean = _within(clean, start, end)
-    sessions = build_sessions(clean, settings.timeout_minutes)
+    sessions = build_sessions_of_all(clean, settings.timeout_minutes)
     if daily is not None:
         aggregates = aggregate_window_from_daily(daily.counts, daily.user_keys, daily.session_keys, start, end, settings.time_decay)
     else:
         aggregates = aggregate_window(item_pairs(sessions, settings.pairs), start, end, settings.time_decay)
+    if keep is not None:
+        aggregates.write.mode("overwrite").parquet(keep)
+        aggregates = clean.sparkSession.read.parquet(keep)
     popularity = item_popularity(clean, actions=settings.actions)
     distribution = action_distribution(clean, start, end, settings.actions)
     scorer = settings.scorer
@@ -97,14 +104,21 @@ class RunResult:
 
 
 def run(raw: DataFrame, products: DataFrame | None, config: Mapping[str, Any], train_until: str, output_dir: str, run_id: str, validation_days: int = 0, latest_dir: str | None = None) -> RunResult:
-    """A whole run: recommendations, look-up lists and side tables as Parquet, metrics if asked, and a manifest."""
+    """A whole run: recommendations, look-up lists and side tables as Parquet, metrics if asked, and a manifest.
+
+    With ``pipeline.update_strategy`` incremental, daily tables under ``pipeline.daily_dir`` (beside the runs, if there is
+    none) are reused. The pairs of the window and the ground truth are kept too: the latter in the validation cache, by
+    the files of its days and the settings that shape it.
+    """
     settings = Settings.from_config(config)
     clean = clean_events(raw, settings.actions)
     start, end = window(train_until, settings.lookback_days)
     if not settings.allow_empty_input and _within(clean, start, end).isEmpty():
         raise ValueError(f"no item events from {start} to {end}")
-    plan = recommend(clean, products, settings, train_until)
-    out = Path(output_dir) / run_id
+    incremental = get(config, "pipeline.update_strategy") == "incremental"
+    daily = daily_tables(raw, settings, start, end, get(config, "pipeline.daily_dir", joined(output_dir, "_daily"))) if incremental else None
+    out = joined(output_dir, run_id)
+    plan = recommend(clean, products, settings, train_until, daily, joined(out, "pair_aggregates.parquet"))
     spark = raw.sparkSession
     write_detailed(plan.recommendations, f"{out}/detailed.parquet")
     made = spark.read.parquet(f"{out}/detailed.parquet")
@@ -116,14 +130,21 @@ def run(raw: DataFrame, products: DataFrame | None, config: Mapping[str, Any], t
     rows = made.count()
     metrics = None
     if validation_days:
-        truth = validation_truth(clean, config, train_until, validation_days)
+        made_truth = lambda: validation_truth(clean, config, train_until, validation_days)
+        if incremental:
+            last = str(date.fromisoformat(train_until) + timedelta(days=validation_days))
+            inputs = {d: files for d, files in day_inputs(raw).items() if train_until < d <= last}
+            about = {"train_until": train_until, "validation_days": validation_days, "inputs": inputs, "actions": settings.actions, "timeout": settings.timeout_minutes, "priority": settings.pairs.signal_priority, "most_items": settings.pairs.max_items_per_session, "mode": settings.relevance_mode, "weights": settings.relevance_weights}
+            truth = cached(get(config, "evaluation.cache_dir", joined(output_dir, "_validation_cache")), about, made_truth)
+        else:
+            truth = staged(made_truth())
         metrics = offline_metrics(made, truth, settings.topk.top_k, spark.read.parquet(f"{out}/item_popularity.parquet"), settings.ranking_actions, settings.min_ranking_relevance)
         write_manifest(f"{out}/metrics.json", metrics.as_dict())
     manifest = f"{out}/manifest.json"
     write_manifest(manifest, {"run_id": run_id, "train_until_date": train_until, "window_start": start, "window_end": end, "rows": rows, "lookup_path": "lookup.parquet", "detailed_path": "detailed.parquet"})
     if latest_dir is not None:
-        publish_latest(str(out), latest_dir, rows)
-    return RunResult(str(out), rows, manifest, metrics)
+        publish_latest(out, latest_dir, rows, bool(get(config, "pipeline.allow_empty_latest_update", False)))
+    return RunResult(out, rows, manifest, metrics)
 
 
 def write_daily_stats(stats: DailyPairStats, folder: str) -> None:

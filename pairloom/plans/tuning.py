@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import csv
+import io
 import json
 import math
 import random
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from itertools import product
-from pathlib import Path
 from typing import Any
 
 from pairloom.output.writers import write_manifest
+from pairloom.sources.files import exists, folders, joined, read_text, staged, write_text
 
 Params = dict[str, Any]
 #: Parameters that only the last steps read.
@@ -19,10 +20,13 @@ SCORING_ONLY = ("scoring.", "topk.", "business.fallback.")
 
 
 def values(spec: Mapping[str, Any]) -> list[Any]:
-    """Grid values of a parameter: choice, int_range or float_range."""
+    """Grid values of a parameter: choice, int_range, float_range, or ``steps`` points of a log_float_range."""
     kind = spec["type"]
     if kind == "choice":
         return list(spec["values"])
+    if kind == "log_float_range":
+        steps, low = max(2, int(spec.get("steps", 5))), math.log(spec["min"])
+        return [round(math.exp(low + (math.log(spec["max"]) - low) * k / (steps - 1)), 10) for k in range(steps)]
     step = spec.get("step", 1)
     n = math.floor((spec["max"] - spec["min"]) / step + 1e-9)
     if kind == "int_range":
@@ -83,7 +87,7 @@ class Sweep:
     """Trials with their results, written after each one, so that a broken sweep can go on."""
 
     def __init__(self, evaluate: Callable[[Params], Mapping[str, float | None]], spec: Mapping[str, Any], folder: str) -> None:
-        self.evaluate, self.spec, self.folder = evaluate, spec, Path(folder)
+        self.evaluate, self.spec, self.folder = evaluate, spec, folder
         self.results: list[dict[str, Any]] = []
 
     def trial(self, params: Params) -> dict[str, Any]:
@@ -91,21 +95,22 @@ class Sweep:
         metrics = dict(self.evaluate(params))
         result = {"trial_id": trial_id, "params": params, "metrics": metrics, "objective": objective(metrics, self.spec)}
         self.results.append(result)
-        write_manifest(str(self.folder / "trials" / trial_id / "metrics.json"), result)
+        write_manifest(joined(self.folder, "trials", trial_id, "metrics.json"), result)
         self.checkpoint()
         return result
 
     def checkpoint(self) -> None:
         rows = [{"trial_id": r["trial_id"], "objective": r["objective"], **r["params"], **r["metrics"]} for r in self.results]
-        with (self.folder / "results.csv").open("w", newline="") as f:
-            writer = csv.DictWriter(f, list(dict.fromkeys(k for r in rows for k in r)))
-            writer.writeheader()
-            writer.writerows(rows)
+        text = io.StringIO(newline="")
+        writer = csv.DictWriter(text, list(dict.fromkeys(k for r in rows for k in r)))
+        writer.writeheader()
+        writer.writerows(rows)
+        write_text(joined(self.folder, "results.csv"), text.getvalue())
         top = best(self.results, self.spec)
-        write_manifest(str(self.folder / "summary.json"), {"trials": len(rows), "best": top})
+        write_manifest(joined(self.folder, "summary.json"), {"trials": len(rows), "best": top})
         if top:
-            write_manifest(str(self.folder / "best_metrics.json"), top["metrics"])
-            write_manifest(str(self.folder / "best_config.json"), top["params"])
+            write_manifest(joined(self.folder, "best_metrics.json"), top["metrics"])
+            write_manifest(joined(self.folder, "best_config.json"), top["params"])
 
     def run(self, trials: Iterator[Params]) -> Mapping[str, Any] | None:
         for p in trials:
@@ -136,8 +141,11 @@ class Sweep:
 def recover(folder: str, spec: Mapping[str, Any]) -> Sweep:
     """A sweep from the results of its trials."""
     sweep = Sweep(lambda p: {}, spec, folder)
-    for path in sorted(Path(folder).glob("trials/*/metrics.json")):
-        r = json.loads(path.read_text())
+    for name in folders(joined(folder, "trials")):
+        path = joined(folder, "trials", name, "metrics.json")
+        if not exists(path):  # the trial was broken off
+            continue
+        r = json.loads(read_text(path))
         sweep.results.append({**r, "objective": objective(r["metrics"], spec)})
     if sweep.results:
         sweep.checkpoint()
@@ -150,7 +158,7 @@ def scoring_trials(clean, sessions, popularity, distribution, aggregates, produc
     from pairloom.operators.evaluation import offline_metrics
     from pairloom.plans.recommend import score_and_rank
 
-    aggregates, popularity, truth = aggregates.persist(), popularity.persist(), truth.persist()
+    aggregates, popularity, truth = staged(aggregates), staged(popularity), staged(truth)
 
     def evaluate(params: Params) -> Mapping[str, float | None]:
         if not is_scoring_only(params):
@@ -160,3 +168,60 @@ def scoring_trials(clean, sessions, popularity, distribution, aggregates, produc
         return offline_metrics(plan.recommendations, truth, settings.topk.top_k, popularity, settings.ranking_actions, settings.min_ranking_relevance).as_dict()
 
     return evaluate
+
+
+def trials_of(clean, products, config, train_until: str, validation_days: int, lookback_days: int | None = None) -> Callable[[Params], Mapping[str, float | None]]:  # noqa: ANN001
+    """An evaluator of whole runs; ``lookback_days`` shortens them for the cheap turn of halving. The truth is made once."""
+    from pairloom.config import Settings, override
+    from pairloom.operators.evaluation import offline_metrics
+    from pairloom.plans.recommend import recommend, validation_truth
+
+    truth = staged(validation_truth(clean, config, train_until, validation_days))
+
+    def evaluate(params: Params) -> Mapping[str, float | None]:
+        changes = {**params, **({"pipeline.lookback_days": lookback_days} if lookback_days else {})}
+        settings = Settings.from_config(override(config, changes))
+        plan = recommend(clean, products, settings, train_until)
+        return offline_metrics(staged(plan.recommendations), truth, settings.topk.top_k, plan.popularity, settings.ranking_actions, settings.min_ranking_relevance).as_dict()
+
+    return evaluate
+
+
+def tune(clean, products, config, tuning: Mapping[str, Any], train_until: str, validation_days: int, folder: str) -> Mapping[str, Any] | None:  # noqa: ANN001
+    """The sweep that ``tuning`` asks for: space, objective, method (grid, random, halving, annealing), trials and seed.
+
+    Where only the last steps vary, trials share everything before them. Halving tries candidates on one day of training
+    and one of validation first. The best whole configuration is written as ``best_full_config.json``.
+    """
+    from pairloom.config import Settings, override
+    from pairloom.plans.recommend import recommend, validation_truth
+
+    space, spec, method = tuning["space"], tuning["objective"], tuning.get("method", "grid")
+    trials, seed = int(tuning.get("trials", 20)), tuning.get("seed")
+    if is_scoring_only(space) and method != "halving":
+        plan = recommend(clean, products, Settings.from_config(config), train_until)
+        evaluate = scoring_trials(clean, plan.sessions, plan.popularity, plan.distribution, plan.aggregates, products, validation_truth(clean, config, train_until, validation_days), config)
+    else:
+        evaluate = trials_of(clean, products, config, train_until, validation_days)
+    sweep = Sweep(evaluate, spec, folder)
+    if method == "annealing":
+        top = sweep.annealing(space, trials, seed=seed)
+    elif method == "halving":
+        top = sweep.halving(list(sampled(space, trials, seed)), trials_of(clean, products, config, train_until, 1, lookback_days=1))
+    elif method in ("grid", "random"):
+        top = sweep.run(grid(space, tuning.get("trials")) if method == "grid" else sampled(space, trials, seed))
+    else:
+        raise ValueError(f"unknown method {method}")
+    if top:
+        write_manifest(joined(folder, "best_full_config.json"), override(config, top["params"]))
+    return top
+
+
+def compared(folders_: Sequence[str], spec: Mapping[str, Any]) -> list[dict[str, Any]]:
+    """The best trial of each finished sweep, from the best down."""
+    rows = []
+    for folder in folders_:
+        results = recover(folder, spec).results
+        if top := best(results, spec):
+            rows.append({"sweep": folder, "trials": len(results), **top})
+    return sorted(rows, key=lambda r: -r["objective"])

@@ -13,12 +13,12 @@ from pairloom.operators.aggregate import aggregate_window, aggregate_window_from
 from pairloom.operators.cleaning import clean_events
 from pairloom.operators.evaluation import TemporalSplit, coverage, fallback_hits, ground_truth, item_metrics, mean_metrics, popularity_bias, ranking_truth, source_shares, split_train_validation
 from pairloom.operators.fallback import FallbackSettings, candidate_pools, merge_fallback
-from pairloom.operators.pairs import PairSettings, daily_pair_stats, item_pairs, session_items
+from pairloom.operators.pairs import PairSettings, daily_pair_stats, item_pairs, raw_pair_rows, session_items
 from pairloom.operators.popularity import action_distribution, item_popularity
 from pairloom.operators.scoring import Scorer
-from pairloom.operators.sessions import build_sessions, build_sessions_by_day
+from pairloom.operators.sessions import build_sessions, build_sessions_by_day, build_sessions_of_all
 from pairloom.operators.topk import TopK
-from pairloom.output.writers import enriched, lookup_lists
+from pairloom.output.writers import combined, enriched, lookup_lists
 from pairloom.schemas import ACTIONS, RAW_COUNTS, WEIGHTED_COUNTS
 from pairloom.sources.adapters import basket_events, products, raw_events
 
@@ -136,7 +136,13 @@ _query("sessions_by_day", _sql("SELECT * FROM sessions", "sessions"))(lambda s,
 _query("session_items", _sql("SELECT * FROM items", "items"))(lambda s, d: session_items(_sessions(s, d)))
 _query("item_pairs", _sql("SELECT * FROM pairs", "pairs"))(_pairs)
 _query("item_pairs_30min", _sql("SELECT * FROM pairs", "pairs", timeout=30))(lambda s, d: item_pairs(build_sessions(_clean(s, d), 30)))
-_query("item_pairs_baskets", None)(lambda s, d: item_pairs(build_sessions(clean_events(basket_events(s, d)), 30)))
+_BASKETS = """SELECT CAST(o_custkey AS BIGINT) user_id, CAST(o_orderdate AS DATE) AS date, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + to_minutes(CAST(l_linenumber AS BIGINT)) AS timestamp,
+        CASE WHEN l_returnflag = 'A' THEN 'favorite' WHEN l_returnflag = 'R' THEN 'to_cart' WHEN l_linestatus = 'O' THEN 'view' ELSE 'click' END action_type,
+        CASE WHEN l_linestatus = 'O' THEN 'search_catalog_listing' ELSE 'product_detailed_page' END widget_name, CAST(NULL AS VARCHAR) search_query, CAST(l_partkey AS BIGINT) item_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+_query("sessions_of_all", _sql("SELECT * FROM sessions", "sessions"))(lambda s, d: build_sessions_of_all(_clean(s, d), TIMEOUT, heavy_events=70))
+_query("clean_string_timestamps", _sql("SELECT * FROM clean", "clean"))(lambda s, d: clean_events(raw_events(s, d).withColumn("timestamp", F.col("timestamp").cast("string"))))
+_query("raw_pair_rows", _sql("SELECT pair_date, count(*) raw_pair_rows FROM pairs GROUP BY 1", "pairs"))(lambda s, d: raw_pair_rows(_pairs(s, d)))
+_query("item_pairs_baskets", _sql("SELECT * FROM pairs", "pairs", timeout=30).replace(_CTE["raw"], _BASKETS))(lambda s, d: item_pairs(build_sessions(clean_events(basket_events(s, d)), 30)))
 _query("max_distance", _sql("SELECT * FROM pairs WHERE position_distance <= 2", "pairs"))(lambda s, d: _pairs(s, d, PairSettings(distance_decay=DistanceDecay(enabled=True, max_distance=2))))
 
 _TABLE = "CASE WHEN abs(t.event_position - s.event_position) > 5 THEN 0.1 WHEN abs(t.event_position - s.event_position) >= 5 THEN 0.3 WHEN abs(t.event_position - s.event_position) >= 3 THEN 0.6 WHEN abs(t.event_position - s.event_position) >= 2 THEN 0.8 ELSE 1.0 END"
@@ -325,7 +331,8 @@ _RAW_NAMES = ("user_id", "date", "timestamp", "action_type", "widget_name", "sea
 _query("null_profile", _sql(" UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) row_count, count(*) - count({c}) null_count, (count(*) - count({c})) / count(*) null_share FROM raw" for c in _RAW_NAMES), "raw"))(lambda s, d: diagnostics.null_profile(raw_events(s, d)))
 _query("action_profile", _sql("""SELECT action_type, count(*) AS rows, count(DISTINCT user_id) unique_users, count(DISTINCT item_id) unique_items, count(*) - count(item_id) missing_items, count(*) - count(widget_name) missing_widgets,
     (count(*) - count(item_id)) / count(*) missing_item_share, (count(*) - count(widget_name)) / count(*) missing_widget_share, round(count(*) / sum(count(*)) OVER (), 9) row_share FROM raw GROUP BY 1""", "raw"))(lambda s, d: diagnostics.action_profile(raw_events(s, d)).withColumn("row_share", F.round("row_share", 9)))
-_query("schema_overview", None)(lambda s, d: diagnostics.schema_overview(raw_events(s, d)))
+_OVERVIEW = "VALUES ('user_id', 'bigint'), ('date', 'date'), ('timestamp', 'timestamp_ntz'), ('action_type', 'string'), ('widget_name', 'string'), ('search_query', 'string'), ('item_id', 'bigint')"
+_query("schema_overview", f"SELECT * FROM ({_OVERVIEW}) t(column_name, dtype)")(lambda s, d: diagnostics.schema_overview(raw_events(s, d)))
 _GAP = "count(*) events, count(g) diffs, count(*) FILTER (g < 0) negative, count(*) FILTER (g = 0) zero, count(*) FILTER (g > 1800) over_timeout, CAST(sum(CASE WHEN g IS NULL OR g > 1800 THEN 1 ELSE 0 END) AS BIGINT) sessions, " + ", ".join(f"round(quantile_cont(g, {q}), 6) p{round(100 * q)}" for q in diagnostics.QUANTILES)
 _QS = tuple(f"p{round(100 * q)}" for q in diagnostics.QUANTILES)
 _query("gap_summary", _sql(f"SELECT {_GAP} FROM (SELECT *, date_sub('second', lag(timestamp) OVER (PARTITION BY user_id ORDER BY timestamp), timestamp) g FROM clean)", "clean"))(lambda s, d: _rounded(diagnostics.gap_summary(_clean(s, d)), *_QS))
@@ -357,3 +364,6 @@ _query("search_quality", _SEARCH + "SELECT count(*) AS rows, count(*) - count(s)
 _query("top_queries", _SEARCH + "SELECT lower(trim(s)) AS query, count(*) AS rows FROM q WHERE trim(s) <> '' GROUP BY 1 ORDER BY rows DESC, query LIMIT 50")(lambda s, d: eda.top_queries(_searches(s, d)))
 _query("sampled_session_lengths", None)(lambda s, d: eda.sampled_session_lengths(_sessions(s, d), 300))
 _query("item_search", _sql("SELECT item_id, name item_name FROM prod WHERE contains(lower(coalesce(name, '')), 'a')", "raw", ("prod",)))(lambda s, d: eda.search_items(products(s, d).select("item_id", F.col("name").alias("item_name")), "A"))
+_query("union_missing_columns", _sql("SELECT item_id, similar_item_id, score, rank, source, pair_count FROM top UNION ALL SELECT item_id, similar_item_id, score, rank, 'again', NULL FROM top", "top"))(
+    lambda s, d: combined(_top(s, d).select("item_id", "similar_item_id", "score", "rank", "source", "pair_count"), _top(s, d).select("item_id", "similar_item_id", "score", "rank", F.lit("again").alias("source")))
+)

@@ -3,29 +3,33 @@
 from __future__ import annotations
 
 import json
-from pathlib import Path
 from typing import Any
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from pairloom.sources.files import exists, joined, read_text
+
 
 class SimilarItems:
-    """Lists at a Parquet path, a folder that has ``lookup.parquet``, or a manifest that names one."""
+    """Lists at a Parquet path, a folder that has ``lookup.parquet`` or a manifest, or a manifest that names one; in any store."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self._lists = spark.read.parquet(self._resolve(path))
 
     @staticmethod
     def _resolve(path: str) -> str:
-        p = Path(path)
-        if p.suffix == ".json":
-            named = json.loads(p.read_text())
-            target = next((named[k] for k in ("lookup_path", "lookup", "widget_output_path") if named.get(k)), None)
-            if target is None:
-                raise ValueError(f"{path} names no look-up table")
-            return str(target if Path(target).is_absolute() else p.parent / target)
-        return str(p / "lookup.parquet") if (p / "lookup.parquet").exists() else path
+        manifest = path if path.endswith(".json") else joined(path, "manifest.json")
+        if not path.endswith(".json"):
+            if exists(joined(path, "lookup.parquet")):
+                return joined(path, "lookup.parquet")
+            if not exists(manifest):
+                return path
+        named = json.loads(read_text(manifest))
+        target = next((named[k] for k in ("lookup_path", "lookup", "widget_output_path") if named.get(k)), None)
+        if target is None:
+            raise ValueError(f"{path} names no look-up table")
+        return target if "://" in target or target.startswith("/") else joined(manifest.rpartition("/")[0] or ".", target)
 
     def get(self, item_id: Any, top_k: int = 10) -> list[Any]:
         """The first similar items; none for an unknown item. The filter reaches the scan."""

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.schemas import empty, require_columns, schema
+from pairloom.sources.files import exists, folders
 
 
 def payload_dir(base: str | Path, names: Sequence[str] = ()) -> Path:
@@ -24,9 +25,10 @@ def payload_dir(base: str | Path, names: Sequence[str] = ()) -> Path:
     raise FileNotFoundError(f"no data under {base}")
 
 
-def event_dates(events: DataFrame) -> list[str]:
-    """Dates that have partitions, sorted; answered from partition names, not from rows."""
-    return sorted(str(r[0]) for r in events.select("date").distinct().collect() if r[0] is not None)
+def event_dates(events: DataFrame | str) -> list[str]:
+    """Dates that have partitions, sorted: the names of a root's folders, or those in a table's list of files; no file is opened."""
+    names = folders(events) if isinstance(events, str) else {part for f in events.inputFiles() for part in f.split("/")}
+    return sorted(name.partition("=")[2] for name in names if name.startswith("date=") and not name.endswith("=__HIVE_DEFAULT_PARTITION__"))
 
 
 def filter_dates(available: Iterable[str], dates: Sequence[str] | None = None, start: str | None = None, end: str | None = None, sample_days: int | None = None) -> list[str]:
@@ -43,7 +45,7 @@ def scan_events(spark: SparkSession, root: str, dates: Sequence[str] | None = No
     if validate:
         require_columns(df, "raw_events")
     if dates is not None or start is not None or end is not None or sample_days is not None:
-        available = event_dates(df)
+        available = event_dates(root)
         wanted = filter_dates([d for d in available if dates is None or d in dates], None, start, end, sample_days)
         if not wanted:
             raise FileNotFoundError(f"no event partitions under {root} for these dates")
@@ -69,7 +71,7 @@ def scan_products(spark: SparkSession, root: str, columns: Sequence[str] | None
 
 def scan_or_empty(spark: SparkSession, paths: Sequence[str], contract: str) -> DataFrame:
     """Tables at the paths that exist, or an empty one of the contract."""
-    there = [p for p in paths if Path(p).exists()]
+    there = [p for p in paths if exists(p)]
     return spark.read.schema(schema(contract)).parquet(*there) if there else empty(spark, contract)
 
 
@@ -79,7 +81,7 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
 
 
 def file_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of each file, from the footers alone: the aggregate is pushed into the scan."""
+    """Rows of each file. No column is read, so tasks open the files' footers and count from their row groups."""
     return spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"))
 
 

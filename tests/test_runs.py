@@ -2,6 +2,7 @@ import datetime as dt
 import io
 import json
 import os
+import random
 import tarfile
 
 import pytest
@@ -135,6 +136,55 @@ def test_incremental(tmp_path):
     assert len(incremental.cache_key({"a": 1})) == 24
 
 
+def test_incremental_runs_equal_full_ones(spark, tmp_path):
+    """Also after a day is replaced, one is added, and the window moves; days that didn't change aren't written again."""
+    rnd = random.Random(5)
+
+    def write(day, n):
+        rows = [(u, ts(day, f"{h:02}:{m:02}"), rnd.choice(["view", "click", "to_cart"]), rnd.randrange(8)) for u in range(6) for h, m in [(rnd.randrange(24), rnd.randrange(60)) for _ in range(n)]]
+        rows += [(7, ts(day, f"{h:02}:00"), "view", h % 8) for h in range(0, 24)]  # one session over all days
+        raw(spark, rows).write.mode("overwrite").partitionBy("date", "action_type").option("partitionOverwriteMode", "dynamic").parquet(f"{tmp_path}/events")
+
+    def both(until, name, days):
+        config = override(CONFIG, {"pipeline.session_timeout_minutes": 70, "pipeline.lookback_days": days, "pipeline.daily_dir": f"{tmp_path}/daily"})
+        events = scan_events(spark, f"{tmp_path}/events")
+        found = []
+        for strategy in ("full_retrain", "incremental"):
+            result = run(events, products(spark), override(config, {"pipeline.update_strategy": strategy}), until, f"{tmp_path}/out-{strategy}", name, validation_days=int(name == "a"))
+            table = spark.read.parquet(f"{result.output_dir}/detailed.parquet")
+            found.append((sorted(map(tuple, table.select("item_id", "similar_item_id", "score", "rank", "source", "pair_count", "unique_users", "unique_sessions").collect())), result.metrics))
+        assert found[0] == found[1]
+        assert found[0][0]
+
+    for day in (1, 2, 3, 4):
+        write(day, 5)
+    both("2024-03-03", "a", 3)
+    stamp = lambda: {p.name: p.stat().st_mtime_ns for p in (tmp_path / "daily/counts").iterdir() if p.is_dir()}
+    before = stamp()
+    both("2024-03-03", "b", 3)
+    assert stamp() == before  # all from before
+    write(2, 3)
+    both("2024-03-03", "c", 3)
+    write(5, 4)
+    both("2024-03-04", "d", 3)
+
+
+def test_validation_cache_and_latest(spark, tmp_path):
+    made = []
+
+    def truth():
+        made.append(1)
+        return spark.createDataFrame([(len(made),)], "n long")
+
+    for about, n in (({"a": 1}, 1), ({"a": 1}, 1), ({"a": 2}, 2)):
+        assert incremental.cached(f"{tmp_path}/cache", about, truth).first()["n"] == n
+    spark.createDataFrame([(1, [5])], "item_id long, similar_items_sku_list array<long>").write.parquet(f"{tmp_path}/r1/lookup.parquet")
+    assert publish_latest(f"{tmp_path}/r1", f"{tmp_path}/latest", 1)
+    assert SimilarItems(spark, f"{tmp_path}/latest").get(1) == [5]
+    assert not publish_latest(f"{tmp_path}/r2", f"{tmp_path}/latest", 0)
+    assert publish_latest(f"{tmp_path}/r2", f"{tmp_path}/latest", 0, allow_empty=True)
+
+
 SPACE = {"scoring.beta": {"type": "float_range", "min": 0.0, "max": 1.0, "step": 0.5}, "topk.top_k": {"type": "choice", "values": [1, 2]}}
 SPEC = {"primary": "hit", "supporting": ["recall"], "penalties": ["bias"], "constraints": {"min_hit": 0.1}}
 
