@@ -146,7 +146,7 @@ def base_spans(docs: DataFrame) -> DataFrame:
         df = df.withColumn(kind, F.filter(kind, _valid(kind)))
     df = located(df, FOUND, F.col("_text").rlike("[0-9]"), CANDIDATE, len(KINDS) + 1)
     df = df.withColumn("_base", F.array_sort(F.concat(*KINDS)))
-    clear = F.filter(FOUND, lambda c: (F.length(c["value"]) >= CANDIDATE_LENGTH) & ~F.exists("_base", lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"])))
+    clear = F.filter(FOUND, lambda c: (F.length(c["value"]) >= CANDIDATE_LENGTH) & ~F.exists("_base", lambda s: (s["start"] <= c["start"]) & (c["end"] <= s["end"])))  # one within a seed is no instance of its own
     df = df.withColumn("_others", F.when(F.size(FOUND) > 0, clear).otherwise(F.col(FOUND)))
     is_key = lambda s: s["value"].rlike(f"^(?:{'|'.join(KEYS)})$")
     known = lambda s: s.withField("kind", F.when(is_key(s), F.lit(SECRET)).otherwise(F.lit(FOUND))).withField("rank", F.when(is_key(s), len(KINDS)).otherwise(len(KINDS) + 1))
