@@ -167,9 +167,13 @@ def judged(assessed: DataFrame, model: list[tuple[float, float]]) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept. Rows are written once with their votes, so no text is measured twice."""
-    assessed = cut_lineage(assess(whole_rows(docs, "doc_id", "text"), ("row",)))
-    return judged(assessed, learn(assessed)).filter("kept").select("row.*")
+    """The rows of ``docs`` that are kept.
+
+    Texts are measured twice, for the model and for the verdicts: to write the rows with their votes in between, or to
+    shuffle them to their verdicts, takes as much disk as the input, measuring again takes none.
+    """
+    model = learn(assess(docs))
+    return judged(assess(whole_rows(docs, "doc_id", "text"), ("row",)), model).filter("kept").select("row.*")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
