@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pairloom.llm.embedding_dedup import op11_embedding_dedup
 from pairloom.llm.html_text import op2_html_text
 from pairloom.llm.licenses import op8_licenses
 from pairloom.llm.mixing import op3_mixing
@@ -20,6 +21,7 @@ from pairloom.llm.url_filter import op5_url_filter
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op10_quality_rules": op10_quality_rules,
+    "op11_embedding_dedup": op11_embedding_dedup,
     "op2_html_text": op2_html_text,
     "op3_mixing": op3_mixing,
     "op4_best_fit_packing": op4_best_fit_packing,
@@ -31,6 +33,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op11_embedding_dedup": """
+        WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) w FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (SELECT a.vec_id a, b.vec_id b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND list_inner_product(a.w, b.w) / sqrt(list_inner_product(a.w, a.w)) / sqrt(list_inner_product(b.w, b.w)) >= 0.93),
+        reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+        SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, (SELECT min(b) FROM reach WHERE a = vec_id) AS component_id, component_id = vec_id AS kept FROM embeddings""",
     "op5_url_filter": """
         WITH rest AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END r FROM pages),
         parts AS (SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host, regexp_extract(r, '^[^/?#]*([^?#]*)', 1) path FROM rest),
