@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pairloom.llm.conversation_trie import op13_conversation_trie
 from pairloom.llm.embedding_dedup import op11_embedding_dedup
 from pairloom.llm.html_text import op2_html_text
 from pairloom.llm.licenses import op8_licenses
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op10_quality_rules": op10_quality_rules,
     "op11_embedding_dedup": op11_embedding_dedup,
+    "op13_conversation_trie": op13_conversation_trie,
     "op2_html_text": op2_html_text,
     "op3_mixing": op3_mixing,
     "op4_best_fit_packing": op4_best_fit_packing,
@@ -37,8 +39,22 @@ ORACLE_SQL: dict[str, str] = {
         WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) w FROM embeddings
             WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
         links AS (SELECT a.vec_id a, b.vec_id b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND list_inner_product(a.w, b.w) / sqrt(list_inner_product(a.w, a.w)) / sqrt(list_inner_product(b.w, b.w)) >= 0.93),
-        reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
-        SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, (SELECT min(b) FROM reach WHERE a = vec_id) AS component_id, component_id = vec_id AS kept FROM embeddings""",
+        reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+        counts AS (SELECT a vec_id, count(*) n FROM links GROUP BY 1), least AS (SELECT a vec_id, min(b) c FROM reach GROUP BY 1)
+        SELECT vec_id, coalesce(n, 0) AS n_links, c AS component_id, coalesce(c = vec_id, true) AS kept FROM embeddings LEFT JOIN counts USING (vec_id) LEFT JOIN least USING (vec_id)""",
+    "op13_conversation_trie": """
+        WITH turns AS (SELECT conv_id, coalesce(role, '') r, coalesce(text, '') t, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 i FROM conversations WHERE conv_id IS NOT NULL),
+        convs AS (SELECT DISTINCT conv_id, conv_id - conv_id % 100 base, CASE WHEN conv_id % 100 = 0 THEN 0 ELSE xor(4294967295, list_reduce(list_transform(str_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+            lambda crc, byte: list_reduce([0, 1, 2, 3, 4, 5, 6, 7], lambda c, k: xor(c >> 1, (c & 1) * 3988292384), xor(crc, byte)), CAST(4294967295 AS BIGINT))) % 6 END h FROM turns),
+        parts AS (SELECT c.conv_id, 0 k, i, r, t FROM convs c JOIN turns b ON b.conv_id = base AND i < h UNION ALL SELECT conv_id, 1, i, r, t FROM convs JOIN turns USING (conv_id) WHERE i >= h),
+        sequences AS (SELECT conv_id, coalesce(list({'r': r, 't': t} ORDER BY k, i) FILTER (WHERE t IS NOT NULL), []) s FROM convs LEFT JOIN parts USING (conv_id) GROUP BY 1),
+        members AS (SELECT conv_id, d, s[1:d] p, len(s) n, CASE WHEN d > 0 THEN length(s[d].t) ELSE 0 END chars FROM sequences, LATERAL (SELECT unnest(range(0, len(s) + 1)) d)),
+        nodes AS (SELECT p, d, min(conv_id) conv_id, count(*) n_convs, max(chars) chars, sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = d), '')) ends FROM members GROUP BY 1, 2),
+        children AS (SELECT p[1:d-1] p, d - 1 d, count(*) n FROM nodes WHERE d > 0 GROUP BY 1, 2),
+        all_ AS (SELECT nodes.*, coalesce(n, 0) n_children FROM nodes LEFT JOIN children USING (p, d)),
+        subtrees AS (SELECT a.p, a.d, sum((b.n_children = 0)::INT) leaves, sum((b.n_convs - 1) * b.chars) saved FROM all_ a JOIN all_ b ON b.d >= a.d AND b.p[1:a.d] = a.p GROUP BY 1, 2)
+        SELECT a.conv_id, CAST(a.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, a.n_convs, a.n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, a.ends AS ends_sha256
+        FROM all_ a JOIN subtrees s ON s.p = a.p AND s.d = a.d LEFT JOIN all_ up ON a.d > 0 AND up.d = a.d - 1 AND up.p = a.p[1:a.d-1]""",
     "op5_url_filter": """
         WITH rest AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END r FROM pages),
         parts AS (SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host, regexp_extract(r, '^[^/?#]*([^?#]*)', 1) path FROM rest),
