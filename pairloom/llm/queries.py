@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pairloom.llm.conversation_trie import op13_conversation_trie
 from pairloom.llm.embedding_dedup import op11_embedding_dedup
+from pairloom.llm.hard_negatives import op12_hard_negatives
 from pairloom.llm.html_text import op2_html_text
 from pairloom.llm.licenses import op8_licenses
 from pairloom.llm.mixing import op3_mixing
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op10_quality_rules": op10_quality_rules,
     "op11_embedding_dedup": op11_embedding_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_conversation_trie": op13_conversation_trie,
     "op2_html_text": op2_html_text,
     "op3_mixing": op3_mixing,
@@ -42,6 +44,13 @@ ORACLE_SQL: dict[str, str] = {
         reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
         counts AS (SELECT a vec_id, count(*) n FROM links GROUP BY 1), least AS (SELECT a vec_id, min(b) c FROM reach GROUP BY 1)
         SELECT vec_id, coalesce(n, 0) AS n_links, c AS component_id, coalesce(c = vec_id, true) AS kept FROM embeddings LEFT JOIN counts USING (vec_id) LEFT JOIN least USING (vec_id)""",
+    "op12_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END l, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) w FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+        scored AS (SELECT a.vec_id anchor_id, b.vec_id, a.l = b.l same, CAST(list_inner_product(a.w, b.w) AS BIGINT) s FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        positives AS (SELECT anchor_id, vec_id positive_id, s FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, vec_id) <= 5)
+        SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY n.s DESC, n.vec_id) AS INTEGER) AS rank, n.vec_id AS negative_id, p.s AS positive_score, n.s AS negative_score
+        FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same AND 80 * p.s <= 100 * n.s AND 100 * n.s <= 100 * p.s QUALIFY rank <= 5""",
     "op13_conversation_trie": """
         WITH turns AS (SELECT conv_id, coalesce(role, '') r, coalesce(text, '') t, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 i FROM conversations WHERE conv_id IS NOT NULL),
         convs AS (SELECT DISTINCT conv_id, conv_id - conv_id % 100 base, CASE WHEN conv_id % 100 = 0 THEN 0 ELSE xor(4294967295, list_reduce(list_transform(str_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
