@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of one Arrow batch that goes to a Python worker; a batch holds one row at least, so one text bounds it.
 ARROW_BATCH_BYTES = 8 << 20
+#: Folders of stored tables, of each block of ``recorded`` that is open.
+_open: list[list[str]] = []
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,10 +47,30 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     joins; estimates of repeated joins would grow without bound.
     """
     folder = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    for folders in _open:
+        folders.append(folder)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """Collects the folders of the tables that are stored within, for ``drop_stored``."""
+    folders: list[str] = []
+    _open.append(folders)
+    try:
+        yield folders
+    finally:
+        _open[:] = [f for f in _open if f is not folders]
+
+
+def drop_stored(spark: SparkSession, folders: Iterable[str]) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def distinct_names(df: DataFrame, *columns: str) -> DataFrame:
     """Only ``columns``; further columns of the input, whatever their names, cannot clash with working columns."""
     return df.select(*[F.col(f"`{c}`") for c in columns])

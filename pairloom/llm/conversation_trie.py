@@ -102,6 +102,10 @@ def prefixes(placed: DataFrame, shared_by: int | None = None, shared_turns: int
     return cut_lineage(own.unionByName(opening).unionByName(root))
 
 
+def _made(rows: list[tuple], shape: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), shape, strict=True)], schema=shape)
+
+
 def ends(rows: DataFrame) -> DataFrame:
     """(depth, k1, k2, ends_sha256): SHA-256 of the sorted ids of the conversations that end at a node.
 
@@ -111,39 +115,40 @@ def ends(rows: DataFrame) -> DataFrame:
     done = rows.filter("depth = turns").select(*KEY, "conv_id")
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, first, ids, size = None, 0, [], 0
-
-        def made() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([dict(zip(KEY, of, strict=True)) | {"first": first, "ids": ",".join(ids)}], schema=pa.schema([*((k, pa.int64()) for k in KEY), ("first", pa.int64()), ("ids", pa.string())]))
-
+        of, first, ids, size, rows, held = None, 0, [], 0, [], 0
+        shape = pa.schema([*((k, pa.int64()) for k in KEY), ("first", pa.int64()), ("ids", pa.string())])
         for batch in batches:
             for *key, conv in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if key != of or size > PIECE:
                     if ids:
-                        yield made()
+                        rows.append((*of, first, ",".join(ids)))
+                    held += size
+                    if held > 16 * PIECE:
+                        yield _made(rows, shape)
+                        rows, held = [], 0
                     of, first, ids, size = key, conv, [], 0
                 ids.append(str(conv))
                 size += len(ids[-1]) + 1
         if ids:
-            yield made()
+            yield _made([*rows, (*of, first, ",".join(ids))], shape)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, digest = None, hashlib.sha256()
-
-        def made() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([dict(zip(KEY, of, strict=True)) | {"ends_sha256": digest.hexdigest()}], schema=pa.schema([*((k, pa.int64()) for k in KEY), ("ends_sha256", pa.string())]))
-
+        of, digest, rows = None, hashlib.sha256(), []
+        shape = pa.schema([*((k, pa.int64()) for k in KEY), ("ends_sha256", pa.string())])
         for batch in batches:
             for *key, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if key != of:
                     if of is not None:
-                        yield made()
+                        rows.append((*of, digest.hexdigest()))
                     of, digest = key, hashlib.sha256()
                 else:
                     digest.update(b",")
                 digest.update(ids.encode())
+            if rows:
+                yield _made(rows, shape)
+                rows = []
         if of is not None:
-            yield made()
+            yield _made([(*of, digest.hexdigest())], shape)
 
     cut = done.repartitionByRange(*KEY, "conv_id").sortWithinPartitions(*KEY, "conv_id").mapInArrow(pieces, "depth long, k1 long, k2 long, first long, ids string")
     return cut.repartition(*KEY).sortWithinPartitions(*KEY, "first").drop("first").mapInArrow(hashed, "depth long, k1 long, k2 long, ends_sha256 string")
