@@ -80,6 +80,8 @@ class Settings:
         actions = tuple(get(c, "events.item_action_types", ACTIONS))
         top_k = int(get(c, "topk.top_k", get(c, "pipeline.top_k", 20)))
         distance, time, widget = (get(c, f"graph.{k}", {}) for k in ("distance_decay", "time_decay", "widget_context"))
+        if "blocked_widgets" in widget:
+            raise ValueError("blocked_widgets is not supported; give such widgets a weight")
         ranking = get(c, "evaluation.ranking_relevant_action_types")
         return cls(
             timeout_minutes=float(get(c, "pipeline.session_timeout_minutes", 30)),

@@ -54,6 +54,6 @@ def gap_summary(events: DataFrame, timeout_minutes: float = 30, by: Sequence[str
     counted = session_markers(events, timeout_minutes, by=by).groupBy(*by, d).agg(F.count("*").alias("_n"), F.sum("is_new_session").alias("_new"))
     of = lambda test, name: F.coalesce(F.sum(F.when(test, n)), F.lit(0)).alias(name)
     return counted.groupBy(*by).agg(
-        F.sum(n).alias("events"), of(d.isNotNull(), "diffs"), of(d < 0, "negative"), of(d == 0, "zero"), of(d > timeout_minutes * 60, "over_timeout"), F.sum("_new").alias("sessions"),
+        F.coalesce(F.sum(n), F.lit(0)).alias("events"), of(d.isNotNull(), "diffs"), of(d < 0, "negative"), of(d == 0, "zero"), of(d > timeout_minutes * 60, "over_timeout"), F.coalesce(F.sum("_new"), F.lit(0)).alias("sessions"),
         *(F.percentile(d, F.lit(q), n).alias(f"p{round(100 * q)}") for q in quantiles),
     )

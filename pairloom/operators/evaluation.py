@@ -108,9 +108,9 @@ def popularity_bias(recommendations: DataFrame, popularity: DataFrame, top_k: in
 
 
 def coverage(recommendations: DataFrame, truth: DataFrame) -> DataFrame:
-    """One row: the share of items with truth that have recommendations."""
+    """One row: the share of items with truth that have recommendations, how many items that is, and how many have truth."""
     known = recommendations.select("item_id").distinct().withColumn("_has", F.lit(1.0))
-    return truth.select("item_id").distinct().join(known, "item_id", "left").agg(F.avg(F.coalesce("_has", F.lit(0.0))).alias("coverage"), F.count("*").alias("items"))
+    return truth.select("item_id").distinct().join(known, "item_id", "left").agg(F.avg(F.coalesce("_has", F.lit(0.0))).alias("coverage"), F.count("_has").alias("covered"), F.count("*").alias("items"))
 
 
 def fallback_hits(recommendations: DataFrame, truth: DataFrame, top_k: int) -> DataFrame:
@@ -172,7 +172,7 @@ def offline_metrics(recommendations: DataFrame, truth: DataFrame, top_k: int, po
     carts = truth.filter("to_cart_count > 0")
     row = lambda df: df.first().asDict()
     ranking, full, cart = (row(mean_metrics(recommendations, t, top_k)) for t in (strong, truth, carts))
-    shares, covered = row(source_shares(recommendations, top_k)), row(coverage(recommendations.filter(F.col("rank") <= top_k), truth))
+    shares, covered = row(source_shares(recommendations, top_k)), row(coverage(recommendations.filter(F.col("rank") <= top_k), strong))
     fallback, fallback_cart = row(fallback_hits(recommendations, strong, top_k)), row(fallback_hits(recommendations, carts, top_k))
     counts = row(truth.agg(F.count("*").alias("pairs"), F.count_if(F.expr("view_count > 0 AND click_count <= 0 AND favorite_count <= 0 AND to_cart_count <= 0")).alias("view_only")))
     values: dict[str, Any] = {f"{p}{n}_at_k": ranking[c] for p in ("", "strong_") for n, c in (("hit_rate", "hit"), ("recall", "recall"), ("mrr", "mrr"), ("ndcg", "ndcg"))}
@@ -182,7 +182,7 @@ def offline_metrics(recommendations: DataFrame, truth: DataFrame, top_k: int, po
     if popularity is not None:
         values["popularity_bias_at_k"] = row(popularity_bias(recommendations, popularity, top_k))["popularity_bias"]
     values |= {"evaluated_items": ranking["items"], "ranking_evaluated_items": ranking["items"], "all_evaluated_items": full["items"], "ground_truth_pairs": counts["pairs"], "view_only_ground_truth_pairs": counts["view_only"]}
-    values |= {"recommended_items": recommendations.select("item_id").distinct().count(), "ranking_ground_truth_pairs": strong.count()}
+    values |= {"recommended_items": covered["covered"], "ranking_ground_truth_pairs": strong.count()}
     return OfflineMetrics(**{f.name: values[f.name] for f in fields(OfflineMetrics) if f.name in values})
 
 

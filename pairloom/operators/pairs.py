@@ -73,7 +73,7 @@ def item_pairs(sessions: DataFrame, settings: PairSettings = PairSettings()) ->
     )
     if settings.distance_decay.enabled and settings.distance_decay.max_distance is not None:
         pairs = pairs.filter(F.col("position_distance") <= settings.distance_decay.max_distance)
-    weighed = pairs.withColumn("distance_weight", settings.distance_decay.weight(F.col("position_distance"))).withColumn("widget_weight", settings.widget_context.weight(F.col("target_widget_name")))
+    weighed = pairs.withColumn("distance_weight", settings.distance_decay.weight(F.col("position_distance"))).withColumn("widget_weight", settings.widget_context.of_pair())
     return weighed.withColumn("graph_weight", F.col("distance_weight") * F.col("widget_weight"))
 
 

@@ -8,6 +8,7 @@ import json
 import math
 import random
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from decimal import Decimal
 from itertools import product
 from typing import Any
 
@@ -20,25 +21,39 @@ SCORING_ONLY = ("scoring.", "topk.", "business.fallback.")
 
 
 def values(spec: Mapping[str, Any]) -> list[Any]:
-    """Grid values of a parameter: choice, int_range, float_range, or ``steps`` points of a log_float_range."""
-    kind = spec["type"]
+    """Grid values of a parameter: of a choice, an int_range, a float_range with a step, or ``num`` of a log_float_range."""
+    kind = spec.get("type", "choice")
     if kind == "choice":
+        if not isinstance(spec.get("values"), list) or not spec["values"]:
+            raise ValueError("a choice needs a list of values")
         return list(spec["values"])
+    if kind not in ("int_range", "float_range", "log_float_range"):
+        raise ValueError(f"unknown type of parameter: {kind}")
+    low, high = spec["min"], spec["max"]
+    if low > high:
+        raise ValueError("min must not be above max")
     if kind == "log_float_range":
-        steps, low = max(2, int(spec.get("steps", 5))), math.log(spec["min"])
-        return [round(math.exp(low + (math.log(spec["max"]) - low) * k / (steps - 1)), 10) for k in range(steps)]
-    step = spec.get("step", 1)
-    n = math.floor((spec["max"] - spec["min"]) / step + 1e-9)
+        n = int(spec.get("num", 3))
+        if n < 1 or low <= 0:
+            raise ValueError("a log_float_range needs positive bounds and num")
+        return [float(low)] if n == 1 else [round(math.exp(math.log(low) + math.log(high / low) * k / (n - 1)), 12) for k in range(n)]
+    step = spec.get("step", 1 if kind == "int_range" else None)
+    if step is None or step <= 0:
+        raise ValueError(f"a grid of a {kind} needs a positive step")
     if kind == "int_range":
-        return [int(spec["min"] + k * step) for k in range(n + 1)]
-    if kind == "float_range":
-        return [round(spec["min"] + k * step, 10) for k in range(n + 1)]
-    raise ValueError(f"{kind} has no grid")
+        return list(range(int(low), int(high) + 1, int(step)))
+    first, width = Decimal(str(float(low))), Decimal(str(float(step)))
+    return [float(first + width * k) for k in range(int((Decimal(str(float(high))) - first) / width) + 1)]
 
 
 def draw(spec: Mapping[str, Any], rng: random.Random) -> Any:
-    if spec["type"] == "log_float_range":
-        return math.exp(rng.uniform(math.log(spec["min"]), math.log(spec["max"])))
+    """A random value; float ranges without a step and log_float_ranges are continuous."""
+    kind = spec.get("type", "choice")
+    if kind == "log_float_range":
+        values(spec)
+        return round(math.exp(rng.uniform(math.log(spec["min"]), math.log(spec["max"]))), 12)
+    if kind == "float_range" and spec.get("step") is None:
+        return round(rng.uniform(float(spec["min"]), float(spec["max"])), 12)
     return rng.choice(values(spec))
 
 
@@ -62,15 +77,20 @@ def sampled(space: Mapping[str, Mapping[str, Any]], trials: int, seed: int | Non
 
 
 def objective(metrics: Mapping[str, float | None], spec: Mapping[str, Any]) -> float | None:
-    """Primary times the geometric mean of primary, supporting metrics and what penalties leave; None if a constraint fails."""
+    """Primary times the geometric mean of primary, supporting metrics and what penalties leave; None if a constraint fails.
+
+    Constraints are ``min_`` or ``max_`` and a metric; a metric that is missing counts as 0.
+    """
     for name, bound in (spec.get("constraints") or {}).items():
-        side, metric = name.split("_", 1)
-        value = metrics.get(metric)
-        if value is None or (side == "min" and value < bound) or (side == "max" and value > bound):
+        side, _, metric = name.partition("_")
+        if side not in ("min", "max") or not metric:
+            raise ValueError(f"a constraint must start with min_ or max_, unlike {name}")
+        value = metrics.get(metric) or 0.0
+        if value < bound if side == "min" else value > bound:
             return None
     clamp = lambda x: min(1.0, max(0.0, x or 0.0))
-    primary = metrics.get(spec["primary"]) or 0.0
-    parts = [clamp(primary), *(clamp(metrics.get(m)) for m in spec.get("supporting", ())), *(1 - clamp(metrics.get(m)) for m in spec.get("penalties", ()))]
+    primary = clamp(metrics.get(spec["primary"]))
+    parts = [primary, *(clamp(metrics.get(m)) for m in spec.get("supporting", ())), *(1 - clamp(metrics.get(m)) for m in spec.get("penalties", ()))]
     return 0.0 if min(parts) == 0 else primary * math.exp(sum(map(math.log, parts)) / len(parts))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pairloom.functions.decay import DISTANCE_WEIGHTS, TIME_WEIGHTS, DistanceDec
 from pairloom.operators import diagnostics, eda
 from pairloom.operators.aggregate import aggregate_window, aggregate_window_from_daily
 from pairloom.operators.cleaning import clean_events
-from pairloom.operators.evaluation import TemporalSplit, coverage, fallback_hits, ground_truth, item_metrics, mean_metrics, popularity_bias, ranking_truth, source_shares, split_train_validation
+from pairloom.operators.evaluation import TemporalSplit, coverage, fallback_hits, ground_truth, item_metrics, mean_metrics, offline_metrics, popularity_bias, ranking_truth, source_shares, split_train_validation
 from pairloom.operators.fallback import FallbackSettings, candidate_pools, merge_fallback
 from pairloom.operators.pairs import PairSettings, daily_pair_stats, item_pairs, raw_pair_rows, session_items
 from pairloom.operators.popularity import action_distribution, item_popularity
@@ -21,6 +22,7 @@ from pairloom.operators.topk import TopK
 from pairloom.output.writers import combined, enriched, lookup_lists
 from pairloom.schemas import ACTIONS, RAW_COUNTS, WEIGHTED_COUNTS
 from pairloom.sources.adapters import basket_events, products, raw_events
+from pairloom.sources.files import staged
 
 START, END = "2024-01-01", "2024-01-30"
 TRAIN_UNTIL, VALID_FROM = "2024-01-20", "2024-01-21"
@@ -152,6 +154,10 @@ _PAIR_ROUND = "SELECT * REPLACE (round(distance_weight, 6) AS distance_weight, r
 _WEIGHTS = ("distance_weight", "widget_weight", "graph_weight")
 _query("distance_decay_table", _sql(_PAIR_ROUND, "pairs", distance=f"CAST({_TABLE} AS DOUBLE)"))(lambda s, d: _rounded(_pairs(s, d, PairSettings(distance_decay=DistanceDecay(True, "weight_table", table=DISTANCE_WEIGHTS))), *_WEIGHTS))
 _query("distance_decay_exp", _sql(_PAIR_ROUND, "pairs", distance=_EXP))(lambda s, d: _rounded(_pairs(s, d, PairSettings(distance_decay=DistanceDecay(True, "exponential"))), *_WEIGHTS))
+_SHORT = {1: 0.9, 2: 0.5}
+_SHORT_SQL = "CASE WHEN abs(t.event_position - s.event_position) > 2 THEN 1.0 WHEN abs(t.event_position - s.event_position) = 2 THEN 0.5 ELSE 0.9 END"
+_query("distance_decay_no_default", _sql(_PAIR_ROUND, "pairs", distance=f"CAST({_SHORT_SQL} AS DOUBLE)"))(lambda s, d: _rounded(_pairs(s, d, PairSettings(distance_decay=DistanceDecay(True, "weight_table", table=_SHORT))), *_WEIGHTS))
+_query("widget_weight_source", _sql(_PAIR_ROUND, "pairs", widget=f"CAST({_WIDGET.replace('t.item', 's.item')} AS DOUBLE)"))(lambda s, d: _rounded(_pairs(s, d, PairSettings(widget_context=replace(WIDGETS, use="source"))), *_WEIGHTS))
 _query("widget_weight", _sql(_PAIR_ROUND, "pairs", widget=f"CAST({_WIDGET} AS DOUBLE)"))(lambda s, d: _rounded(_pairs(s, d, PairSettings(widget_context=WIDGETS)), *_WEIGHTS))
 
 _DAILY = "SELECT pair_date, item_id, similar_item_id, {more}{counts} FROM (SELECT *, graph_weight w FROM pairs) GROUP BY {by}"
@@ -283,19 +289,23 @@ def _split(s: SparkSession, d: str) -> DataFrame:
 
 _query("split", _sql(f"SELECT CASE WHEN event_date <= DATE '{TRAIN_UNTIL}' THEN 'train' ELSE 'validation' END part, event_date, count(*) events FROM clean WHERE event_date <= DATE '{END}' GROUP BY 1, 2", "clean"))(_split)
 
-_HITS = """, tr AS (SELECT * FROM vtruth WHERE {where}), tot AS (SELECT item_id, sum(relevance) total, {totals} FROM tr GROUP BY 1),
-    hit AS (SELECT tr.item_id, count(*) hits, sum(relevance) found, min(rank) fst, sum(relevance / log2(rank + 1)) dcg, {hits} FROM tr JOIN {recs} r ON r.item_id = tr.item_id AND r.similar_item_id = tr.relevant_item_id AND r.rank <= 10 GROUP BY 1),
-    ideal AS (SELECT item_id, sum(relevance / log2(place + 1)) ideal FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY relevance DESC, relevant_item_id) place FROM tr) WHERE place <= 10 GROUP BY 1),
-    per AS (SELECT tot.item_id, CASE WHEN coalesce(hits, 0) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END hit, coalesce(found / nullif(total, 0), 0) recall, coalesce(1.0 / fst, 0) mrr, coalesce(dcg / nullif(ideal, 0), 0) ndcg, {per}
-      FROM tot LEFT JOIN hit ON hit.item_id = tot.item_id LEFT JOIN ideal ON ideal.item_id = tot.item_id)"""
+_HITS = """, tr{n} AS (SELECT * FROM vtruth WHERE {where}), tot{n} AS (SELECT item_id, sum(relevance) total, {totals} FROM tr{n} tr GROUP BY 1),
+    hit{n} AS (SELECT tr.item_id, count(*) hits, sum(relevance) found, min(rank) fst, sum(relevance / log2(rank + 1)) dcg, {hits} FROM tr{n} tr JOIN {recs} r ON r.item_id = tr.item_id AND r.similar_item_id = tr.relevant_item_id AND r.rank <= 10 GROUP BY 1),
+    ideal{n} AS (SELECT item_id, sum(relevance / log2(place + 1)) ideal FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY relevance DESC, relevant_item_id) place FROM tr{n}) WHERE place <= 10 GROUP BY 1),
+    per{n} AS (SELECT tot.item_id, CASE WHEN coalesce(hits, 0) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END hit, coalesce(found / nullif(total, 0), 0) recall, coalesce(1.0 / fst, 0) mrr, coalesce(dcg / nullif(ideal, 0), 0) ndcg, {per}
+      FROM tot{n} tot LEFT JOIN hit{n} hit ON hit.item_id = tot.item_id LEFT JOIN ideal{n} ideal ON ideal.item_id = tot.item_id)"""
 _METRIC_NAMES = ["hit", "recall", "mrr", "ndcg", *(f"{a}_{n}" for a in ACTIONS for n in ("hit", "recall"))]
 
 
-def _metrics_sql(body: str, where: str = "true", recs: str = "top", relevance: str = "1.0::DOUBLE", walk: bool = False) -> str:
-    more = _HITS.format(
-        where=where, recs=recs, totals=", ".join(f"count(*) FILTER (tr.{a}_count > 0) {a}_total" for a in ACTIONS), hits=", ".join(f"count(*) FILTER (tr.{a}_count > 0) {a}_hits" for a in ACTIONS),
+def _slice_sql(where: str = "true", recs: str = "top", n: str = "") -> str:
+    return _HITS.format(
+        n=n, where=where, recs=recs, totals=", ".join(f"count(*) FILTER (tr.{a}_count > 0) {a}_total" for a in ACTIONS), hits=", ".join(f"count(*) FILTER (tr.{a}_count > 0) {a}_hits" for a in ACTIONS),
         per=", ".join(f"CASE WHEN {a}_total > 0 THEN CASE WHEN coalesce({a}_hits, 0) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END END {a}_hit, CASE WHEN {a}_total > 0 THEN coalesce({a}_hits, 0) / {a}_total END {a}_recall" for a in ACTIONS),
     )
+
+
+def _metrics_sql(body: str, where: str = "true", recs: str = "top", relevance: str = "1.0::DOUBLE", walk: bool = False, more: str | None = None) -> str:
+    more = more or _slice_sql(where, recs)
     sql = _sql("\0", "top", ("vtruth", *(("pop", "prod") if walk else ())), k=3 if walk else 10, end=TRAIN_UNTIL, relevance=relevance)
     return sql.replace(" \0", (_WALK if walk else "") + more + " " + body)
 
@@ -323,7 +333,38 @@ _query("metrics_fallback_hits", _metrics_sql("SELECT round(avg(hit), 6) fallback
     lambda s, d: _rounded(fallback_hits(_merged(s, d), _truth(s, d), 10), "fallback_hit_rate", "fallback_recall")
 )
 _query("metrics_popularity_bias", _sql("SELECT round(avg(p.unique_users) / (SELECT max(unique_users) FROM pop), 6) popularity_bias FROM top t JOIN pop p ON p.item_id = t.similar_item_id", "top", ("pop",)))(lambda s, d: _rounded(popularity_bias(_top(s, d), item_popularity(_clean(s, d)), 10), "popularity_bias"))
-_query("metrics_coverage", _sql("SELECT round(avg(CASE WHEN item_id IN (SELECT item_id FROM top) THEN 1.0 ELSE 0.0 END), 6) coverage, count(*) AS items FROM (SELECT DISTINCT item_id FROM vtruth)", "top", ("vtruth",), end=TRAIN_UNTIL))(lambda s, d: _rounded(coverage(_recs(s, d), _truth(s, d)), "coverage"))
+_query("metrics_coverage", _sql("SELECT round(avg(CASE WHEN item_id IN (SELECT item_id FROM top) THEN 1.0 ELSE 0.0 END), 6) coverage, count(*) FILTER (item_id IN (SELECT item_id FROM top)) covered, count(*) AS items FROM (SELECT DISTINCT item_id FROM vtruth)", "top", ("vtruth",), end=TRAIN_UNTIL))(lambda s, d: _rounded(coverage(_recs(s, d), _truth(s, d)), "coverage"))
+
+_LATE = "(SELECT * FROM merged WHERE source <> 'behavioral')"
+_SLICES = {"_r": (_STRONG, "merged"), "_f": ("true", "merged"), "_c": ("to_cart_count > 0", "merged"), "_rl": (_STRONG, _LATE), "_cl": ("to_cart_count > 0", _LATE)}
+_FIELDS = {
+    **{f"{p}{n}_at_k": f"(SELECT avg({c}) FROM per_r)" for p in ("", "strong_") for n, c in (("hit_rate", "hit"), ("recall", "recall"), ("ndcg", "ndcg"), ("mrr", "mrr"))},
+    **{f"to_cart_{c}_at_k": f"(SELECT avg({c}) FROM per_c)" for c in ("mrr", "ndcg")},
+    "coverage_at_k": "(SELECT avg(CASE WHEN item_id IN (SELECT item_id FROM merged) THEN 1.0 ELSE 0.0 END) FROM tot_r)",
+    "popularity_bias_at_k": "(SELECT avg(p.unique_users) / (SELECT max(unique_users) FROM pop) FROM merged m JOIN pop p ON p.item_id = m.similar_item_id)",
+    "fallback_share_at_k": "(SELECT avg(CASE WHEN source <> 'behavioral' THEN 1.0 ELSE 0.0 END) FROM merged)",
+    **{f"fallback_{level}_share_at_k": f"(SELECT avg(CASE WHEN source = 'fallback_{level}_popular' THEN 1.0 ELSE 0.0 END) FROM merged)" for level, _, _ in _LEVEL_SQL},
+    **{f"fallback_{p}{n}_at_k": f"(SELECT avg({c}) FROM per{t})" for p, t in (("", "_rl"), ("to_cart_", "_cl")) for n, c in (("hit_rate", "hit"), ("recall", "recall"))},
+    **{f"{a}_{n}_at_k": f"(SELECT avg({a}_{c}) FROM per_f)" for a in ACTIONS for n, c in (("hit_rate", "hit"), ("recall", "recall"))},
+}
+_COUNTED = {
+    **{n: "(SELECT count(*) FROM tot_r)" for n in ("evaluated_items", "ranking_evaluated_items")},
+    "recommended_items": "(SELECT count(*) FROM tot_r WHERE item_id IN (SELECT item_id FROM merged))",
+    "ground_truth_pairs": "(SELECT count(*) FROM tr_f)",
+    "all_evaluated_items": "(SELECT count(*) FROM tot_f)",
+    "view_only_ground_truth_pairs": "(SELECT count(*) FROM tr_f WHERE view_count > 0 AND click_count <= 0 AND favorite_count <= 0 AND to_cart_count <= 0)",
+    "ranking_ground_truth_pairs": "(SELECT count(*) FROM tr_r)",
+}
+
+
+def _offline(s: SparkSession, d: str) -> DataFrame:
+    truth = _rounded(_truth(s, d, "graded"), "relevance")
+    found = offline_metrics(staged(_merged(s, d)), staged(truth), 10, item_popularity(_clean(s, d))).as_dict()
+    one = s.createDataFrame([tuple(found[c] for c in (*_FIELDS, *_COUNTED))], ", ".join([*(f"{c} double" for c in _FIELDS), *(f"{c} long" for c in _COUNTED)]))
+    return _rounded(one, *_FIELDS)
+
+
+_query("offline_metrics", _metrics_sql("SELECT " + ", ".join([*(f"round({v}, 6) {k}" for k, v in _FIELDS.items()), *(f"{v} {k}" for k, v in _COUNTED.items())]), relevance=_GRADED, walk=True, more="".join(_slice_sql(w, r, n) for n, (w, r) in _SLICES.items())))(_offline)
 
 # ---- profiles -------------------------------------------------------------------------------------------------
 
@@ -355,7 +396,7 @@ _query("widget_profile", _sql("SELECT widget_name, action_type, count(*) events,
 
 
 def _searches(s: SparkSession, d: str) -> DataFrame:
-    """Comments of orders stand in for search queries."""
+    """Brands of parts stand in for search queries, some of them missing, empty or blank."""
     return s.read.parquet(f"{d}/part.parquet").select(F.when(F.col("p_size") % 7 == 0, F.lit("  ")).when(F.col("p_size") % 5 == 0, F.lit("")).when(F.col("p_size") % 3 == 0, F.lit(None)).otherwise(F.concat(F.lit(" "), F.upper("p_brand"))).alias("search_query"))
 
 

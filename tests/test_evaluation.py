@@ -62,3 +62,12 @@ def test_split(spark):
 def test_scorecard():
     with pytest.raises(ValueError):
         Scorecard(" ", "2024-03-01", 1, 1, {})
+
+
+def test_coverage_is_of_ranking_truth(spark):
+    """Items with only views as truth, and lists of items without truth, count for neither."""
+    recs = spark.createDataFrame([(1, 2, 2.0, 1, "behavioral"), (4, 5, 1.0, 1, "behavioral"), (7, 8, 1.0, 1, "behavioral"), (9, 1, 1.0, 3, "behavioral")], RECS)
+    truth = spark.createDataFrame([(1, 2, 1.0, "click", 1, 0, 1, 0, 0), (4, 5, 0.1, "view", 1, 1, 0, 0, 0), (6, 5, 1.0, "click", 1, 0, 1, 0, 0), (9, 1, 1.0, "click", 1, 0, 1, 0, 0)], TRUTH)
+    m = offline_metrics(recs, truth, 2)
+    assert m.coverage_at_k == pytest.approx(1 / 3)
+    assert (m.recommended_items, m.ranking_evaluated_items, m.all_evaluated_items) == (1, 3, 4)

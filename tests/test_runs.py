@@ -185,6 +185,27 @@ def test_validation_cache_and_latest(spark, tmp_path):
     assert publish_latest(f"{tmp_path}/r2", f"{tmp_path}/latest", 0, allow_empty=True)
 
 
+def test_values_of_parameters():
+    assert tuning.values({"type": "float_range", "min": 0.1, "max": 0.5, "step": 0.1}) == [0.1, 0.2, 0.3, 0.4, 0.5]
+    assert tuning.values({"type": "log_float_range", "min": 0.1, "max": 10.0}) == [0.1, 1.0, 10.0]
+    assert tuning.values({"type": "log_float_range", "min": 1.0, "max": 16.0, "num": 5}) == [1.0, 2.0, 4.0, 8.0, 16.0]
+    assert tuning.values({"values": [3]}) == [3]
+    rng = random.Random(1)
+    drawn = {tuning.draw({"type": "float_range", "min": 0.0, "max": 1.0}, rng) for _ in range(50)}
+    assert len(drawn) == 50 and min(drawn) > 0 and max(drawn) < 1
+    for wrong in ({"type": "float_range", "min": 0.0, "max": 1.0}, {"type": "choice", "values": []}, {"type": "int_range", "min": 2, "max": 1}, {"type": "log_float_range", "min": 0.0, "max": 1.0}, {"type": "list"}):
+        with pytest.raises(ValueError):
+            tuning.values(wrong)
+
+
+def test_constraints():
+    spec = {"primary": "hit", "constraints": {"minimum_cov": 0.9}}
+    with pytest.raises(ValueError, match="min_ or max_"):
+        tuning.objective({"hit": 0.5, "cov": 0.1}, spec)
+    assert tuning.objective({"hit": 0.5}, {"primary": "hit", "constraints": {"max_bias": 0.1}}) == pytest.approx(0.25)  # a missing metric is 0
+    assert tuning.objective({"hit": 0.5}, {"primary": "hit", "constraints": {"min_cov": 0.1}}) is None
+
+
 SPACE = {"scoring.beta": {"type": "float_range", "min": 0.0, "max": 1.0, "step": 0.5}, "topk.top_k": {"type": "choice", "values": [1, 2]}}
 SPEC = {"primary": "hit", "supporting": ["recall"], "penalties": ["bias"], "constraints": {"min_hit": 0.1}}
 

@@ -4,6 +4,7 @@ import pytest
 from helpers import clean, ts
 from pyspark.sql import functions as F
 
+from pairloom.config import Settings
 from pairloom.functions.decay import DistanceDecay, TimeDecay, WidgetContext
 from pairloom.operators.aggregate import aggregate_window, aggregate_window_from_daily
 from pairloom.operators.cleaning import clean_events
@@ -90,6 +91,7 @@ def test_strongest_action_and_session_size(spark):
         (DistanceDecay(True, "exponential", alpha=10, min_weight=0.4), 1.0, 0.4),
         (DistanceDecay(False, "exponential", alpha=10), 1.0, 1.0),
         (DistanceDecay(True, "weight_table", table={2: 0.5, "default": 0.1}), 0.1, 0.5),
+        (DistanceDecay(True, "weight_table", table={1: 0.5}), 0.5, 1.0),  # beyond a table without a default
     ],
 )
 def test_distance_decay(spark, decay, near, far):
@@ -107,7 +109,27 @@ def test_widget_weight(spark):
     pairs = {(r["item_id"], r["similar_item_id"]): r["graph_weight"] for r in item_pairs(basket(spark, (10, "view", "x"), (20, "click", " search_results ")), PairSettings(widget_context=context)).collect()}
     assert pairs == {(10, 20): 2.0, (20, 10): 1.0}
     with pytest.raises(ValueError, match="target"):
-        WidgetContext(use="source")
+        WidgetContext(use="both")
+
+
+def test_widget_of_the_source(spark):
+    context = WidgetContext(True, {"search_results": 2.0}, unknown_weight=0.5, use="source")
+    pairs = {(r["item_id"], r["similar_item_id"]): r["graph_weight"] for r in item_pairs(basket(spark, (10, "view", "  "), (20, "click", "search_results")), PairSettings(widget_context=context)).collect()}
+    assert pairs == {(10, 20): 0.5, (20, 10): 2.0}
+
+
+@pytest.mark.parametrize("table", [{}, {"default": 0.5}, {-1: 0.5}, {1: 1.5}, {1: -0.1}, {1: 0.5, "default": 2.0}])
+def test_weight_tables_are_checked(table):
+    with pytest.raises(ValueError, match="weight table"):
+        DistanceDecay(table=table)
+
+
+@pytest.mark.parametrize("weights", [{"": 1.0}, {"x": -1.0}])
+def test_widget_weights_are_checked(weights):
+    with pytest.raises(ValueError, match="negative"):
+        WidgetContext(weights=weights)
+    with pytest.raises(ValueError, match="blocked_widgets"):
+        Settings.from_config({"graph": {"widget_context": {"blocked_widgets": ["x"]}}})
 
 
 def test_time_decay_and_the_two_aggregates_agree(spark):
