@@ -123,5 +123,9 @@ class DailyPairStats:
 
 def daily_pair_stats(sessions: DataFrame, settings: PairSettings = PairSettings()) -> DailyPairStats:
     """The four compact daily tables; they add up over days and users, so days can be built one by one."""
-    pairs = item_pairs(sessions, settings)
+    return stats_of_pairs(item_pairs(sessions, settings))
+
+
+def stats_of_pairs(pairs: DataFrame) -> DailyPairStats:
+    """The tables of pairs, which are read once for each of them."""
     return DailyPairStats(pair_counts(pairs), pair_widget_counts(pairs), pair_user_keys(pairs), pair_session_keys(pairs))

@@ -48,8 +48,12 @@ def write_lookup(recommendations: DataFrame, path: str) -> None:
 
 
 def write_daily(df: DataFrame, path: str, date_column: str = "pair_date") -> None:
-    """One partition a day; days that the table has are replaced, others stay."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_column).parquet(path)
+    """One partition a day; days that the table has are replaced, others stay.
+
+    Rows are dealt by day, small days together and large ones split by Spark, so files follow the size, not the number of
+    shuffle partitions times that of days.
+    """
+    df.hint("rebalance", date_column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_column).parquet(path)
 
 
 def write_preview(recommendations: DataFrame, folder: str) -> None:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pairloom.config import Settings
 from pairloom.operators.cleaning import clean_events
-from pairloom.operators.pairs import DailyPairStats, daily_pair_stats
+from pairloom.operators.pairs import DailyPairStats, item_pairs, stats_of_pairs
 from pairloom.operators.sessions import build_sessions_of_all
 from pairloom.output.writers import write_daily, write_manifest
 from pairloom.sources.files import delete, exists, joined, listed, read_text, session, staged
@@ -129,7 +129,8 @@ def daily_tables(raw: DataFrame, settings: Settings, start: str, end: str, folde
             if not first or sessions.filter(over).isEmpty():
                 break
             first -= 1
-        stats = daily_pair_stats(sessions.filter(F.col("session_start_date") >= F.lit(days[first]).cast("date")), settings.pairs)
+        begun = sessions.filter(F.col("session_start_date") >= F.lit(days[first]).cast("date"))
+        stats = stats_of_pairs(staged(item_pairs(begun, settings.pairs)))
         for name in TABLES:
             table = joined(folder, name)
             for d in days[first:]:

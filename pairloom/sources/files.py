@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,6 +79,23 @@ def folders(path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
 
 
+#: Paths of staged tables, of each block of ``staging`` that is open.
+_staging: list[list[str]] = []
+
+
+@contextmanager
+def staging() -> Iterator[None]:
+    """Tables that are staged within are deleted at the end, when what was made from them has been written."""
+    paths: list[str] = []
+    _staging.append(paths)
+    try:
+        yield
+    finally:
+        _staging[:] = [p for p in _staging if p is not paths]
+        for path in paths:
+            delete(path)
+
+
 def staged(df: DataFrame) -> DataFrame:
     """``df`` written to the folder that all executors share (``spark.checkpoint.dir``) and read again: made once, however often it is used."""
     spark = df.sparkSession
@@ -87,5 +106,7 @@ def staged(df: DataFrame) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = os.path.join(tempfile.gettempdir(), "pairloom-staged")
     path = joined(base, f"staged-{uuid.uuid4().hex}")
+    for paths in _staging[-1:]:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
