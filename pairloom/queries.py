@@ -14,15 +14,17 @@ from pairloom.operators.aggregate import aggregate_window, aggregate_window_from
 from pairloom.operators.cleaning import clean_events
 from pairloom.operators.evaluation import TemporalSplit, coverage, fallback_hits, ground_truth, item_metrics, mean_metrics, offline_metrics, popularity_bias, ranking_truth, source_shares, split_train_validation
 from pairloom.operators.fallback import FallbackSettings, candidate_pools, merge_fallback
-from pairloom.operators.pairs import PairSettings, daily_pair_stats, item_pairs, raw_pair_rows, session_items
+from pairloom.operators.pairs import DailyPairStats, PairSettings, daily_pair_stats, item_pairs, raw_pair_rows, session_items
 from pairloom.operators.popularity import action_distribution, item_popularity
 from pairloom.operators.scoring import Scorer
 from pairloom.operators.sessions import build_sessions, build_sessions_by_day, build_sessions_of_all
 from pairloom.operators.topk import TopK
 from pairloom.output.writers import combined, enriched, lookup_lists
+from pairloom.plans.parts import DailyParts
 from pairloom.schemas import ACTIONS, RAW_COUNTS, WEIGHTED_COUNTS
-from pairloom.sources.adapters import basket_events, products, raw_events
-from pairloom.sources.files import staged
+from pairloom.sources.adapters import basket_events, products, raw_event_stream, raw_events
+from pairloom.sources.files import shared_path, staged
+from pairloom.streaming.carry_over import STATE_STORE, carried_sessions, sessions_through
 
 START, END = "2024-01-01", "2024-01-30"
 TRAIN_UNTIL, VALID_FROM = "2024-01-20", "2024-01-21"
@@ -142,6 +144,28 @@ _BASKETS = """SELECT CAST(o_custkey AS BIGINT) user_id, CAST(o_orderdate AS DATE
         CASE WHEN l_returnflag = 'A' THEN 'favorite' WHEN l_returnflag = 'R' THEN 'to_cart' WHEN l_linestatus = 'O' THEN 'view' ELSE 'click' END action_type,
         CASE WHEN l_linestatus = 'O' THEN 'search_catalog_listing' ELSE 'product_detailed_page' END widget_name, CAST(NULL AS VARCHAR) search_query, CAST(l_partkey AS BIGINT) item_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 _query("sessions_of_all", _sql("SELECT * FROM sessions", "sessions"))(lambda s, d: build_sessions_of_all(_clean(s, d), TIMEOUT, heavy_events=70))
+
+
+def _streamed(s: SparkSession, d: str) -> DataFrame:
+    """The event table as a stream: sessions that its micro-batches finish, and those that its state still holds."""
+    s.conf.set(*STATE_STORE)
+    out, state = shared_path("sessions"), shared_path("state")
+    stream = carried_sessions(raw_event_stream(s, d), TIMEOUT).writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
+    stream.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return sessions_through(s.read.parquet(out), s, state, str(_clean(s, d).agg(F.max("event_date")).first()[0]), TIMEOUT)
+
+
+def _by_parts(s: SparkSession, d: str) -> DailyPairStats:
+    """Daily tables of users in parts, one of which comes twice, compacted before the last."""
+    parts, sessions = DailyParts(shared_path("parts")), staged(_sessions(s, d))
+    for k in (2, 0, 2):
+        parts.add(f"users-{k}", sessions.filter(F.pmod("user_id", F.lit(3)) == k))
+    parts.compact()
+    parts.add("users-1", sessions.filter(F.pmod("user_id", F.lit(3)) == 1))
+    return parts.read()
+
+
+_query("streamed_sessions", _sql("SELECT * FROM sessions", "sessions"))(_streamed)
 _query("clean_string_timestamps", _sql("SELECT * FROM clean", "clean"))(lambda s, d: clean_events(raw_events(s, d).withColumn("timestamp", F.col("timestamp").cast("string"))))
 _query("raw_pair_rows", _sql("SELECT pair_date, count(*) raw_pair_rows FROM pairs GROUP BY 1", "pairs"))(lambda s, d: raw_pair_rows(_pairs(s, d)))
 _query("item_pairs_baskets", _sql("SELECT * FROM pairs", "pairs", timeout=30).replace(_CTE["raw"], _BASKETS))(lambda s, d: item_pairs(build_sessions(clean_events(basket_events(s, d)), 30)))
@@ -166,6 +190,9 @@ _query("widget_counts", _sql(_DAILY.format(more="target_widget_name, ", counts=_
 _query("user_keys", _sql("SELECT DISTINCT pair_date, item_id, similar_item_id, user_id FROM pairs", "pairs"))(lambda s, d: daily_pair_stats(_sessions(s, d)).user_keys)
 _query("session_keys", _sql("SELECT DISTINCT pair_date, item_id, similar_item_id, user_id, session_index FROM pairs", "pairs"))(lambda s, d: daily_pair_stats(_sessions(s, d)).session_keys)
 
+_query("pair_counts_by_parts", _sql(_DAILY.format(more="", counts=_counts_sql(), by="1, 2, 3"), "pairs"))(lambda s, d: _rounded(_by_parts(s, d).counts, *WEIGHTED_COUNTS))
+_query("session_keys_by_parts", _sql("SELECT DISTINCT pair_date, item_id, similar_item_id, user_id, session_index FROM pairs", "pairs"))(lambda s, d: _by_parts(s, d).session_keys)
+
 # ---- aggregates -----------------------------------------------------------------------------------------------
 
 _AGE = "date_diff('day', pair_date, DATE '2024-01-30')"

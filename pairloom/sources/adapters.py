@@ -20,7 +20,17 @@ def _mapped(column: str, mapping: dict[str, str]) -> F.Column:
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as a click stream: the item is in the properties, the widget follows from the value."""
-    e = spark.read.parquet(f"{sf_dir}/events.parquet").withColumns({
+    return _as_raw(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def raw_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a stream of the table's files."""
+    path = f"{sf_dir}/events.parquet"
+    return _as_raw(spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path}*"))  # a pattern may match a single file, which a plain path may not be
+
+
+def _as_raw(events: DataFrame) -> DataFrame:
+    e = events.withColumns({
         "date": F.to_date("ts"), "timestamp": F.col("ts"), "action_type": _mapped("event_type", ACTION_OF_TYPE),
         "widget_name": F.when(F.col("value") >= 10, "product_detailed_page").otherwise("search_catalog_listing"),
         "search_query": F.lit(None).cast("string"), "item_id": F.get_json_object("props", "$.k").try_cast("long"),

@@ -96,16 +96,20 @@ def staging() -> Iterator[None]:
             delete(path)
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """``df`` written to the folder that all executors share (``spark.checkpoint.dir``) and read again: made once, however often it is used."""
-    spark = df.sparkSession
-    conf = spark.sparkContext.getConf()
+def shared_path(name: str) -> str:
+    """A new path in the folder that all executors share (``spark.checkpoint.dir``)."""
+    conf = session().sparkContext.getConf()
     base = conf.get("spark.checkpoint.dir")
     if not base:
         if not conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = os.path.join(tempfile.gettempdir(), "pairloom-staged")
-    path = joined(base, f"staged-{uuid.uuid4().hex}")
+    return joined(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` written to the folder that all executors share (``spark.checkpoint.dir``) and read again: made once, however often it is used."""
+    spark, path = df.sparkSession, shared_path("staged")
     for paths in _staging[-1:]:
         paths.append(path)
     df.write.parquet(path)
