@@ -71,33 +71,31 @@ def catalogue(products: DataFrame) -> DataFrame:
     return products.filter("item_id IS NOT NULL").withColumn("_n", F.row_number().over(first)).filter("_n = 1").select("item_id", "name", "brand", "type", "category_id")
 
 
+def _asked(settings: FallbackSettings, metadata: bool) -> dict[str, list[Column]]:
+    """The two keys under which an item belongs to each level's pools; a level whose metadata it lacks has a null."""
+    found = {}
+    for level in settings.levels():
+        keys = _KEYS.get(level, ())
+        if metadata or not keys:
+            found[level] = [F.col(k).cast("string") for k in keys] + [F.lit("")] * (2 - len(keys))
+    return found
+
+
 def candidate_pools(popularity: DataFrame, products: DataFrame | None, settings: FallbackSettings) -> DataFrame:
     """(level, k1, k2, item_id, place): each key's most popular items.
 
-    A pool is cut to what can be used: a list of top_k takes at most that many from it and passes over one, itself.
+    A pool is cut to what can be used: a list of top_k takes at most that many from it and passes over one, itself. Every
+    item is read once, under all its keys; tasks cut pools before they are shuffled, also the one of all items.
     """
     ranked = popularity.filter(F.col("item_id").isNotNull() & (F.coalesce("events_count", F.lit(0)) >= settings.min_item_events))
     if products is not None:
-        ranked = ranked.join(catalogue(products).withColumn("_known", F.lit(True)), "item_id", "left")
-    parts: list[DataFrame] = []
-    for level in settings.levels():
-        keys = _KEYS.get(level, ())
-        if keys and products is None:
-            continue
-        rows = ranked
-        for k in keys:
-            rows = rows.filter(F.col(k).isNotNull())
-        key = [F.col(k).cast("string") for k in keys] + [F.lit("")] * (2 - len(keys))
-        rows = rows.select(F.lit(level).alias("level"), key[0].alias("k1"), key[1].alias("k2"), "item_id", *POPULARITY_ORDER)
-        limit = min(settings.pool(level), settings.top_k + 1)
-        if not keys:  # a sorted limit merges partial tops; a window over no key would gather all items in a task
-            rows = rows.orderBy(*_popularity_order()).limit(limit)
-        best = Window.partitionBy("level", "k1", "k2").orderBy(*_popularity_order())
-        parts.append(rows.withColumn("place", F.row_number().over(best).cast("long")).filter(F.col("place") <= limit).select("level", "k1", "k2", "item_id", "place"))
-    pools = parts[0]
-    for p in parts[1:]:
-        pools = pools.unionByName(p)
-    return pools
+        ranked = ranked.join(catalogue(products), "item_id", "left")
+    limits = {level: min(settings.pool(level), settings.top_k + 1) for level in settings.levels()}
+    keys = [F.struct(F.lit(level).alias("level"), k[0].alias("k1"), k[1].alias("k2"), F.lit(limits[level]).alias("most")) for level, k in _asked(settings, products is not None).items()]
+    rows = ranked.select("item_id", *POPULARITY_ORDER, F.explode(F.array(*keys)).alias("_k")).select("item_id", *POPULARITY_ORDER, "_k.*").filter("k1 IS NOT NULL AND k2 IS NOT NULL")
+    best = Window.partitionBy("level", "k1", "k2").orderBy(*_popularity_order())
+    placed = rows.withColumn("place", F.row_number().over(best).cast("long")).filter(F.col("place") <= max(limits.values()))
+    return placed.filter(F.col("place") <= F.col("most")).select("level", "k1", "k2", "item_id", "place")
 
 
 def merge_fallback(recommendations: DataFrame, popularity: DataFrame, products: DataFrame | None, settings: FallbackSettings) -> DataFrame:
@@ -105,7 +103,11 @@ def merge_fallback(recommendations: DataFrame, popularity: DataFrame, products:
 
     Behavioural rows come first. A candidate belongs to the first level that yields it; fallback rows have score and
     raw counts 0 and no weighted counts. With an empty popularity pool the recommendations come back as they are.
-    Recommendations and popularity are written once, as each is read several times here.
+
+    A list and the pools of its item, one for each level, are short arrays, so an item is filled where it is: its pools
+    are put one after the other, and as many candidates are taken as it lacks. Nothing is exploded before that, and
+    recommendations are read once. Pools are written first, so Spark knows their size and broadcasts them only if they are
+    small; else a join by their key splits large keys. Popularity is written too, as it is read for several ends.
     """
     if not settings.enabled or not settings.levels():
         return recommendations
@@ -117,35 +119,37 @@ def merge_fallback(recommendations: DataFrame, popularity: DataFrame, products:
     own = Window.partitionBy("item_id").orderBy("rank", "similar_item_id")
     base = base.filter("item_id IS NOT NULL AND similar_item_id IS NOT NULL AND item_id <> similar_item_id")
     once = Window.partitionBy("item_id", "similar_item_id").orderBy("rank")
-    base = base.withColumn("_once", F.row_number().over(once)).filter("_once = 1").withColumn("_place", F.row_number().over(own)).filter(F.col("_place") <= settings.top_k).drop("_once")
-    base = staged(base)
-    sources = base.select("item_id")
-    if settings.include_cold_start_items:
-        sources = sources.unionByName(usable.select("item_id"))
+    base = base.withColumn("_once", F.row_number().over(once)).filter("_once = 1").withColumn("_place", F.row_number().over(own).cast("long")).filter(F.col("_place") <= settings.top_k).drop("_once")
+    extra, kinds = [c for c in base.columns if c not in CONTRACTS["recommendations"] and c != "_place"], dict(base.dtypes)
+    row = F.struct(F.col("_place").alias("rank"), "similar_item_id", "score", "source", *extra)
+    lists = base.groupBy("item_id").agg(F.sort_array(F.collect_list(row)).alias("_own"))
+    sources = usable.select("item_id").distinct() if settings.include_cold_start_items else None
     if settings.include_catalog_only_sources and products is not None:
-        sources = sources.unionByName(products.filter("item_id IS NOT NULL").select("item_id"))
-    have = base.groupBy("item_id").agg(F.count("*").alias("_have"))
-    short = sources.distinct().join(have, "item_id", "left").filter(F.coalesce("_have", F.lit(0)) < settings.top_k).drop("_have")
+        known = products.filter("item_id IS NOT NULL").select("item_id")
+        sources = known.distinct() if sources is None else sources.unionByName(known).distinct()
+    if sources is not None:
+        lists = lists.join(sources, "item_id", "full_outer")
     if products is not None:
-        short = short.join(catalogue(products), "item_id", "left")
-    pools, order = candidate_pools(popularity, products, settings), list(LEVELS)
-    asked: list[Column] = []
-    for level in settings.levels():
-        keys = _KEYS.get(level, ())
-        if keys and products is None:
-            continue
-        key = [F.col(k).cast("string") for k in keys] + [F.lit("")] * (2 - len(keys))
-        asked.append(F.struct(F.lit(level).alias("level"), key[0].alias("k1"), key[1].alias("k2"), F.lit(order.index(level)).alias("depth")))
-    wanted = short.select("item_id", F.explode(F.array(*asked)).alias("w")).select("item_id", "w.*")
-    offered = pools.withColumnRenamed("item_id", "similar_item_id")
-    found = wanted.join(offered, ["level", "k1", "k2"]).filter("item_id <> similar_item_id").join(base.select("item_id", "similar_item_id"), ["item_id", "similar_item_id"], "left_anti")
-    chosen = found.groupBy("item_id", "similar_item_id").agg(F.min(F.struct("depth", "place")).alias("_at"))
-    names = F.array(*[F.lit(label) for label in LEVELS.values()])
-    extra = [c for c in base.columns if c not in CONTRACTS["recommendations"] and c != "_place"]
+        lists = lists.join(catalogue(products).drop("name"), "item_id", "left")
+    asked = _asked(settings, products is not None)
+    pools = staged(candidate_pools(popularity, products, settings).groupBy("level", "k1", "k2").agg(F.sort_array(F.collect_list(F.struct("place", "item_id")))["item_id"].alias("items")))
+    for level, key in asked.items():
+        of = pools.filter(F.col("level") == level).select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("items").alias(f"_{level}"))
+        # the pool of all items is one row
+        lists = lists.join(F.broadcast(of.select(f"_{level}")), how="left") if level == "global" else lists.join(of, (key[0] == F.col("_k1")) & (key[1] == F.col("_k2")), "left").drop("_k1", "_k2")
+    kind = kinds["item_id"]
+    none = F.array().cast(f"array<{kind}>")
+    lists = lists.withColumns({f"_{level}": F.coalesce(f"_{level}", none) for level in asked} | {"_taken": F.coalesce(F.col("_own")["similar_item_id"], none)})
+    offered = F.array_distinct(F.concat(*(F.col(f"_{level}") for level in asked)))
+    fit = F.filter(offered, lambda x: (x != F.col("item_id")) & ~F.array_contains("_taken", x))
+    lists = lists.withColumn("_fill", F.slice(fit, 1, settings.top_k - F.size("_taken")))
     zero = {c: F.lit(0).cast("long") for c in (*RAW_COUNTS, "unique_users", "unique_sessions")}
-    kinds = dict(base.dtypes)
-    filled = chosen.select("item_id", "similar_item_id", F.lit(0.0).alias("score"), F.get(names, F.col("_at.depth")).alias("source"), *(zero.get(c, F.lit(None)).cast(kinds[c]).alias(c) for c in extra), F.lit(1).alias("_late"), F.col("_at.depth").alias("_depth"), F.col("_at.place").alias("_order"))
-    mine = base.select("item_id", "similar_item_id", "score", "source", *extra, F.lit(0).alias("_late"), F.lit(0).alias("_depth"), F.col("_place").cast("long").alias("_order"))
-    final = Window.partitionBy("item_id").orderBy("_late", "_depth", "_order", "similar_item_id")
-    ranked = mine.unionByName(filled).withColumn("rank", F.row_number().over(final).cast("long")).filter(F.col("rank") <= settings.top_k)
-    return ranked.select(*CONTRACTS["recommendations"], *extra)
+
+    def filled(x: Column, k: Column) -> Column:
+        label = F.lit(None).cast("string")
+        for level in reversed(asked):
+            label = F.when(F.array_contains(f"_{level}", x), F.lit(LEVELS[level])).otherwise(label)
+        return F.struct((F.size("_taken") + k + 1).cast("long").alias("rank"), x.alias("similar_item_id"), F.lit(0.0).cast(kinds["score"]).alias("score"), label.alias("source"), *(zero.get(c, F.lit(None)).cast(kinds[c]).alias(c) for c in extra))
+
+    rows = F.concat(F.coalesce("_own", F.transform(none, lambda x: filled(x, F.lit(0)))), F.transform("_fill", filled))
+    return lists.select("item_id", F.explode(rows).alias("_r")).select("item_id", "_r.*").select(*CONTRACTS["recommendations"], *extra)
