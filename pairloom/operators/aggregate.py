@@ -12,7 +12,7 @@ from pairloom.operators.pairs import PAIR, count_columns, with_graph_weight
 from pairloom.schemas import CONTRACTS, RAW_COUNTS, WEIGHTED_COUNTS
 
 
-def _window(df: DataFrame, start: str, end: str) -> DataFrame:
+def within_window(df: DataFrame, start: str, end: str) -> DataFrame:
     if date.fromisoformat(start) > date.fromisoformat(end):
         raise ValueError("the window's start is after its end")
     day = F.col("pair_date").try_cast("date")
@@ -23,7 +23,7 @@ def _age(end: str) -> Column:
     return F.datediff(F.lit(end).cast("date"), F.col("pair_date"))
 
 
-def _named(df: DataFrame, start: str, end: str) -> DataFrame:
+def named_window(df: DataFrame, start: str, end: str) -> DataFrame:
     return df.withColumn("window_start", F.lit(start)).withColumn("window_end", F.lit(end)).select(*CONTRACTS["pair_aggregates"])
 
 
@@ -40,12 +40,18 @@ def aggregate_window(pairs: DataFrame, start: str, end: str, time_decay: TimeDec
     """
     weight, sums = F.col("graph_weight") * time_decay.weight(_age(end)), [*RAW_COUNTS, *WEIGHTED_COUNTS]
     total = [F.sum(c).alias(c) for c in sums]
-    dealt = with_graph_weight(_window(pairs, start, end)).repartition(*PAIR, "user_id")
+    dealt = with_graph_weight(within_window(pairs, start, end)).repartition(*PAIR, "user_id")
     of_session = dealt.groupBy(*PAIR, "user_id", "session_index").agg(*count_columns(weight))
     one = F.when(F.col("user_id").isNotNull() & F.col("session_index").isNotNull(), 1).otherwise(0)
     of_user = of_session.groupBy(*PAIR, "user_id").agg(*total, F.sum(one).alias("unique_sessions"))
     found = of_user.groupBy(*PAIR).agg(*total, F.count("user_id").alias("unique_users"), F.sum("unique_sessions").alias("unique_sessions"))
-    return _named(found, start, end)
+    return named_window(found, start, end)
+
+
+def weighted_window_sums(counts: DataFrame, start: str, end: str, time_decay: TimeDecay = TimeDecay()) -> DataFrame:
+    """Sums of daily counts over a window, weighted ones by age."""
+    weight = time_decay.weight(_age(end))
+    return within_window(with_weighted_counts(counts), start, end).groupBy(*PAIR).agg(*(F.sum(c).alias(c) for c in RAW_COUNTS), *(F.sum(F.col(c) * weight).alias(c) for c in WEIGHTED_COUNTS))
 
 
 def aggregate_window_from_daily(counts: DataFrame, user_keys: DataFrame, session_keys: DataFrame, start: str, end: str, time_decay: TimeDecay = TimeDecay(), item_bucket: tuple[int, int] | None = None) -> DataFrame:
@@ -55,9 +61,8 @@ def aggregate_window_from_daily(counts: DataFrame, user_keys: DataFrame, session
         if n < 1 or not 0 <= b < n:
             raise ValueError("the bucket must be between 0 and the number of buckets")
         counts, user_keys, session_keys = (df.filter(F.pmod("item_id", F.lit(n)) == b) for df in (counts, user_keys, session_keys))
-    weight = time_decay.weight(_age(end))
-    sums = _window(with_weighted_counts(counts), start, end).groupBy(*PAIR).agg(*(F.sum(c).alias(c) for c in RAW_COUNTS), *(F.sum(F.col(c) * weight).alias(c) for c in WEIGHTED_COUNTS))
-    users = _window(user_keys, start, end).select(*PAIR, "user_id").distinct().groupBy(*PAIR).agg(F.count("*").alias("unique_users"))
-    sessions = _window(session_keys, start, end).select(*PAIR, "user_id", "session_index").distinct().groupBy(*PAIR).agg(F.count("*").alias("unique_sessions"))
+    sums = weighted_window_sums(counts, start, end, time_decay)
+    users = within_window(user_keys, start, end).select(*PAIR, "user_id").distinct().groupBy(*PAIR).agg(F.count("*").alias("unique_users"))
+    sessions = within_window(session_keys, start, end).select(*PAIR, "user_id", "session_index").distinct().groupBy(*PAIR).agg(F.count("*").alias("unique_sessions"))
     joined = sums.join(users, [*PAIR], "left").join(sessions, [*PAIR], "left").fillna(0, ["unique_users", "unique_sessions"])
-    return _named(joined, start, end)
+    return named_window(joined, start, end)

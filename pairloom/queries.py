@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pairloom.functions.decay import DISTANCE_WEIGHTS, TIME_WEIGHTS, DistanceDecay, TimeDecay, WidgetContext
 from pairloom.operators import diagnostics, eda
 from pairloom.operators.aggregate import aggregate_window, aggregate_window_from_daily
+from pairloom.operators.bitmaps import FULL, aggregate_window_from_sets, daily_sets, user_codes
 from pairloom.operators.cleaning import clean_events
 from pairloom.operators.evaluation import TemporalSplit, coverage, fallback_hits, ground_truth, item_metrics, mean_metrics, offline_metrics, popularity_bias, ranking_truth, source_shares, split_train_validation
 from pairloom.operators.fallback import FallbackSettings, candidate_pools, merge_fallback
@@ -207,6 +208,16 @@ def _from_daily(s: SparkSession, d: str) -> DataFrame:
 
 _query("window_aggregate", _sql("SELECT * FROM agg", "agg"))(lambda s, d: _rounded(_aggregates(s, d), *WEIGHTED_COUNTS))
 _query("window_aggregate_compact", _sql("SELECT * FROM agg", "agg"))(_from_daily)
+
+
+def _from_sets(s: SparkSession, d: str, full: int) -> DataFrame:
+    daily = daily_pair_stats(_sessions(s, d))
+    sets = daily_sets(daily, user_codes(_clean(s, d)), full)
+    return _rounded(aggregate_window_from_sets(sets, START, END), *WEIGHTED_COUNTS)
+
+
+_query("window_aggregate_sets", _sql("SELECT * FROM agg", "agg"))(lambda s, d: _from_sets(s, d, FULL))
+_query("window_aggregate_bitmaps", _sql("SELECT * FROM agg", "agg"))(lambda s, d: _from_sets(s, d, 2))
 _query("time_decay_table", _sql("SELECT * FROM agg", "agg", time=_TIME_TABLE))(lambda s, d: _rounded(aggregate_window(_pairs(s, d), START, END, TimeDecay(True, "weight_table", TIME_WEIGHTS)), *WEIGHTED_COUNTS))
 _query("time_decay_exp", _sql("SELECT * FROM agg", "agg", time=_TIME_EXP))(lambda s, d: _rounded(aggregate_window(_pairs(s, d), START, END, TimeDecay(True, "exponential")), *WEIGHTED_COUNTS))
 _query("window_aggregate_weekly", _sql("SELECT * FROM agg", "agg", start="2024-01-08", end="2024-01-14"))(lambda s, d: _rounded(aggregate_window(_pairs(s, d), "2024-01-08", "2024-01-14"), *WEIGHTED_COUNTS))
