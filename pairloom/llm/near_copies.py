@@ -431,7 +431,7 @@ def shingle_sets(members: DataFrame, fps: DataFrame, docs: DataFrame, shingle_wo
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(0), batch.column(0), pa.array(found, pa.binary())], names=["key", "node", "comp", "hashes"])
 
     keys = cut_lineage(members.join(fps.select("node", F.col("key").alias("of")), "node").select("of", "node", "root"))
-    of_text = distinct_names(docs, "text").select(text_key(F.col("text")).alias("of"), "text").join(keys.select("of"), "of", "left_semi").dropDuplicates(["of"])
+    of_text = distinct_names(docs, "text").select(text_key(F.col("text")).alias("of"), "text").join(keys.select("of").hint("shuffle_hash"), "of", "left_semi").dropDuplicates(["of"])
     return keys.join(of_text, "of").select("node", "root", "text").mapInArrow(run, "key long, node long, comp long, hashes binary")
 
 

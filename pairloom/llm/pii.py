@@ -227,7 +227,7 @@ def redact(docs: DataFrame) -> DataFrame:
     found = cut_lineage(personal_data(rows).filter(F.size("spans") > 0).select("_key", "spans").dropDuplicates(["_key"]))
     spans, until = F.col("spans"), F.col("until")
     keyed = rows.select(_row_key(F.coalesce("text", F.lit(""))).alias("_key"), "row")  # the text goes once, within its row
-    df = keyed.join(found, "_key", "left").withColumn("text", F.col("row").getField("text")).withColumn("until", running(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b), 0))
+    df = keyed.join(found.hint("shuffle_hash"), "_key", "left").withColumn("text", F.col("row").getField("text")).withColumn("until", running(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b), 0))
     # each span with the end of what stands before it; overlapped ones add nothing
     cut = F.transform(
         F.sequence(F.lit(0), F.size(spans) - 1),

@@ -220,17 +220,18 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, limit:
 def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each group the row with the least id stays, one if it is repeated.
 
-    Rows are told apart by id and text. Groups without any id are left as they are.
+    Rows are told apart by id and text. Groups without any id are left as they are. Rows meet decisions in a shuffle at
+    every size, so that the plan is one and needs grow with the input.
     """
     by = ["doc_id", "key"]
     rows = whole_rows(docs, "doc_id", "text").select("doc_id", text_key(F.col("text")).alias("key"), "row")
     first = groups.filter("doc_id = component_id")
     again = cut_lineage(first.groupBy("group").agg(F.count("*").alias("n"), F.min("key").alias("least"), F.first("doc_id").alias("doc_id")).filter("n > 1"))
     drop = groups.filter("doc_id <> component_id").select(*by)
-    if again.isEmpty():  # written, so that its true size says how to join; texts aren't shuffled for few copies
-        return rows.join(cut_lineage(drop.distinct()), by, "left_anti").select("row.*")
+    if again.isEmpty():
+        return rows.join(cut_lineage(drop.distinct()).hint("shuffle_hash"), by, "left_anti").select("row.*")
     drop = drop.unionByName(first.join(again.select("group", "least"), "group").filter(F.col("key") != F.col("least")).select(*by))
-    rest, again = rows.join(cut_lineage(drop.distinct()), by, "left_anti"), again.select("doc_id", F.col("least").alias("key"))
+    rest, again = rows.join(cut_lineage(drop.distinct()).hint("shuffle_hash"), by, "left_anti"), again.select("doc_id", F.col("least").alias("key"))
     once = rest.join(again, by, "left_semi").dropDuplicates(by)
     return rest.join(again, by, "left_anti").select("row.*").unionByName(once.select("row.*"))
 
