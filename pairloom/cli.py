@@ -1,4 +1,4 @@
-"""Command line: ``python -m pairloom.cli run|tune|compare|preview …``."""
+"""Command line: ``python -m pairloom.cli run|score|tune|compare|preview …``."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from pairloom.operators.eda import preview
 from pairloom.operators.cleaning import clean_events
 from pairloom.output.writers import write_preview
 from pairloom.plans import tuning
-from pairloom.plans.recommend import run
+from pairloom.plans.recommend import run, score
 from pairloom.sources.events import scan_events, scan_products
 
 
@@ -33,6 +33,11 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--products", help="a catalogue, for the names of items")
     p.add_argument("--items", type=int, default=20)
     p.add_argument("--top-k", type=int, default=10)
+    s = commands.add_parser("score", help="scores, lists and outputs from the artifacts of earlier runs, without events")
+    for name in ("--artifacts", "--config", "--train-until", "--output", "--run-id"):
+        s.add_argument(name, required=True)
+    s.add_argument("--products")
+    s.add_argument("--latest")
     t = commands.add_parser("tune", help="search for settings")
     for name in ("--events", "--config", "--tuning", "--train-until", "--output"):
         t.add_argument(name, required=True)
@@ -47,6 +52,10 @@ def main(argv: list[str] | None = None) -> int:
         catalogue = scan_products(spark, a.products) if a.products else None
         write_preview(preview(spark.read.parquet(a.recommendations), a.items, a.top_k, catalogue), a.output)
         return 0
+    if a.command == "score":
+        catalogue = scan_products(spark, a.products) if a.products else None
+        print(score(a.artifacts, catalogue, load(a.config), a.train_until, a.output, a.run_id, a.latest).manifest)
+        return 0
     if a.command == "compare":
         for row in tuning.compared(a.sweeps, load(a.tuning)["objective"]):
             print(json.dumps(row, default=str))

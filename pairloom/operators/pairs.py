@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.decay import DistanceDecay, WidgetContext
 from pairloom.schemas import ACTIONS, require_columns
+from pairloom.sources.files import staged
 
 MAX_ITEMS = 50
 PAIR = "item_id", "similar_item_id"
@@ -56,12 +57,40 @@ def session_items(sessions: DataFrame, settings: PairSettings = PairSettings())
     return items.withColumn("_n", n).filter(F.col("_n").between(2, settings.max_items_per_session)).drop("_n")
 
 
-def item_pairs(sessions: DataFrame, settings: PairSettings = PairSettings()) -> DataFrame:
+@dataclass(frozen=True)
+class Support:
+    """Sessions and users that an item needs, as pairs that have fewer are of no use to a scorer."""
+
+    sessions: int = 1
+    users: int = 1
+
+    @property
+    def prunes(self) -> bool:
+        return self.sessions > 1 or self.users > 1
+
+
+def supported_items(items: DataFrame, support: Support) -> DataFrame:
+    """Session items without those that are in too few sessions or have too few users.
+
+    A pair's sessions and users are some of either item's, and it has a row a session at most, so only pairs that would
+    not reach the numbers are lost, and all others stay as they are: positions and sizes of sessions were taken before.
+    Items are counted by user first, so a popular one is no task's alone; they are written, as they are read twice.
+    """
+    items = staged(items)
+    by_user = items.groupBy("item_id", "user_id").agg(F.count("*").alias("_n"))
+    enough = by_user.groupBy("item_id").agg(F.sum("_n").alias("_sessions"), F.count("*").alias("_users")).filter((F.col("_sessions") >= support.sessions) & (F.col("_users") >= support.users))
+    return items.join(enough.select("item_id"), "item_id", "left_semi")
+
+
+def item_pairs(sessions: DataFrame, settings: PairSettings = PairSettings(), support: Support = Support()) -> DataFrame:
     """Both directions of all pairs of a session's items, with weights.
 
-    A session's items, a bounded number, meet as an array and are exploded twice where they are: no self-join.
+    A session's items, a bounded number, meet as an array and are exploded twice where they are: no self-join. With
+    ``support``, counted over these sessions, only pairs of items that have it.
     """
     items = session_items(sessions, settings)
+    if support.prunes:
+        items = supported_items(items, support)
     one = F.struct("item_id", "item_action_type", "item_widget_name", "event_position").alias("i")
     sets = items.groupBy("user_id", "session_index", "session_start_date").agg(F.collect_list(one).alias("items"))
     both = sets.withColumn("s", F.explode("items")).withColumn("t", F.explode("items")).filter("s.item_id <> t.item_id")

@@ -178,7 +178,7 @@ def scoring_trials(clean, sessions, popularity, distribution, aggregates, produc
     from pairloom.operators.evaluation import offline_metrics
     from pairloom.plans.recommend import score_and_rank
 
-    aggregates, popularity, truth = staged(aggregates), staged(popularity), staged(truth)
+    aggregates, popularity, distribution, truth = staged(aggregates), staged(popularity), staged(distribution), staged(truth)
 
     def evaluate(params: Params) -> Mapping[str, float | None]:
         if not is_scoring_only(params):

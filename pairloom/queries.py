@@ -256,6 +256,15 @@ _query("score_calibrated_linear", _score_sql("CAST(view_count + 3 * click_count
 _query("score_calibrated_sqrt", _score_sql("sqrt(view_count) + 3 * sqrt(click_count) + 6 * sqrt(favorite_count) + 8 * sqrt(to_cart_count)"))(_scored(Scorer(count_transform="sqrt")))
 _query("score_beta", _score_sql(_BOOST))(_scored(Scorer(action_shares=SHARES)))
 _query("score_thresholds", _score_sql(_LOG, f"pair_count >= 2 AND unique_users >= 2 AND unique_sessions >= 2 AND weighted_pair_count >= 2.5 AND round({_LOG}, 6) >= 5"))(_scored(Scorer(min_pair_count=2, min_unique_users=2, min_unique_sessions=2, min_weighted_pair_count=2.5, min_score=5.0)))
+
+
+def _pruned(s: SparkSession, d: str) -> DataFrame:
+    scorer = Scorer(min_pair_count=2, min_unique_users=3, min_unique_sessions=2)
+    sessions = _sessions(s, d).filter(F.col("session_start_date").between(F.lit(START).cast("date"), F.lit(END).cast("date")))
+    return _rounded(scorer.score(aggregate_window(item_pairs(sessions, support=scorer.support()), START, END)), "score", *WEIGHTED_COUNTS)
+
+
+_query("score_thresholds_pruned", _score_sql(_LOG, "pair_count >= 2 AND unique_users >= 3 AND unique_sessions >= 2"))(_pruned)
 _query("score_weighted_source", _score_sql("weighted_view_count + 3 * weighted_click_count + 6 * weighted_favorite_count + 8 * weighted_to_cart_count"))(_scored(Scorer(count_source="weighted", count_transform="linear")))
 _query("score_popularity_norm", _score_sql(f"({_LOG.replace('view_count', 'a.view_count').replace('click_count', 'a.click_count').replace('favorite_count', 'a.favorite_count').replace('to_cart_count', 'a.to_cart_count')}) / power((p.unique_users + 1.0) * (q.unique_users + 1.0), 0.5)", "true", ("pop",), "LEFT JOIN pop p ON p.item_id = a.item_id LEFT JOIN pop q ON q.item_id = a.similar_item_id"))(
     _scored(Scorer(normalize_by_popularity=True))
