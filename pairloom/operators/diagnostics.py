@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pairloom.operators.popularity import counted_with_distinct
 from pairloom.operators.sessions import seconds_between
 
 QUANTILES = (0.5, 0.75, 0.9, 0.95, 0.99)
@@ -26,9 +27,8 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 def action_profile(events: DataFrame) -> DataFrame:
     """Rows, users, items and missing values of each action."""
-    found = events.groupBy("action_type").agg(
-        F.count("*").alias("rows"), F.count_distinct("user_id").alias("unique_users"), F.count_distinct("item_id").alias("unique_items"), F.count_if(F.col("item_id").isNull()).alias("missing_items"), F.count_if(F.col("widget_name").isNull()).alias("missing_widgets")
-    )
+    sums = [F.count("*").alias("rows"), F.count_if(F.col("item_id").isNull()).alias("missing_items"), F.count_if(F.col("widget_name").isNull()).alias("missing_widgets")]
+    found = counted_with_distinct(events, "action_type", {"user_id": "unique_users", "item_id": "unique_items"}, sums)
     return found.withColumns({"missing_item_share": F.col("missing_items") / F.col("rows"), "missing_widget_share": F.col("missing_widgets") / F.col("rows"), "row_share": F.col("rows") / F.sum("rows").over(Window.partitionBy())})
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -79,9 +79,9 @@ def catalogue_reconciliation(events: DataFrame, products: DataFrame) -> DataFram
     return both.agg(F.count_if(F.expr("_l IS NOT NULL AND _c IS NOT NULL")).alias("matched"), F.count_if(F.expr("_c IS NULL")).alias("log_only"), F.count_if(F.expr("_l IS NULL")).alias("catalogue_only"))
 
 
-def sampled_session_lengths(sessions: DataFrame, per_mille: int = 50, quantiles: Sequence[float] = (0.5, 0.9, 0.99)) -> DataFrame:
-    """One row: quantiles of session lengths over a hashed sample of users, the feature of this query."""
-    users = sessions.filter(F.pmod(F.xxhash64("user_id"), F.lit(1000)) < per_mille)
+def sampled_session_lengths(sessions: DataFrame, per_mille: int = 50, quantiles: Sequence[float] = (0.5, 0.9, 0.99), hashed: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
+    """One row: quantiles of session lengths over a hashed sample of users, the feature of this query; any hash will do."""
+    users = sessions.filter(F.pmod(hashed(F.col("user_id")), F.lit(1000)) < per_mille)
     lengths = _by_value(users.groupBy("user_id", "session_index").agg(F.count("*").alias("n")), "n")
     return lengths.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("sessions"), *(F.percentile("n", F.lit(q), F.col("_n")).alias(f"p{round(100 * q)}") for q in quantiles))
 

@@ -98,9 +98,11 @@ def candidate_pools(popularity: DataFrame, products: DataFrame | None, settings:
     return placed.filter(F.col("place") <= F.col("most")).select("level", "k1", "k2", "item_id", "place")
 
 
-def merge_fallback(recommendations: DataFrame, popularity: DataFrame, products: DataFrame | None, settings: FallbackSettings) -> DataFrame:
+def merge_fallback(recommendations: DataFrame, popularity: DataFrame, products: DataFrame | None, settings: FallbackSettings, groups: DataFrame | None = None) -> DataFrame:
     """Recommendations, each source's list filled up to top_k.
 
+    With ``groups``, a table of a few rows, recommendations have its columns too, and each group is filled by itself.
+
     Behavioural rows come first. A candidate belongs to the first level that yields it; fallback rows have score and
     raw counts 0 and no weighted counts. With an empty popularity pool the recommendations come back as they are.
 
@@ -116,19 +118,21 @@ def merge_fallback(recommendations: DataFrame, popularity: DataFrame, products:
     if usable.isEmpty():
         return recommendations
     base = with_weighted_counts(recommendations) if set(RAW_COUNTS) <= set(recommendations.columns) else recommendations
-    own = Window.partitionBy("item_id").orderBy("rank", "similar_item_id")
+    by = groups.columns if groups is not None else []
+    item = [*by, "item_id"]
+    own = Window.partitionBy(*item).orderBy("rank", "similar_item_id")
     base = base.filter("item_id IS NOT NULL AND similar_item_id IS NOT NULL AND item_id <> similar_item_id")
-    once = Window.partitionBy("item_id", "similar_item_id").orderBy("rank")
+    once = Window.partitionBy(*item, "similar_item_id").orderBy("rank")
     base = base.withColumn("_once", F.row_number().over(once)).filter("_once = 1").withColumn("_place", F.row_number().over(own).cast("long")).filter(F.col("_place") <= settings.top_k).drop("_once")
-    extra, kinds = [c for c in base.columns if c not in CONTRACTS["recommendations"] and c != "_place"], dict(base.dtypes)
+    extra, kinds = [c for c in base.columns if c not in (*CONTRACTS["recommendations"], *by, "_place")], dict(base.dtypes)
     row = F.struct(F.col("_place").alias("rank"), "similar_item_id", "score", "source", *extra)
-    lists = base.groupBy("item_id").agg(F.sort_array(F.collect_list(row)).alias("_own"))
+    lists = base.groupBy(*item).agg(F.sort_array(F.collect_list(row)).alias("_own"))
     sources = usable.select("item_id").distinct() if settings.include_cold_start_items else None
     if settings.include_catalog_only_sources and products is not None:
         known = products.filter("item_id IS NOT NULL").select("item_id")
         sources = known.distinct() if sources is None else sources.unionByName(known).distinct()
     if sources is not None:
-        lists = lists.join(sources, "item_id", "full_outer")
+        lists = lists.join(sources.join(F.broadcast(groups)) if groups is not None else sources, item, "full_outer")
     if products is not None:
         lists = lists.join(catalogue(products).drop("name"), "item_id", "left")
     asked = _asked(settings, products is not None)
@@ -152,4 +156,4 @@ def merge_fallback(recommendations: DataFrame, popularity: DataFrame, products:
         return F.struct((F.size("_taken") + k + 1).cast("long").alias("rank"), x.alias("similar_item_id"), F.lit(0.0).cast(kinds["score"]).alias("score"), label.alias("source"), *(zero.get(c, F.lit(None)).cast(kinds[c]).alias(c) for c in extra))
 
     rows = F.concat(F.coalesce("_own", F.transform(none, lambda x: filled(x, F.lit(0)))), F.transform("_fill", filled))
-    return lists.select("item_id", F.explode(rows).alias("_r")).select("item_id", "_r.*").select(*CONTRACTS["recommendations"], *extra)
+    return lists.select(*item, F.explode(rows).alias("_r")).select(*item, "_r.*").select(*by, *CONTRACTS["recommendations"], *extra)

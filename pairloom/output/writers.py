@@ -14,6 +14,11 @@ from pairloom.schemas import CONTRACTS, require_columns
 from pairloom.sources.files import joined, write_text
 
 
+#: Bytes of a row group of look-up lists, and the file that has their ranges; names with an underscore are no data to Spark.
+ROW_GROUP_BYTES = 4 << 20
+RANGES = "_ranges.json"
+
+
 def enriched(recommendations: DataFrame, products: DataFrame) -> DataFrame:
     """Recommendations with the names of both items."""
     names = catalogue(products)
@@ -43,8 +48,17 @@ def write_enriched(recommendations: DataFrame, products: DataFrame, path: str) -
     enriched(recommendations, products).sort("item_id", "rank", "similar_item_id").write.mode("overwrite").parquet(path)
 
 
-def write_lookup(recommendations: DataFrame, path: str) -> None:
-    lookup_lists(recommendations).write.mode("overwrite").parquet(path)
+def write_lookup(recommendations: DataFrame, path: str, files: int | None = None) -> None:
+    """Lists dealt by ranges of items and sorted, for look-ups of single items; as many files as Spark finds right, or as told.
+
+    A file of ranges beside the data says which file has an item; in it, small row groups with bounds and a bloom filter
+    leave one to be read.
+    """
+    lists = lookup_lists(recommendations)
+    lists = lists.repartitionByRange(*([files] if files else []), "item_id").sortWithinPartitions("item_id")
+    lists.write.mode("overwrite").option("parquet.bloom.filter.enabled#item_id", "true").option("parquet.block.size", str(ROW_GROUP_BYTES)).parquet(path)
+    ids = recommendations.sparkSession.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("file")).agg(F.min("item_id").alias("first"), F.max("item_id").alias("last"))
+    write_manifest(joined(path, RANGES), {"files": [r.asDict() for r in ids.orderBy("first").collect()]})  # a row for each file
 
 
 def write_daily(df: DataFrame, path: str, date_column: str = "pair_date") -> None:

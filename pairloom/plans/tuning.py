@@ -9,7 +9,7 @@ import math
 import random
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from decimal import Decimal
-from itertools import product
+from itertools import islice, product
 from typing import Any
 
 from pairloom.output.writers import write_manifest
@@ -18,6 +18,8 @@ from pairloom.sources.files import exists, folders, joined, read_text, staged, w
 Params = dict[str, Any]
 #: Parameters that only the last steps read.
 SCORING_ONLY = ("scoring.", "topk.", "business.fallback.")
+#: Trials of one pass.
+TOGETHER = 50
 
 
 def values(spec: Mapping[str, Any]) -> list[Any]:
@@ -111,8 +113,10 @@ class Sweep:
         self.results: list[dict[str, Any]] = []
 
     def trial(self, params: Params) -> dict[str, Any]:
-        trial_id = f"trial_{len(self.results):04d}"
-        metrics = dict(self.evaluate(params))
+        return self.add(params, self.evaluate(params))
+
+    def add(self, params: Params, metrics: Mapping[str, float | None]) -> dict[str, Any]:
+        trial_id, metrics = f"trial_{len(self.results):04d}", dict(metrics)
         result = {"trial_id": trial_id, "params": params, "metrics": metrics, "objective": objective(metrics, self.spec)}
         self.results.append(result)
         write_manifest(joined(self.folder, "trials", trial_id, "metrics.json"), result)
@@ -137,6 +141,13 @@ class Sweep:
             self.trial(p)
         return best(self.results, self.spec)
 
+    def together(self, trials: Iterator[Params], evaluate: Callable[[Sequence[Params]], Sequence[Mapping[str, float | None]]], size: int = TOGETHER) -> Mapping[str, Any] | None:
+        """Trials that an evaluator takes several at once."""
+        while some := list(islice(trials, size)):
+            for params, metrics in zip(some, evaluate(some), strict=True):
+                self.add(params, metrics)
+        return best(self.results, self.spec)
+
     def halving(self, candidates: Sequence[Params], cheap: Callable[[Params], Mapping[str, float | None]], factor: int = 3) -> Mapping[str, Any] | None:
         """Candidates on a cheap run first; the best part of them in full."""
         scored = [(objective(cheap(p), self.spec), k) for k, p in enumerate(candidates)]
@@ -210,16 +221,26 @@ def trials_of(clean, products, config, train_until: str, validation_days: int, l
 def tune(clean, products, config, tuning: Mapping[str, Any], train_until: str, validation_days: int, folder: str) -> Mapping[str, Any] | None:  # noqa: ANN001
     """The sweep that ``tuning`` asks for: space, objective, method (grid, random, halving, annealing), trials and seed.
 
-    Where only the last steps vary, trials share everything before them. Halving tries candidates on one day of training
+    Where only the last steps vary, trials share everything before them, and those of grids and random searches are evaluated
+    many in one pass. Halving tries candidates on one day of training
     and one of validation first. The best whole configuration is written as ``best_full_config.json``.
     """
     from pairloom.config import Settings, override
     from pairloom.plans.recommend import recommend, validation_truth
+    from pairloom.plans.trials import evaluate_trials
 
     space, spec, method = tuning["space"], tuning["objective"], tuning.get("method", "grid")
     trials, seed = int(tuning.get("trials", 20)), tuning.get("seed")
+    many = None
     if is_scoring_only(space) and method != "halving":
-        plan = recommend(clean, products, Settings.from_config(config), train_until)
+        plan = recommend(clean, products, Settings.from_config(override(config, {f"scoring.min_{c}": 1 for c in ("pair_count", "unique_users", "unique_sessions")})), train_until)
+        if method in ("grid", "random"):
+            shared = [staged(df) for df in (plan.aggregates, plan.popularity, plan.distribution)]
+            truth = staged(validation_truth(clean, config, train_until, validation_days))
+            many = lambda some: [m.as_dict() for m in evaluate_trials(*shared, products, truth, config, some)]
+    if many is not None:
+        evaluate = lambda p: many([p])[0]
+    elif is_scoring_only(space) and method != "halving":
         evaluate = scoring_trials(clean, plan.sessions, plan.popularity, plan.distribution, plan.aggregates, products, validation_truth(clean, config, train_until, validation_days), config)
     else:
         evaluate = trials_of(clean, products, config, train_until, validation_days)
@@ -229,7 +250,8 @@ def tune(clean, products, config, tuning: Mapping[str, Any], train_until: str, v
     elif method == "halving":
         top = sweep.halving(list(sampled(space, trials, seed)), trials_of(clean, products, config, train_until, 1, lookback_days=1))
     elif method in ("grid", "random"):
-        top = sweep.run(grid(space, tuning.get("trials")) if method == "grid" else sampled(space, trials, seed))
+        asked = grid(space, tuning.get("trials")) if method == "grid" else sampled(space, trials, seed)
+        top = sweep.together(asked, many) if many is not None else sweep.run(asked)
     else:
         raise ValueError(f"unknown method {method}")
     if top:

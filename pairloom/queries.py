@@ -15,8 +15,8 @@ from pairloom.operators.bitmaps import FULL, aggregate_window_from_sets, daily_s
 from pairloom.operators.cleaning import clean_events
 from pairloom.operators.evaluation import TemporalSplit, coverage, fallback_hits, ground_truth, item_metrics, mean_metrics, offline_metrics, popularity_bias, ranking_truth, source_shares, split_train_validation
 from pairloom.operators.fallback import FallbackSettings, candidate_pools, merge_fallback
-from pairloom.operators.pairs import DailyPairStats, PairSettings, daily_pair_stats, item_pairs, raw_pair_rows, session_items
-from pairloom.operators.popularity import action_distribution, item_popularity
+from pairloom.operators.pairs import DailyPairStats, PairSettings, daily_pair_stats, item_pairs, pair_counts, raw_pair_rows, session_items
+from pairloom.operators.popularity import action_distribution, action_shares, item_popularity
 from pairloom.operators.scoring import Scorer
 from pairloom.operators.sessions import build_sessions, build_sessions_by_day, build_sessions_of_all
 from pairloom.operators.topk import TopK
@@ -24,6 +24,7 @@ from pairloom.output.writers import combined, enriched, lookup_lists
 from pairloom.plans.parts import DailyParts
 from pairloom.schemas import ACTIONS, RAW_COUNTS, WEIGHTED_COUNTS
 from pairloom.sources.adapters import basket_events, products, raw_event_stream, raw_events
+from pairloom.sources.events import counted_from_footers
 from pairloom.sources.files import shared_path, staged
 from pairloom.streaming.carry_over import STATE_STORE, carried_sessions, sessions_through
 
@@ -222,6 +223,13 @@ _query("time_decay_table", _sql("SELECT * FROM agg", "agg", time=_TIME_TABLE))(l
 _query("time_decay_exp", _sql("SELECT * FROM agg", "agg", time=_TIME_EXP))(lambda s, d: _rounded(aggregate_window(_pairs(s, d), START, END, TimeDecay(True, "exponential")), *WEIGHTED_COUNTS))
 _query("window_aggregate_weekly", _sql("SELECT * FROM agg", "agg", start="2024-01-08", end="2024-01-14"))(lambda s, d: _rounded(aggregate_window(_pairs(s, d), "2024-01-08", "2024-01-14"), *WEIGHTED_COUNTS))
 
+_query("window_aggregate_bucket", _sql("SELECT * FROM agg WHERE item_id % 4 = 1", "agg"))(lambda s, d: (lambda t: _rounded(aggregate_window_from_daily(t.counts, t.user_keys, t.session_keys, START, END, item_bucket=(1, 4)), *WEIGHTED_COUNTS))(daily_pair_stats(_sessions(s, d))))
+_LEGACY = ", ".join([*RAW_COUNTS, *(f"CAST({r} AS DOUBLE) {w}" for r, w in zip(RAW_COUNTS, WEIGHTED_COUNTS, strict=True))])
+_query("window_aggregate_legacy", _sql(f"SELECT item_id, similar_item_id, {_LEGACY}, unique_users, unique_sessions, window_start, window_end FROM agg", "agg", widget=f"CAST({_WIDGET} AS DOUBLE)"))(
+    lambda s, d: (lambda t: _rounded(aggregate_window_from_daily(t.counts.drop(*WEIGHTED_COUNTS), t.user_keys, t.session_keys, START, END), *WEIGHTED_COUNTS))(daily_pair_stats(_sessions(s, d), PairSettings(widget_context=WIDGETS)))
+)
+_query("pair_counts_without_weights", _sql(_DAILY.format(more="", counts=_counts_sql(), by="1, 2, 3"), "pairs"))(lambda s, d: _rounded(pair_counts(_pairs(s, d, PairSettings(widget_context=WIDGETS)).drop("distance_weight", "widget_weight", "graph_weight")), *WEIGHTED_COUNTS))
+
 # ---- popularity -----------------------------------------------------------------------------------------------
 
 _query("item_popularity", _sql("SELECT * FROM pop", "clean", ("pop",)))(lambda s, d: item_popularity(_clean(s, d)))
@@ -255,6 +263,8 @@ _query("score_calibrated_log", _score_sql(_LOG))(_scored(Scorer()))
 _query("score_calibrated_linear", _score_sql("CAST(view_count + 3 * click_count + 6 * favorite_count + 8 * to_cart_count AS DOUBLE)"))(_scored(Scorer(count_transform="linear")))
 _query("score_calibrated_sqrt", _score_sql("sqrt(view_count) + 3 * sqrt(click_count) + 6 * sqrt(favorite_count) + 8 * sqrt(to_cart_count)"))(_scored(Scorer(count_transform="sqrt")))
 _query("score_beta", _score_sql(_BOOST))(_scored(Scorer(action_shares=SHARES)))
+_SHARED = " + ".join(f"{w} * least(power((SELECT n FROM shares WHERE action_type = 'view') / (SELECT n FROM shares WHERE action_type = '{a}'), 0.5), {cap}) * ln({a}_count + 1.0)" for a, w, cap in (("view", 1.0, 1.0), ("click", 3.0, 10.0), ("favorite", 6.0, 15.0), ("to_cart", 8.0, 30.0)))
+_query("score_measured_shares", _score_sql(_SHARED).replace(" SELECT a.item_id", ", shares AS (SELECT action_type, count(*) n FROM clean GROUP BY 1) SELECT a.item_id", 1))(lambda s, d: _scored(Scorer(action_shares=action_shares(action_distribution(_clean(s, d), START, END))))(s, d))
 _query("score_thresholds", _score_sql(_LOG, f"pair_count >= 2 AND unique_users >= 2 AND unique_sessions >= 2 AND weighted_pair_count >= 2.5 AND round({_LOG}, 6) >= 5"))(_scored(Scorer(min_pair_count=2, min_unique_users=2, min_unique_sessions=2, min_weighted_pair_count=2.5, min_score=5.0)))
 
 
@@ -416,6 +426,15 @@ _query("offline_metrics", _metrics_sql("SELECT " + ", ".join([*(f"round({v}, 6)
 # ---- profiles -------------------------------------------------------------------------------------------------
 
 _RAW_NAMES = ("user_id", "date", "timestamp", "action_type", "widget_name", "search_query", "item_id")
+
+
+def _footers(s: SparkSession, d: str) -> DataFrame:
+    parts = [counted_from_footers(s, f"{d}/{t}.parquet").withColumn("table_name", F.lit(t)) for t in _COUNTED_TABLES]
+    return combined(parts[0], *parts[1:])
+
+
+_COUNTED_TABLES = ("events", "lineitem", "orders", "part", "customer")
+_query("footer_rows", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in _COUNTED_TABLES))(_footers)
 _query("null_profile", _sql(" UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) row_count, count(*) - count({c}) null_count, (count(*) - count({c})) / count(*) null_share FROM raw" for c in _RAW_NAMES), "raw"))(lambda s, d: diagnostics.null_profile(raw_events(s, d)))
 _query("action_profile", _sql("""SELECT action_type, count(*) AS rows, count(DISTINCT user_id) unique_users, count(DISTINCT item_id) unique_items, count(*) - count(item_id) missing_items, count(*) - count(widget_name) missing_widgets,
     (count(*) - count(item_id)) / count(*) missing_item_share, (count(*) - count(widget_name)) / count(*) missing_widget_share, round(count(*) / sum(count(*)) OVER (), 9) row_share FROM raw GROUP BY 1""", "raw"))(lambda s, d: diagnostics.action_profile(raw_events(s, d)).withColumn("row_share", F.round("row_share", 9)))
@@ -451,6 +470,9 @@ _SEARCH = "WITH q AS (SELECT CASE WHEN p_size % 7 = 0 THEN '  ' WHEN p_size % 5
 _query("search_quality", _SEARCH + "SELECT count(*) AS rows, count(*) - count(s) nulls, count(*) FILTER (s = '') empty, count(*) FILTER (s <> '' AND trim(s) = '') blank, count(DISTINCT lower(trim(s))) AS distinct FROM q")(lambda s, d: eda.search_quality(_searches(s, d)))
 _query("top_queries", _SEARCH + "SELECT lower(trim(s)) AS query, count(*) AS rows FROM q WHERE trim(s) <> '' GROUP BY 1 ORDER BY rows DESC, query LIMIT 50")(lambda s, d: eda.top_queries(_searches(s, d)))
 _query("sampled_session_lengths", None)(lambda s, d: eda.sampled_session_lengths(_sessions(s, d), 300))
+_query("sampled_session_lengths_md5", _sql("SELECT count(*) sessions, " + ", ".join(f"round(quantile_cont(n, {q}), 6) p{round(100 * q)}" for q in (0.5, 0.9, 0.99)) + " FROM (SELECT user_id, session_index, count(*) n FROM sessions WHERE CAST('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8) AS BIGINT) % 1000 < 300 GROUP BY 1, 2)", "sessions"))(
+    lambda s, d: _rounded(eda.sampled_session_lengths(_sessions(s, d), 300, hashed=lambda u: F.conv(F.substring(F.md5(u.cast("string").cast("binary")), 1, 8), 16, 10).cast("long")), "p50", "p90", "p99")
+)
 _query("item_search", _sql("SELECT item_id, name item_name FROM prod WHERE contains(lower(coalesce(name, '')), 'a')", "raw", ("prod",)))(lambda s, d: eda.search_items(products(s, d).select("item_id", F.col("name").alias("item_name")), "A"))
 _query("union_missing_columns", _sql("SELECT item_id, similar_item_id, score, rank, source, pair_count FROM top UNION ALL SELECT item_id, similar_item_id, score, rank, 'again', NULL FROM top", "top"))(
     lambda s, d: combined(_top(s, d).select("item_id", "similar_item_id", "score", "rank", "source", "pair_count"), _top(s, d).select("item_id", "similar_item_id", "score", "rank", F.lit("again").alias("source")))
