@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.functions.decay import DistanceDecay, WidgetContext
+from pairloom.operators.placing import placed_in_ranges
 from pairloom.schemas import ACTIONS, require_columns
 from pairloom.sources.files import staged
 
@@ -37,18 +38,34 @@ class PairSettings:
         return chain
 
 
-def session_items(sessions: DataFrame, settings: PairSettings = PairSettings()) -> DataFrame:
+def _heavy_sessions(events: DataFrame, settings: PairSettings, least: int) -> DataFrame | None:
+    """(user_id, session_index, _fits): sessions of ``least`` events or more, and whether they have an allowed number of items; None if there are none."""
+    by_item = events.groupBy("user_id", "session_index", "item_id").agg(F.count("*").alias("_n"))
+    sizes = by_item.groupBy("user_id", "session_index").agg(F.sum("_n").alias("_n"), F.count("*").alias("_items")).filter(F.col("_n") >= least)
+    heavy = staged(sizes.select("user_id", "session_index", F.col("_items").between(2, settings.max_items_per_session).alias("_fits")))
+    return None if heavy.isEmpty() else heavy
+
+
+def session_items(sessions: DataFrame, settings: PairSettings = PairSettings(), heavy_events: int | None = None) -> DataFrame:
     """One row for each item of a session: its strongest action, that action's widget, and its first position.
 
     Equal priorities go to the earlier event, then to the smaller widget and action name. Sessions with fewer than two
     or more than the allowed items are left out. Sessions are dealt by user and session, so a user with very many of them is
-    no task's alone; one with very many events is cut to its items by partial sums only after its events are placed.
+    no task's alone. With ``heavy_events``, a session of as many events or more isn't either: it is left out by partial
+    counts of its items before anything is ordered, or else its events are placed in ranges.
     """
     require_columns(sessions, "sessions")
     session = ["user_id", "session_index"]
-    events = sessions.filter(F.col("action_type").isin(*settings.actions) & F.col("item_id").isNotNull()).repartition(*session)
-    order = Window.partitionBy(*session).orderBy("timestamp", "item_id", "action_type", "widget_name")
-    placed = events.withColumn("_position", F.row_number().over(order)).withColumn("_priority", settings.priority(F.col("action_type")))
+    events, order = sessions.filter(F.col("action_type").isin(*settings.actions) & F.col("item_id").isNotNull()), ["timestamp", "item_id", "action_type", "widget_name"]
+    number = F.row_number().over(Window.partitionBy(*session).orderBy(*order))
+    heavy = _heavy_sessions(events, settings, heavy_events) if heavy_events else None
+    if heavy is None:
+        placed = events.repartition(*session).withColumn("_position", number)
+    else:
+        light = events.join(heavy.select(*session), session, "left_anti").repartition(*session).withColumn("_position", number)
+        long = events.join(heavy.filter("_fits").select(*session), session, "left_semi")
+        placed = light.unionByName(placed_in_ranges(long, session, order, "_position"))
+    placed = placed.withColumn("_priority", settings.priority(F.col("action_type")))
     strongest = F.struct("_priority", (-F.col("_position")).alias("_earlier"))
     items = placed.groupBy(*session, "session_start_date", "item_id").agg(
         F.max_by("action_type", strongest).alias("item_action_type"), F.max_by("widget_name", strongest).alias("item_widget_name"), F.max("_priority").alias("signal_priority"), F.min("_position").alias("event_position")
@@ -82,13 +99,13 @@ def supported_items(items: DataFrame, support: Support) -> DataFrame:
     return items.join(enough.select("item_id"), "item_id", "left_semi")
 
 
-def item_pairs(sessions: DataFrame, settings: PairSettings = PairSettings(), support: Support = Support()) -> DataFrame:
+def item_pairs(sessions: DataFrame, settings: PairSettings = PairSettings(), support: Support = Support(), heavy_events: int | None = None) -> DataFrame:
     """Both directions of all pairs of a session's items, with weights.
 
     A session's items, a bounded number, meet as an array and are exploded twice where they are: no self-join. With
     ``support``, counted over these sessions, only pairs of items that have it.
     """
-    items = session_items(sessions, settings)
+    items = session_items(sessions, settings, heavy_events)
     if support.prunes:
         items = supported_items(items, support)
     one = F.struct("item_id", "item_action_type", "item_widget_name", "event_position").alias("i")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pairloom.config import Settings
 from pairloom.operators.cleaning import clean_events
 from pairloom.operators.pairs import DailyPairStats, item_pairs, stats_of_pairs
-from pairloom.operators.sessions import build_sessions_of_all
+from pairloom.operators.sessions import HEAVY_EVENTS, build_sessions_of_all
 from pairloom.output.writers import write_daily, write_manifest
 from pairloom.sources.files import delete, exists, joined, listed, read_text, session, staged
 
@@ -130,7 +130,7 @@ def daily_tables(raw: DataFrame, settings: Settings, start: str, end: str, folde
                 break
             first -= 1
         begun = sessions.filter(F.col("session_start_date") >= F.lit(days[first]).cast("date"))
-        stats = stats_of_pairs(staged(item_pairs(begun, settings.pairs)))
+        stats = stats_of_pairs(staged(item_pairs(begun, settings.pairs, heavy_events=HEAVY_EVENTS)))
         for name in TABLES:
             table = joined(folder, name)
             for d in days[first:]:

@@ -17,7 +17,7 @@ from pairloom.operators.evaluation import OfflineMetrics, ground_truth, offline_
 from pairloom.operators.fallback import merge_fallback
 from pairloom.operators.pairs import DailyPairStats, Support, daily_pair_stats, item_pairs
 from pairloom.operators.popularity import action_distribution, action_shares, item_popularity
-from pairloom.operators.sessions import build_sessions, build_sessions_of_all
+from pairloom.operators.sessions import HEAVY_EVENTS, build_sessions, build_sessions_of_all
 from pairloom.output.writers import publish_latest, write_daily, write_detailed, write_enriched, write_lookup, write_manifest
 from pairloom.plans.artifacts import KINDS, Catalogue, missing
 from pairloom.plans.incremental import cached, daily_tables, day_inputs, input_identity
@@ -61,7 +61,7 @@ def recommend(clean: DataFrame, products: DataFrame | None, settings: Settings,
     if daily is not None:
         aggregates = aggregate_window_from_daily(daily.counts, daily.user_keys, daily.session_keys, start, end, settings.time_decay)
     else:
-        aggregates = aggregate_window(item_pairs(sessions, settings.pairs, Support() if keep else settings.scorer.support()), start, end, settings.time_decay)
+        aggregates = aggregate_window(item_pairs(sessions, settings.pairs, Support() if keep else settings.scorer.support(), HEAVY_EVENTS), start, end, settings.time_decay)
     if keep is not None:
         aggregates.write.mode("overwrite").parquet(keep)
         aggregates = clean.sparkSession.read.parquet(keep)

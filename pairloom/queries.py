@@ -21,6 +21,7 @@ from pairloom.operators.scoring import Scorer
 from pairloom.operators.sessions import build_sessions, build_sessions_by_day, build_sessions_of_all
 from pairloom.operators.topk import TopK
 from pairloom.output.writers import combined, enriched, lookup_lists
+from pairloom.plans.layout import aggregates_in_buckets, clean_in_buckets
 from pairloom.plans.parts import DailyParts
 from pairloom.schemas import ACTIONS, RAW_COUNTS, WEIGHTED_COUNTS
 from pairloom.sources.adapters import basket_events, products, raw_event_stream, raw_events
@@ -140,6 +141,23 @@ _query("sessions", _sql("SELECT * FROM sessions", "sessions", timeout=30))(lambd
 _query("sessions_day_timeout", _sql("SELECT * FROM sessions", "sessions"))(_sessions)
 _query("sessions_by_day", _sql("SELECT * FROM sessions", "sessions"))(lambda s, d: build_sessions_by_day(_clean(s, d), TIMEOUT))
 _query("session_items", _sql("SELECT * FROM items", "items"))(lambda s, d: session_items(_sessions(s, d)))
+_query("session_items_in_ranges", _sql("SELECT * FROM items", "items"))(lambda s, d: session_items(_sessions(s, d), heavy_events=12))
+
+
+def _bucketed(s: SparkSession, d: str) -> DataFrame:
+    path = shared_path("buckets")
+    return clean_in_buckets(raw_events(s, d), f"clean_{path[-32:]}", path, 16)
+
+
+def _bucketed_top(s: SparkSession, d: str) -> DataFrame:
+    path = shared_path("buckets")
+    aggregates = aggregates_in_buckets(_aggregates(s, d), f"aggregates_{path[-32:]}", path, 16)
+    return _rounded(TopK(top_k=10, deduplicate=False).select(Scorer(method="pair_count").score(aggregates)), "score", *WEIGHTED_COUNTS)
+
+
+_query("sessions_bucketed", _sql("SELECT * FROM sessions", "sessions"))(lambda s, d: build_sessions(_bucketed(s, d), TIMEOUT))
+_query("item_popularity_bucketed", _sql("SELECT * FROM pop", "clean", ("pop",)))(lambda s, d: item_popularity(_bucketed(s, d)))
+_query("topk_bucketed", _sql("SELECT * FROM top", "top"))(_bucketed_top)
 _query("item_pairs", _sql("SELECT * FROM pairs", "pairs"))(_pairs)
 _query("item_pairs_30min", _sql("SELECT * FROM pairs", "pairs", timeout=30))(lambda s, d: item_pairs(build_sessions(_clean(s, d), 30)))
 _BASKETS = """SELECT CAST(o_custkey AS BIGINT) user_id, CAST(o_orderdate AS DATE) AS date, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + to_minutes(CAST(l_linenumber AS BIGINT)) AS timestamp,
