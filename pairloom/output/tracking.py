@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import csv
+import io
 from collections.abc import Mapping
-from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pairloom.operators.fallback import LEVELS
 from pairloom.output.writers import write_manifest
 from pairloom.schemas import CONTRACTS, schema
+from pairloom.sources.files import exists, read_text, write_text
 
 
 def write_record(path: str, record: Mapping[str, Any]) -> None:
@@ -21,17 +22,17 @@ def write_record(path: str, record: Mapping[str, Any]) -> None:
 
 
 def append_record(path: str, record: Mapping[str, Any]) -> None:
-    """Add a row to a CSV table; columns that it doesn't have yet are added for all rows."""
-    target, rows = Path(path), []
-    if target.exists():
-        with target.open(newline="") as f:
-            rows = list(csv.DictReader(f))
-    rows.append({k: v for k, v in record.items()})
-    target.parent.mkdir(parents=True, exist_ok=True)
-    with target.open("w", newline="") as f:
-        writer = csv.DictWriter(f, list(dict.fromkeys(k for r in rows for k in r)))
-        writer.writeheader()
-        writer.writerows(rows)
+    """Add a row to a CSV table in any store; columns that it doesn't have yet are added for all rows.
+
+    The table is replaced as a whole, so readers never see a part of it.
+    """
+    rows = list(csv.DictReader(io.StringIO(read_text(path), newline=""))) if exists(path) else []
+    rows.append(dict(record))
+    text = io.StringIO(newline="")
+    writer = csv.DictWriter(text, list(dict.fromkeys(k for r in rows for k in r)))
+    writer.writeheader()
+    writer.writerows(rows)
+    write_text(path, text.getvalue())
 
 
 def for_display(recommendations: DataFrame) -> DataFrame:

@@ -134,7 +134,8 @@ class Sweep:
         write_manifest(joined(self.folder, "summary.json"), {"trials": len(rows), "best": top})
         if top:
             write_manifest(joined(self.folder, "best_metrics.json"), top["metrics"])
-            write_manifest(joined(self.folder, "best_config.json"), top["params"])
+            for name in ("best_config.json", "best_config.yaml"):  # JSON is YAML too
+                write_manifest(joined(self.folder, name), top["params"])
 
     def run(self, trials: Iterator[Params]) -> Mapping[str, Any] | None:
         for p in trials:
@@ -255,7 +256,8 @@ def tune(clean, products, config, tuning: Mapping[str, Any], train_until: str, v
     else:
         raise ValueError(f"unknown method {method}")
     if top:
-        write_manifest(joined(folder, "best_full_config.json"), override(config, top["params"]))
+        for name in ("best_full_config.json", "best_full_config.yaml"):  # JSON is YAML too
+            write_manifest(joined(folder, name), override(config, top["params"]))
     return top
 
 

@@ -451,7 +451,7 @@ def _footers(s: SparkSession, d: str) -> DataFrame:
     return combined(parts[0], *parts[1:])
 
 
-_COUNTED_TABLES = ("events", "lineitem", "orders", "part", "customer")
+_COUNTED_TABLES = ("events", "lineitem", "orders", "part")
 _query("footer_rows", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in _COUNTED_TABLES))(_footers)
 _query("null_profile", _sql(" UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) row_count, count(*) - count({c}) null_count, (count(*) - count({c})) / count(*) null_share FROM raw" for c in _RAW_NAMES), "raw"))(lambda s, d: diagnostics.null_profile(raw_events(s, d)))
 _query("action_profile", _sql("""SELECT action_type, count(*) AS rows, count(DISTINCT user_id) unique_users, count(DISTINCT item_id) unique_items, count(*) - count(item_id) missing_items, count(*) - count(widget_name) missing_widgets,

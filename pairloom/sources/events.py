@@ -12,11 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.schemas import empty, require_columns, schema
-from pairloom.sources.files import exists, folders
+from pairloom.sources.files import exists, folders, joined, listed
 
 
-def payload_dir(base: str | Path, names: Sequence[str] = ()) -> Path:
-    """The first of ``base/name`` that exists, else ``base``."""
+def payload_dir(base: str | Path, names: Sequence[str] = ()) -> str | Path:
+    """The first of ``base/name`` that exists, else ``base``; a path in a store is a string."""
+    if "://" in str(base):
+        found = next((p for p in (*(joined(str(base), n) for n in names), str(base)) if exists(p)), None)
+        if found is None:
+            raise FileNotFoundError(f"no data under {base}")
+        return found
     for name in names:
         if (Path(base) / name).is_dir():
             return Path(base) / name
@@ -80,6 +85,14 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, inferSchema=True)
 
 
+def newest_results(spark: SparkSession, root: str, name: str = "results.csv") -> DataFrame:
+    """Results of the sweep below ``root`` that was written last."""
+    found = [f for f in listed(root) if f["path"].endswith(f"/{name}")]
+    if not found:
+        raise FileNotFoundError(f"no {name} under {root}")
+    return read_results(spark, max(found, key=lambda f: (f["mtime_ms"], f["path"]))["path"])
+
+
 def file_rows(spark: SparkSession, path: str) -> DataFrame:
     """Rows of each file. No column is read, so tasks open the files' footers and count from their row groups."""
     return spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"))

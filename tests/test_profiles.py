@@ -38,5 +38,9 @@ def test_records_and_labels(spark, tmp_path):
     append_record(f"{tmp_path}/t.csv", {"id": 2, "ndcg": 0.1})
     with open(f"{tmp_path}/t.csv") as f:
         assert list(csv.DictReader(f)) == [{"id": "1", "hit": "0.5", "ndcg": ""}, {"id": "2", "hit": "", "ndcg": "0.1"}]
+    append_record(f"file://{tmp_path}/deep/t.csv", {"id": 3, "note": "a, \"b\"\nc"})
+    append_record(f"file://{tmp_path}/deep/t.csv", {"id": 4})
+    with open(f"{tmp_path}/deep/t.csv", newline="") as f:
+        assert [r["note"] for r in csv.DictReader(f)] == ['a, "b"\nc', ""]
     shown = for_display(spark.createDataFrame([(1, 2, "fallback_category_type_popular"), (1, 3, None), (1, 4, "behavioral")], "item_id int, similar_item_id int, source string"))
     assert [r["source_label"] for r in shown.orderBy("similar_item_id").collect()] == ["popular by category and type", "unknown", "seen together"]

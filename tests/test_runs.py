@@ -14,7 +14,7 @@ from pairloom.plans import incremental, tuning
 from pairloom.plans.recommend import recommend, run, validation_truth, window
 from pairloom.schemas import empty, require_columns
 from pairloom.serving.lookup import SimilarItems
-from pairloom.sources.events import event_dates, extract_archive, file_rows, filter_dates, load_events, payload_dir, scan_events, scan_or_empty, scan_products
+from pairloom.sources.events import event_dates, extract_archive, file_rows, filter_dates, load_events, newest_results, payload_dir, scan_events, scan_or_empty, scan_products
 
 PROD = "item_id long, name string, brand string, type string, category_id long, category_name string"
 CONFIG = {"pipeline": {"session_timeout_minutes": 30, "lookback_days": 2, "top_k": 3}, "scoring": {"method": "calibrated_multichannel"}, "business": {"fallback": {"enabled": True, "top_k": 3}}, "evaluation": {"relevance_mode": "graded"}}
@@ -64,6 +64,19 @@ def test_sources(spark, tmp_path):
     assert sum(r["rows"] for r in file_rows(spark, root).collect()) == len(EVENTS)
     assert scan_or_empty(spark, [f"{tmp_path}/none"], "ground_truth").count() == 0
     assert payload_dir(tmp_path, ["x", "events"]).name == "events"
+    assert payload_dir(f"file://{tmp_path}", ["x", "events"]) == f"file://{tmp_path}/events"
+    with pytest.raises(FileNotFoundError):
+        payload_dir(f"file://{tmp_path}/none", ["x"])
+
+
+def test_newest_results(spark, tmp_path):
+    for k, name in enumerate(("b", "a", "c")):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "results.csv").write_text(f"trial_id,hit\n{name},0.{k}\n")
+        os.utime(tmp_path / name / "results.csv", (1000 + k % 2, 1000 + k % 2))
+    assert newest_results(spark, str(tmp_path)).first().asDict() == {"trial_id": "a", "hit": 0.1}
+    with pytest.raises(FileNotFoundError):
+        newest_results(spark, f"{tmp_path}/a/x")
 
 
 def test_archive(tmp_path):
