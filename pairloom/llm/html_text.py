@@ -2,7 +2,7 @@
 
 Pages of a host come from a template. A page is read once, as its elements, known by their paths of tags and classes,
 and its text blocks, known by path and text. Both are tokens; a token's occurrence vector is how often each page of the
-host has it, and tokens of equal vectors make an equivalence class. A vector is carried as an exclusive-or of hashes of
+host has it, and tokens of equal vectors make an equivalence class. A vector is carried as a sum of hashes of
 (page, count), which partial sums build before anything is shuffled, so a host with very many pages is no group that
 must meet in a task. Classes of enough pages and tokens are valid: their tokens are the host's template, and text blocks
 of it on half of the host's pages are fixed text.
@@ -11,8 +11,8 @@ Template elements nest by their paths. The main slot is the innermost one, if an
 ``SLOT_SHARE`` of the host's free text, which is neither fixed nor in an element that is rejected. A page's text is what its slots hold, in page order:
 all of the main slot, so that copies of an article within a host stay whole, and free text of the other slots. Names
 only reject: menus, headers, footers, sidebars, notices, adverts, forms, scripts and comments, by element, role and class
-words; and, where articles or main elements hold most of a host's free text, slots outside them. A host with too few
-pages for a class has no template; there, and in pages without a host, names alone decide.
+words; and, where articles or main elements hold most of a host's free text, what lies outside them. A host with too few
+pages for a class has no template; there, in pages without a host, and in those without the main slot, names alone decide.
 
 Defined results: null and empty pages have an empty text; very long pages are read whole, one to a batch if need be, and
 elements nested more than ``DEPTH`` deep share the path at that depth; every row gets one row, repeated rows alike; of
@@ -57,6 +57,8 @@ DROPPED_WORDS = frozenset(
     " newsletter subscribe subscription comment comments commentlist respond reply replies disqus sidebar sidebars aside widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs"
     " masthead footer share sharing social related recommended recommendations toolbar pagination pager login signup search form".split()
 )
+#: What a class name that says something of an element's surroundings starts with.
+MODIFIERS = ("has-", "with-", "no-", "without-")
 HEADER_WORDS = frozenset("header topbar site-header".split())
 MAIN = frozenset(["article", "main"])
 ROOTS = frozenset(["html", "body"])
@@ -86,7 +88,9 @@ class Element:
         from xxhash import xxh64_intdigest
 
         named = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTR.finditer(attrs)} if "=" in attrs else {}
-        words = set(_WORD.findall(f"{named.get('class', '')} {named.get('id', '')}"))
+        names = [n for n in f"{named.get('class', '')} {named.get('id', '')}".split() if not n.startswith(MODIFIERS)]
+        # an article, or what stands in a sentence, is rejected by a whole name only: compound ones say what it is about
+        words = set(names if tag == "article" or tag not in BLOCKS else _WORD.findall(" ".join(names)))
         inside = above is not None and above.main
         root = tag in ROOTS or tag == "main"
         self.tag = tag
@@ -221,7 +225,7 @@ def deduced(read: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of every host with a template (host, slot, in_article, template_tokens), slot null if no element holds enough; and fixed text (host, token)."""
     tokens = read.filter("host IS NOT NULL").select("host", "page", F.explode("tokens").alias("t")).select("host", "page", "t.*")
     seen = tokens.groupBy("host", "token").agg(
-        F.count("*").alias("pages"), F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.first("node").alias("node"), F.sum("chars").alias("chars"), F.sum("article").alias("article"), F.first("text").alias("text")
+        F.count("*").alias("pages"), F.sum(F.xxhash64("page", "n").cast("decimal(38,0)")).alias("vector"), F.first("node").alias("node"), F.sum("chars").alias("chars"), F.sum("article").alias("article"), F.first("text").alias("text")
     )
     seen = cut_lineage(seen)
     common = seen.filter(F.col("pages") >= SUPPORT)
@@ -252,16 +256,17 @@ def main_texts(pages: DataFrame) -> DataFrame:
     few = hosts.count() <= BROADCAST_HOSTS
     df = read.select("page_id", "url", "host", "page", "blocks").join(F.broadcast(hosts) if few else hosts, "host", "left")
     articles = F.coalesce("in_article", F.lit(True)) & F.exists("blocks", lambda b: b["main"])
+    in_slot = lambda b: F.coalesce(F.array_contains(b["chain"], F.col("slot")), F.lit(False))
+    df = df.withColumn("_slotted", F.exists("blocks", in_slot)).withColumn("_articles", articles)
     inside: Column = F.coalesce(F.array_contains(F.col("_chain"), F.col("slot")), F.lit(False))
-    loose = df.filter(~articles & F.col("template_tokens").isNotNull()).select("page", "host", "slot", F.explode("blocks").alias("b")).select("page", "host", F.col("b.token").alias("token"), F.col("b.chain").alias("_chain"), "slot")
+    loose = df.filter((F.col("_slotted") | ~F.col("_articles")) & F.col("template_tokens").isNotNull()).select("page", "host", "slot", F.explode("blocks").alias("b")).select("page", "host", F.col("b.token").alias("token"), F.col("b.chain").alias("_chain"), "slot")
     drops = cut_lineage(loose.filter(~inside).select("page", "host", "token").distinct().join(fixed, ["host", "token"]).groupBy("page").agg(F.collect_set("token").alias("_drops")))
     if drops.isEmpty():
         df = df.withColumn("_drops", F.lit(None).cast("array<bigint>"))
     else:
         df = df.join(drops, "page", "left")
-    in_slot = lambda b: F.coalesce(F.array_contains(b["chain"], F.col("slot")), F.lit(False))
     free = lambda b: in_slot(b) | F.col("_drops").isNull() | ~F.array_contains("_drops", b["token"])
-    kept = F.filter("blocks", lambda b: F.when(articles, b["main"]).otherwise(free(b)))
+    kept = F.filter("blocks", lambda b: (~F.col("_articles") | b["main"]) & (free(b) | (F.col("_articles") & ~F.col("_slotted"))))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), " ")
     return df.withColumn("text", text).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), F.coalesce("template_tokens", F.lit(0)).alias("template_tokens"))
 

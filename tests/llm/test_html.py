@@ -91,9 +91,40 @@ def test_templates_find_the_text_without_article_tags(spark):
         for v in vectors.values():
             count[tuple(sorted(v.items()))] += 1
         size = sum(n for v, n in count.items() if len(v) >= html_text.SUPPORT and n >= html_text.CLASS_SIZE)
-        # repeated rows cancel in the hashes, alike for all tokens; hosts without them agree exactly
-        if host:
-            assert {two[i][1] for i, u, _ in renamed if u.startswith(f"http://h{host}.")} == {size}
+        assert {two[i][1] for i, u, _ in renamed if u.startswith(f"http://h{host}.")} == {size}
+
+
+def test_repeated_rows_cancel_nothing(spark):
+    """A token on pages 0, 0 and 2 and one on 1, 1 and 2 are of different classes, though each is on three rows."""
+    texts = [("x",), ("y",), ("x", "y")]
+    page = lambda k: "<body>" + "".join(f"<p>{t} is here</p>" for t in texts[k]) + f"<p>{k} of its own, and longer than that by far</p></body>"
+    rows = [(k, "http://h.example/", page(k)) for k in (0, 0, 1, 1, 2)]
+    # both texts are on three of five rows: of one class they would be fixed text
+    got = {r["page_id"]: r["text"] for r in html_text.main_texts(pages(spark, rows)).collect()}
+    assert got[0].startswith("x is here") and got[1].startswith("y is here")
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        '<article class="post type-post comments-open"><p>Long body text</p></article>',
+        '<article class="tag-search category-form"><p>Long body text</p></article>',
+        '<div class="has-sidebar content"><p>Long body text</p></div>',
+        '<p>Long <a class="search-link" href="/s">body</a> text</p>',
+        '<p>Long body text</p><div class="cookie-banner">x</div><div id="comments" class="comments-area"><article class="comment">y</article></div>',
+    ],
+)
+def test_names_of_the_surroundings_reject_nothing(spark, html):
+    assert html_text.main_texts(pages(spark, [(1, "http://h.example/", f"<body>{html}</body>")])).first()["text"] == "Long body text"
+
+
+def test_articles_come_through_the_slot(spark):
+    """Fixed text within articles goes, and a byline of each page stays; other slots outside the article don't."""
+    page = lambda k: f"<body><p>Tip {k} of the day</p><article><h2>By author {k}</h2><div class=text><p>Body {k}, {'very ' * 40}long and different {k}</p></div><p>Follow us all</p></article></body>"
+    rows = [(k, "http://h.example/", page(k)) for k in range(8)]
+    for r in html_text.main_texts(pages(spark, rows)).collect():
+        k = r["page_id"]
+        assert r["text"] == f"By author {k} Body {k}, {'very ' * 40}long and different {k}"
 
 
 def test_large_sets_of_hosts_and_text_outside_the_slot(spark, monkeypatch):
