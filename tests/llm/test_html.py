@@ -120,11 +120,11 @@ def test_names_of_the_surroundings_reject_nothing(spark, html):
 
 def test_articles_come_through_the_slot(spark):
     """Fixed text within articles goes, and a byline of each page stays; other slots outside the article don't."""
-    page = lambda k: f"<body><p>Tip {k} of the day</p><article><h2>By author {k}</h2><div class=text><p>Body {k}, {'very ' * 40}long and different {k}</p></div><p>Follow us all</p></article></body>"
+    page = lambda k: f"<body><p>Tip {k} of the day</p><article><h2>By author {k}</h2><div class=text><p>Body {k}, {'very ' * 200}long and different {k}</p></div><p>Follow us all</p></article></body>"
     rows = [(k, "http://h.example/", page(k)) for k in range(8)]
     for r in html_text.main_texts(pages(spark, rows)).collect():
         k = r["page_id"]
-        assert r["text"] == f"By author {k} Body {k}, {'very ' * 40}long and different {k}"
+        assert r["text"] == f"By author {k} Body {k}, {'very ' * 200}long and different {k}"
 
 
 def test_large_sets_of_hosts_and_text_outside_the_slot(spark, monkeypatch):
