@@ -109,9 +109,11 @@ def merge_fallback(recommendations: DataFrame, popularity: DataFrame, products:
     A list and the pools of its item, one for each level, are short arrays, so an item is filled where it is: its pools
     are put one after the other, and as many candidates are taken as it lacks. Nothing is exploded before that, and
     recommendations are read once. Pools are written first, so Spark knows their size and broadcasts them only if they are
-    small; else a join by their key splits large keys. Popularity is written too, as it is read for several ends.
+    small; else a join by their key splits large keys. Popularity is written too, as it is read for several ends. Without a
+    catalogue and the level of all items there is nothing to fill from.
     """
-    if not settings.enabled or not settings.levels():
+    asked = _asked(settings, products is not None)
+    if not settings.enabled or not asked:
         return recommendations
     popularity = staged(popularity)
     usable = popularity.filter(F.col("item_id").isNotNull() & (F.coalesce("events_count", F.lit(0)) >= settings.min_item_events))
@@ -135,7 +137,6 @@ def merge_fallback(recommendations: DataFrame, popularity: DataFrame, products:
         lists = lists.join(sources.join(F.broadcast(groups)) if groups is not None else sources, item, "full_outer")
     if products is not None:
         lists = lists.join(catalogue(products).drop("name"), "item_id", "left")
-    asked = _asked(settings, products is not None)
     pools = staged(candidate_pools(popularity, products, settings).groupBy("level", "k1", "k2").agg(F.sort_array(F.collect_list(F.struct("place", "item_id")))["item_id"].alias("items")))
     for level, key in asked.items():
         of = pools.filter(F.col("level") == level).select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("items").alias(f"_{level}"))

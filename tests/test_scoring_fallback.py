@@ -75,6 +75,7 @@ def test_cascade(spark):
     assert {r["item_id"] for r in cold.collect()} == {1}
     assert merge_fallback(base, popularity.limit(0), products, FallbackSettings(enabled=True)).collect() == base.collect()
     assert merge_fallback(base, popularity, None, FallbackSettings(enabled=True, top_k=3)).filter("item_id = 1").count() == 3
+    assert merge_fallback(base, popularity, None, FallbackSettings(enabled=True, enable_global=False)).collect() == base.collect()
     with pytest.raises(ValueError, match="positive"):
         FallbackSettings(top_k=0)
 
