@@ -1,28 +1,35 @@
 """Licence scan over a positional rare-token index (operator 8), in DataFrame functions only.
 
-Templates are licence notices of one line and whole texts, which are cut into sentences, as names and years stand
-between them. How many files have each of their words is counted over all files; the ``INDEX_WORDS`` words of a notice or
-sentence with the highest inverse document frequency, with their places, make the index. Each file's index words are
-looked up; postings that agree on the distance between file and template place are counted together, and the distance
-of most weight is the candidate. It is verified there over all words of the template, weighed by inverse document
-frequency. A licence is named if a notice reaches ``LEAST_SCORE`` of its weight, or the sentences of its whole text
-together do, and its mandatory key phrase stands in the file. Every template is looked up by itself, so what else a file
-holds changes nothing.
-
-Words are runs of digits, A-Z taken as a-z, and all that is not ASCII; places count words from 0. Defined results: null
-and empty texts have no words and no label; very long texts are read whole; of distances of equal weight the smallest
-counts, of equally frequent words the first by name; every row gets one row, repeated rows alike; an empty table gives an
-empty result; null ids are kept. Columns beyond id and text are not read.
+Templates are licence notices of one line and whole texts, a sentence a line, as names and years stand between sentences;
+they are a table, and ``TEMPLATES`` are the ones that are taken where none is given. Each file is read once: the words that
+templates know are kept with their places, and all else follows from these hits.
+
+* How many files have each word is counted over all files. Of every sentence the words with the highest inverse document
+  frequency make the index, as many as carry ``INDEX_SHARE`` of its weight.
+* All files' index words are looked up first. Postings that agree on the distance between place in the file and place in
+  the sentence are counted together. A sentence that stands somewhere with ``LEAST_SCORE`` of its weight lacks no more
+  than the rest of it, so distances whose index words weigh too little can be left out without losing one.
+* What is left is verified over all words of the sentence, and its mandatory key phrases must stand in it: each
+  consecutively, at its aligned place or at most ``SHIFT`` words beside it. Key phrases are what a template differs in from
+  its siblings (``gnu general public license`` is no part of the lesser one's name).
+* A template is found if all its sentences with a key phrase are verified, and verified sentences make up ``LEAST_SCORE``
+  of its weight, which is its score. Every template is looked up by itself, so what else a file holds changes nothing.
+
+Words are runs of digits, A-Z taken as a-z, and all that is not ASCII; places count words from 0. Weights are whole
+millionths, so sums don't depend on their order. Defined results: null and empty texts have no words and no label; very
+long texts are read whole, and one that repeats a notice costs as much as the places it stands at; of equally frequent
+words the first by name is taken; every row gets one row, repeated rows alike; an empty table gives an empty result, an
+empty table of templates base labels alone; null ids are kept. Columns beyond id and text are not read. Of several licences
+in one SPDX expression the first is sure to be named.
 """
 
 from __future__ import annotations
 
-import re
 import string
-from functools import reduce
+from collections.abc import Sequence
+from dataclasses import dataclass
 from itertools import starmap
-from math import log
-from operator import or_
+from math import ceil, log
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,23 +43,46 @@ PHRASES = {
     "all rights reserved": "reserved",
 }
 
-# Label, notice, mandatory key phrase.
-TEMPLATES = [
-    ("apache-2.0", "licensed under the apache license version 2 0", "apache license"),
-    ("gpl-3.0", "gnu general public license version 3", "general public license version 3"),
-    ("gpl-2.0", "gnu general public license version 2", "general public license version 2"),
-    ("lgpl", "gnu lesser general public license", "lesser general public license"),
-    ("agpl", "gnu affero general public license", "affero general public license"),
-    ("cc-by-4.0", "licensed under cc by 4 0", "cc by 4 0"),
-    ("cc-by-sa-4.0", "licensed under cc by sa 4 0", "cc by sa"),
-    ("cc-by-nc-4.0", "licensed under cc by nc 4 0", "cc by nc"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "permission is hereby granted free of charge"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution and use in source and binary forms"),
-    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license", "mozilla public license"),
-    ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
+# Label, notice, mandatory key phrases.
+NOTICES = [
+    ("apache-2.0", "licensed under the apache license version 2 0", ["apache license", "version 2"]),
+    ("gpl-3.0", "gnu general public license version 3", ["gnu general public license", "version 3"]),
+    ("gpl-2.0", "gnu general public license version 2", ["gnu general public license", "version 2"]),
+    ("gpl-3.0", "gnu general public license as published by the free software foundation version 3", ["gnu general public license", "version 3"]),
+    ("gpl-2.0", "gnu general public license as published by the free software foundation version 2", ["gnu general public license", "version 2"]),
+    ("lgpl", "gnu lesser general public license", ["lesser general public license"]),
+    ("agpl", "gnu affero general public license", ["affero general public license"]),
+    ("cc-by-4.0", "licensed under cc by 4 0", ["cc by 4 0"]),
+    ("cc-by-sa-4.0", "licensed under cc by sa 4 0", ["cc by sa 4 0"]),
+    ("cc-by-nc-4.0", "licensed under cc by nc 4 0", ["cc by nc 4 0"]),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", ["permission is hereby granted free of charge"]),
+    ("mit", "released under the mit license", ["the mit license"]),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", ["redistribution and use in source and binary forms"]),
+    ("bsd", "released under the bsd license", ["the bsd license"]),
+    ("isc", "released under the isc license", ["the isc license"]),
+    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license", ["mozilla public license"]),
+    ("mpl-2.0", "mozilla public license version 2 0", ["mozilla public license", "2 0"]),
+    ("unlicense", "this is free and unencumbered software released into the public domain", ["free and unencumbered software"]),
 ]
 
-# Whole texts, in sentences.
+# Identifiers of the SPDX list, as words.
+SPDX = {
+    "apache-2.0": "apache 2 0",
+    "gpl-3.0": "gpl 3 0",
+    "gpl-2.0": "gpl 2 0",
+    "lgpl": "lgpl",
+    "agpl": "agpl",
+    "cc-by-4.0": "cc by 4 0",
+    "cc-by-sa-4.0": "cc by sa 4 0",
+    "cc-by-nc-4.0": "cc by nc 4 0",
+    "mit": "mit",
+    "bsd": "bsd",
+    "isc": "isc",
+    "mpl-2.0": "mpl 2 0",
+    "unlicense": "unlicense",
+}
+
+# Whole texts, a sentence a line.
 WHOLE = {
     "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
 The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
@@ -89,122 +119,176 @@ The software is provided "as is", without warranty of any kind, express or impli
 In no event shall the authors be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection with the software or the use or other dealings in the software.""",
 }
 
-# Mandatory key phrases of whole texts, any of them.
+# Mandatory key phrases of whole texts.
 WHOLE_KEYS = {
     "mit": ["permission is hereby granted free of charge"],
     "bsd": ["redistribution and use in source and binary forms"],
-    "isc": ["permission to use copy modify and or distribute this software"],
-    "apache-2.0": ["apache license", "apache org licenses license 2 0"],
-    "gpl-3.0": ["either version 3 of the license", "general public license version 3"],
-    "gpl-2.0": ["either version 2 of the license", "general public license version 2"],
-    "mpl-2.0": ["mozilla public license"],
+    "isc": ["permission to use copy modify"],
+    "apache-2.0": ["apache license", "version 2"],
+    "gpl-3.0": ["gnu general public license", "version 3"],
+    "gpl-2.0": ["gnu general public license", "version 2"],
+    "mpl-2.0": ["mozilla public license", "2 0"],
     "unlicense": ["free and unencumbered software"],
 }
 
-#: Words of a notice or sentence in the index.
-INDEX_WORDS = 6
-#: Least share of a template's weight at the best distance.
-LEAST_SCORE = 0.6
-_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
-_OTHER = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
-
-
-def _words(text: str) -> list[str]:
-    return re.findall(f"{_WORD}+", text.translate(str.maketrans(string.ascii_uppercase, string.ascii_lowercase)))
-
-
-#: Of every notice and sentence its licence, whether it is a notice, and its words; by licence its key phrases.
-UNITS = [(label, True, notice.split()) for label, notice, _ in TEMPLATES] + [(label, False, _words(line)) for label, text in WHOLE.items() for line in text.split("\n")]
-VOCABULARY = sorted({w for _, _, words in UNITS for w in words})
-LABELS = sorted({label for label, _, _ in UNITS})
-KEYS = {label: [key for name, _, key in TEMPLATES if name == label] + WHOLE_KEYS.get(label, []) for label in LABELS}
-
+#: (label, text, key phrases) of every template.
+TEMPLATES = [
+    *NOTICES,
+    *((label, f"spdx license identifier {name}", [f"identifier {name}"]) for label, name in SPDX.items()),
+    *((label, text, WHOLE_KEYS[label]) for label, text in WHOLE.items()),
+]
 
-def _any_of(phrases: list[str]) -> str:
-    """A pattern for whole words and word sequences, in either case."""
-    return rf"(?i)(?<!{_WORD})(?:" + "|".join(p.replace(" ", f"{_OTHER}+") for p in sorted(phrases)) + rf")(?!{_WORD})"
+#: Least share of the weight of a sentence at its place, and of a template in its sentences.
+LEAST_SCORE = 0.6
+#: Share of a sentence's weight in the index; above 1 - LEAST_SCORE, so that the index misses nothing.
+INDEX_SHARE = 0.6
+#: Words by which a key phrase may stand beside its aligned place.
+SHIFT = 2
+#: Words of all templates, which are broadcast.
+MAX_WORDS = 1_000_000
+_OTHER = "".join(c for c in map(chr, range(128)) if c not in string.digits + string.ascii_letters)
+
+
+def words_of(text: str) -> list[str]:
+    return text.translate(str.maketrans(string.ascii_uppercase + _OTHER, string.ascii_lowercase + " " * len(_OTHER))).split(" ")
+
+
+@dataclass(frozen=True)
+class Sentence:
+    """A line of a template, and where its key phrases stand in it."""
+
+    template: int
+    words: tuple[str, ...]
+    keys: tuple[tuple[str, int], ...]
+
+    def weights(self, idf: dict[str, int]) -> int:
+        return sum(idf[w] for w in self.words)
+
+    def rare(self, idf: dict[str, int]) -> list[tuple[str, int]]:
+        """Its rarest words, with all their places."""
+        chosen, weight = set(), 0
+        for w in sorted(set(self.words), key=lambda w: (-idf[w], w)):
+            if weight >= INDEX_SHARE * self.weights(idf):
+                break
+            chosen.add(w)
+            weight += idf[w] * self.words.count(w)
+        return [(w, at) for at, w in enumerate(self.words) if w in chosen]
+
+    def least(self, idf: dict[str, int]) -> int:
+        """What the index words weigh at least where it reaches ``LEAST_SCORE``."""
+        whole = self.weights(idf)
+        return sum(idf[w] for w, _ in self.rare(idf)) - whole + ceil(LEAST_SCORE * whole)
+
+
+def sentences(templates: Sequence[tuple[str, str, Sequence[str]]]) -> list[Sentence]:
+    """Every template's lines; a key phrase belongs to the first line that holds it."""
+    found = []
+    for k, (label, text, keys) in enumerate(templates):
+        lines = [words for line in text.split("\n") if (words := [w for w in words_of(line) if w])]
+        own: list[list[tuple[str, int]]] = [[] for _ in lines]
+        for key in map(str.split, keys):
+            at = next(((n, i) for n, words in enumerate(lines) for i in range(len(words)) if words[i : i + len(key)] == key), None)
+            if at is None:
+                raise ValueError(f"{label}: key phrase {' '.join(key)} is not in its text")
+            own[at[0]].append((" ".join(key), at[1]))
+        found += [Sentence(k, tuple(words), tuple(at)) for words, at in zip(lines, own, strict=True)]
+    if sum(len(s.words) for s in found) > MAX_WORDS:
+        raise ValueError(f"templates have more than {MAX_WORDS} words")
+    return found
+
+
+def template_table(spark: SparkSession) -> DataFrame:
+    """The own templates: (label, text, keys)."""
+    return spark.createDataFrame(TEMPLATES, "label string, text string, keys array<string>")
+
+
+def observed(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """(doc_id, _key, n_words, hits, places) for every row.
+
+    ``hits`` are the words of the vocabulary with their places, ``places`` has the word places of each fixed phrase.
+    """
+    df = distinct_names(docs, "doc_id", "text").select("doc_id", F.coalesce("text", F.lit("")).alias("_text"))
+    df = df.withColumn("_key", F.struct(F.xxhash64("_text").alias("a"), F.xxhash64("_text", F.lit(1)).alias("b")))
+    plain = F.translate("_text", string.ascii_uppercase + _OTHER, string.ascii_lowercase + " " * len(_OTHER))
+    df = df.withColumn("_words", F.array_remove(F.split(plain, " "), ""))
+    known = F.transform("_words", lambda w, i: F.when(w.isin(vocabulary), F.struct(w.alias("word"), i.alias("at"))))
+    df = df.select("doc_id", "_key", F.size("_words").cast("long").alias("n_words"), F.filter(known, lambda h: h.isNotNull()).alias("hits"))
+    return df.withColumn("places", F.array(*[_places(F.col("hits"), p) for p in PHRASES]))
 
 
-def _places(words: Column, phrase: str) -> Column:
+def _places(hits: Column, phrase: str) -> Column:
     """Where a phrase's words stand consecutively."""
     first, *rest = phrase.split()
 
-    def stands(i: Column) -> Column:
-        ok = F.get(words, i) == first
+    def stands(hit: Column, j: Column) -> Column:
+        ok = hit["word"] == first
         for k, w in enumerate(rest, 1):
-            ok = ok & (F.coalesce(F.get(words, i + k), F.lit("")) == w)
+            ok = ok & F.coalesce((F.get(hits, j + k)["word"] == w) & (F.get(hits, j + k)["at"] == hit["at"] + k), F.lit(False))
         return ok
 
-    return F.when(F.size(words) > 0, F.filter(F.sequence(F.lit(0), F.size(words) - 1), stands)).otherwise(F.array().cast("array<int>"))
-
-
-def _texts(docs: DataFrame) -> DataFrame:
-    df = distinct_names(docs, "doc_id", "text").select("doc_id", F.coalesce("text", F.lit("")).alias("_text"))
-    return df.withColumn("_lower", F.translate("_text", string.ascii_uppercase, string.ascii_lowercase))
+    return F.filter(hits, stands)["at"]
 
 
-def frequencies(docs: DataFrame) -> dict[str, float]:
-    """Inverse document frequency of every template word, over all files; the driver gets one row for each."""
-    own = F.array_intersect(F.regexp_extract_all("_lower", F.lit(f"{_WORD}+"), F.lit(0)), F.array(*map(F.lit, VOCABULARY)))
-    counts = _texts(docs).select(F.explode(F.concat(own, F.array(F.lit("")))).alias("word")).groupBy("word").count()
+def frequencies(found: DataFrame, vocabulary: list[str]) -> dict[str, int]:
+    """Inverse document frequency of every word in millionths, over all files; the driver gets one row for each."""
+    own = F.array_distinct(F.col("hits")["word"])
+    counts = found.select(F.explode(F.concat(own, F.array(F.lit("")))).alias("word")).groupBy("word").count()
     df = dict(map(tuple, counts.collect()))
-    return {w: log((df.get("", 0) + 2) / (df.get(w, 0) + 1)) for w in VOCABULARY}
-
-
-def index_words(idf: dict[str, float]) -> list[list[tuple[str, int]]]:
-    """Of every notice and sentence the rarest words, with all their places."""
-    rarest = [set(sorted(set(words), key=lambda w: (-idf[w], w))[:INDEX_WORDS]) for _, _, words in UNITS]
-    return [[(w, at) for at, w in enumerate(words) if w in rare] for (_, _, words), rare in zip(UNITS, rarest, strict=True)]
+    return {w: max(1, round(1e6 * log((df.get("", 0) + 2) / (df.get(w, 0) + 1)))) for w in vocabulary}
 
 
-def observed(docs: DataFrame, rare: list[str]) -> DataFrame:
-    """(doc_id, _key, n_words, places, hits, keys, words) for every row.
+def matched(found: DataFrame, idf: dict[str, int], units: list[Sentence], labels: list[str]) -> DataFrame:
+    """(_key, named, score): the licences found in each distinct text with an index word."""
+    spark = found.sparkSession
 
-    ``places`` has for each fixed phrase the word places, ``keys`` the licences of which a key phrase stands in the text,
-    ``hits`` the rare words with their places and ``words`` all of them, both only where there is a key. Only texts with
-    a phrase or a rare word are split into words.
+    def table(rows: list[tuple], schema: str) -> DataFrame:  # all tables are of fixed size, MAX_WORDS rows at most
+        return F.broadcast(spark.createDataFrame(rows, schema))
+
+    index = [(w, k, at, idf[w]) for k, s in enumerate(units) for w, at in s.rare(idf)]
+    rare = sorted({w for w, *_ in index})
+    keys = sorted({key for s in units for key, _ in s.keys})
+    postings = table(index, "word string, unit int, place int, weight long")
+    least = table([(k, s.least(idf)) for k, s in enumerate(units)], "unit int, least long")
+    every = table([(k, at, w, idf[w]) for k, s in enumerate(units) for at, w in enumerate(s.words)], "unit int, place int, word string, weight long")
+    key_words = table([(w, n, at, len(key.split())) for n, key in enumerate(keys) for at, w in enumerate(key.split())], "word string, phrase int, place int, size long")
+    key_places = table([(k, keys.index(key), at + by) for k, s in enumerate(units) for key, at in s.keys for by in range(-SHIFT, SHIFT + 1)], "unit int, phrase int, place int")
+    asked = table([(k, s.template, s.weights(idf), len({key for key, _ in s.keys})) for k, s in enumerate(units)], "unit int, template int, whole long, n_keys long")
+    own = [[s for s in units if s.template == t] for t in range(len(labels))]
+    totals = table([(t, label, sum(s.weights(idf) for s in own[t]), sum(bool(s.keys) for s in own[t])) for t, label in enumerate(labels)], "template int, label string, total long, n_lines long")
+
+    texts = cut_lineage(found.filter(F.exists("hits", lambda h: h["word"].isin(rare))).select("_key", "hits").dropDuplicates(["_key"]))
+    hit = texts.select("_key", F.explode("hits").alias("h")).select("_key", "h.word", "h.at")
+    aligned = hit.join(postings, "word").groupBy("_key", "unit", (F.col("at") - F.col("place")).alias("distance")).agg(F.sum("weight").alias("weight"))
+    candidates = cut_lineage(aligned.join(least, "unit").filter(F.col("weight") >= F.col("least")).select("_key", "unit", "distance"))
+    near = cut_lineage(hit.join(candidates.select("_key").distinct(), "_key", "left_semi"))
+
+    place = F.col("distance") + F.col("place")
+    expected = candidates.join(every, "unit").select("_key", "unit", "distance", place.alias("at"), "word", "weight")
+    there = expected.join(near, ["_key", "at", "word"]).groupBy("_key", "unit", "distance").agg(F.sum("weight").alias("got"))
+    phrases = near.join(key_words, "word").groupBy("_key", "phrase", "size", (F.col("at") - F.col("place")).alias("at")).count().filter(F.col("count") == F.col("size"))
+    wanted = candidates.join(key_places, "unit").select("_key", "unit", "distance", "phrase", place.alias("at"))
+    met = wanted.join(phrases.select("_key", "phrase", "at"), ["_key", "phrase", "at"]).groupBy("_key", "unit", "distance").agg(F.count_distinct("phrase").alias("met"))
+    checked = there.join(asked, "unit").filter(F.col("got") >= LEAST_SCORE * F.col("whole")).join(met, ["_key", "unit", "distance"], "left")
+    verified = checked.filter(F.coalesce("met", F.lit(0)) == F.col("n_keys")).groupBy("_key", "template", "unit").agg(F.max("got").alias("got"), F.max("n_keys").alias("n_keys"))
+    scores = verified.groupBy("_key", "template").agg(F.sum("got").alias("got"), F.count_if(F.col("n_keys") > 0).alias("lines")).join(totals, "template")
+    named = scores.filter((F.col("lines") == F.col("n_lines")) & (F.col("got") >= LEAST_SCORE * F.col("total")))
+    return named.groupBy("_key").agg(F.collect_set("label").alias("named"), F.max(F.col("got") / F.col("total")).alias("score"))
+
+
+def licenses(docs: DataFrame, templates: DataFrame | None = None) -> DataFrame:
+    """(doc_id, n_words, places, base_labels, labels, score) for every row; labels are sorted arrays.
+
+    ``templates`` has columns label, text and keys (array of mandatory key phrases, none to ask for none); the driver reads
+    it and refuses more than ``MAX_WORDS`` words.
     """
-    df = _texts(docs).withColumn("_key", F.struct(F.xxhash64("_text").alias("a"), F.xxhash64("_text", F.lit(1)).alias("b")))
-    df = df.withColumn("n_words", F.regexp_count("_text", F.lit(f"{_WORD}+")).cast("long"))
-    of_use = F.col("_text").rlike(_any_of([*PHRASES, *rare]))
-    df = df.withColumn("_words", F.when(of_use, F.regexp_extract_all("_lower", F.lit(f"{_WORD}+"), F.lit(0))).otherwise(F.array().cast("array<string>")))
-    words = F.col("_words")
-    df = df.withColumn("_line", F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" ")))
-    any_key = lambda label: reduce(or_, (F.col("_line").contains(f" {key} ") for key in KEYS[label]))
-    df = df.withColumn("keys", F.array_compact(F.array(*[F.when(any_key(label), F.lit(label)) for label in LABELS])))
-    hits = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("at"))), lambda s: s["word"].isin(rare))
-    with_key = lambda c: F.when(F.size("keys") > 0, c)
-    return df.select("doc_id", "_key", "n_words", F.array(*[_places(words, p) for p in PHRASES]).alias("places"), with_key(hits).alias("hits"), "keys", with_key(words).alias("words"))
-
-
-def matched(found: DataFrame, idf: dict[str, float], index: list[list[tuple[str, int]]]) -> DataFrame:
-    """(_key, named, score): the licences found in each distinct text with a key phrase."""
-    spark = found.sparkSession
-    texts = cut_lineage(found.filter(F.size("keys") > 0).select("_key", "hits", "keys", "words").dropDuplicates(["_key"]))
-    postings = spark.createDataFrame([(w, k, UNITS[k][0], at, idf[w]) for k, words in enumerate(index) for w, at in words], "word string, unit int, label string, place int, weight double")
-    units = spark.createDataFrame([(k, notice, words, float(sum(idf[w] for w in words))) for k, (_, notice, words) in enumerate(UNITS)], "unit int, notice boolean, template array<string>, whole double")
-    of_label = spark.createDataFrame([(label, float(sum(idf[w] for name, notice, words in UNITS if name == label and not notice for w in words))) for label in LABELS], "label string, total double")
-    hit = texts.select("_key", "keys", F.explode("hits").alias("h")).select("_key", "keys", "h.word", "h.at")
-    aligned = hit.join(F.broadcast(postings), "word").filter(F.array_contains("keys", F.col("label")))  # fixed size: the words of the templates
-    at_distance = aligned.groupBy("_key", "unit", "label", (F.col("at") - F.col("place")).alias("distance")).agg(F.sum("weight").alias("weight"))
-    best = at_distance.groupBy("_key", "unit", "label").agg(F.max(F.struct("weight", (-F.col("distance")).alias("back"))).alias("b")).select("_key", "unit", "label", (-F.col("b.back")).alias("distance"))
-    weigh = F.create_map(*[x for w in VOCABULARY for x in (F.lit(w), F.lit(float(idf[w])))])
-    there = F.transform("template", lambda w, i: F.when(F.when(F.col("distance") + i >= 0, F.get("words", F.col("distance") + i)) == w, F.element_at(weigh, w)).otherwise(F.lit(0.0)))
-    checked = best.join(F.broadcast(units), "unit").join(texts.select("_key", "words"), "_key").withColumn("got", F.aggregate(there, F.lit(0.0), lambda a, x: a + x))
-    scores = checked.groupBy("_key", "label").agg(F.max(F.when(F.col("notice"), F.col("got") / F.col("whole"))).alias("line"), F.sum(F.when(~F.col("notice"), F.col("got"))).alias("text"))
-    scores = scores.join(F.broadcast(of_label), "label").withColumn("score", F.greatest(F.coalesce("line", F.lit(0.0)), F.when(F.col("total") > 0, F.coalesce("text", F.lit(0.0)) / F.col("total")).otherwise(F.lit(0.0))))
-    named = scores.filter(F.col("score") >= LEAST_SCORE)
-    return named.groupBy("_key").agg(F.collect_set("label").alias("named"), F.least(F.round(F.max("score"), 9), F.lit(1.0)).alias("score"))
-
-
-def licenses(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_words, places, base_labels, labels, score) for every row; labels are sorted arrays."""
-    idf = frequencies(docs)
-    index = index_words(idf)
-    found = cut_lineage(observed(docs, sorted({w for words in index for w, _ in words})))
-    named = cut_lineage(matched(found, idf, index))
+    table = TEMPLATES if templates is None else [(r["label"], r["text"], r["keys"] or []) for r in templates.select("label", "text", "keys").toLocalIterator()]
+    units = sentences(table)
+    vocabulary = sorted({w for s in units for w in s.words} | {w for p in PHRASES for w in p.split()})
+    found = cut_lineage(observed(docs, vocabulary))
+    idf = frequencies(found, vocabulary)
+    named = cut_lineage(matched(found, idf, units, [label for label, *_ in table]))
     base = F.array_compact(F.array(*starmap(lambda k, label: F.when(F.size(F.col("places")[k]) > 0, F.lit(label)), enumerate(PHRASES.values()))))
-    df = found.join(named, "_key", "left").withColumn("base_labels", F.array_sort(base))
+    df = found.select("doc_id", "_key", "n_words", "places").join(named, "_key", "left").withColumn("base_labels", F.array_sort(base))
     own = F.coalesce("named", F.array().cast("array<string>"))
     score = F.greatest(F.coalesce("score", F.lit(0.0)), F.when(F.size("base_labels") > 0, F.lit(1.0)).otherwise(F.lit(0.0)))
     return df.select("doc_id", "n_words", "places", "base_labels", F.array_sort(F.array_distinct(F.concat("base_labels", own))).alias("labels"), score.alias("score"))
