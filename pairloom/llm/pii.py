@@ -1,14 +1,16 @@
 """Personal data by bootstrapped contextual extraction (operator 7), in DataFrame functions only.
 
 Seeds are well-formed e-mail addresses, IPs, payment cards, phone numbers and keys of known formats (kind ``secret``).
-Other tokens of an identifier's shape are unknown at first, long random-looking ones among them hopeful. An instance's
-lexical patterns are what stands around it: its last word with a mark behind it (``token = "``), its last two words,
+Other tokens of an identifier's shape are unknown at first. Long random-looking ones are hopeful where a credential is named
+just before them (``token = "``, ``api key:``); such names are seeds of contexts, as keys are seeds of instances, and without
+either no number of random-looking values makes a context trusted. An instance's lexical patterns are what stands around it: its last word with a mark behind it (``token = "``), its last two words,
 and either with the mark that follows the instance; words and marks are kept, white space isn't. Instances and patterns
 make a bipartite graph whose scores are refined in turns:
 
 * An instance is sure if it is a seed or a pattern that is trusted extracts it. It speaks against a pattern if it
-  isn't sure and the word before it names what isn't personal (``sha256:``), or if it also stands in an ordinary
-  context: one of ``SUPPORT`` distinct instances or more of which none is sure or hopeful.
+  isn't sure and one of the two words before it names what isn't personal (``sha256:``, ``the hash is``) and no credential
+  is named after that, or if it also stands in an ordinary context: one of ``SUPPORT`` distinct instances or more of
+  which none is sure or hopeful.
 * A pattern is trusted if it extracts ``SUPPORT`` distinct sure or hopeful instances or more, no fewer than unknown
   ones, and they are ``CONFIDENCE`` of them together with those that speak against it.
 
@@ -56,7 +58,11 @@ KEYS = (
     r"eyJ[0-9A-Za-z_-]{10,}\.eyJ[0-9A-Za-z_-]{10,}\.[0-9A-Za-z_-]{10,}",
 )
 # Words before what isn't personal.
-IMPERSONAL = "build checksum commit crc32 digest doi etag hash integrity isbn issn md5 part revision sha sha1 sha256 sha512 uuid version".split()
+IMPERSONAL = "blob build checksum commit crc32 digest doi etag fingerprint guid hash integrity isbn issn md5 part revision sha sha1 sha256 sha512 tree uuid version".split()
+# Ends of names of credentials, parts of names that are ones as a whole, and words that make a key one.
+CREDENTIALS = "apikey credential credentials passcode passphrase passwd password secret secrets token tokens".split()
+CREDENTIAL_PARTS = "auth authorization bearer pwd".split()
+KEY_OF = "access account api auth encryption license private secret session signing".split()
 #: A hopeful token: so many letters and digits, which alternate.
 HOPEFUL_LENGTH, HOPEFUL = 20, "^[0-9]*+(?:[A-Za-z]++[0-9]++){3,}+[A-Za-z]*+$"
 #: Marks behind a word that make it a pattern by itself.
@@ -123,10 +129,15 @@ def _patterns(s: Column) -> Column:
 
 
 def _state(s: Column) -> Column:
-    """What is known of a span before any turn."""
-    word = F.lower(F.regexp_extract(s["before"], rf"(?<!{_W})({_W}++){_NO_W}*+\z", 1))
+    """What is known of a span before any turn; of the two words before it the nearer one decides."""
+    word = lambda far: F.lower(F.regexp_extract(s["before"], rf"(?<!{_W})({_W}++){far}{_NO_W}*+\z", 1))
+    one, two = word(""), word(rf"{_NO_W}++{_W}++")
+    named = lambda c: c.rlike(rf"(?:{'|'.join(CREDENTIALS)})$|(?:^|_)(?:{'|'.join(CREDENTIAL_PARTS)})$|(?:{'|'.join(KEY_OF)})_?key$")
+    key = (one == "key") & two.isin(KEY_OF)
+    credential = named(one) | key | (named(two) & ~one.isin(IMPERSONAL))
     hopeful = (F.length(s["value"]) >= HOPEFUL_LENGTH) & s["value"].rlike(HOPEFUL)
-    return F.when(s["kind"] != FOUND, _SURE).when(word.isin(IMPERSONAL), _AGAINST).when(hopeful, _HOPEFUL).otherwise(_UNKNOWN)
+    against = one.isin(IMPERSONAL) | (two.isin(IMPERSONAL) & ~credential)
+    return F.when(s["kind"] != FOUND, _SURE).when(against, _AGAINST).when(hopeful & credential, _HOPEFUL).otherwise(_UNKNOWN)
 
 
 def _plain(spans: Column) -> Column:

@@ -91,6 +91,18 @@ def test_random_looking_keys_are_found_by_their_context(spark):
     assert not any(hex40(k) in r["text"] for k in range(5) for r in pii.redact(docs).collect())
 
 
+def test_random_looking_values_alone_make_no_context_of_secrets(spark):
+    """Hashes, however many and in whatever words; a seed or the name of a credential is needed."""
+    contexts = ["The file hash is {} as computed", "hex value {} ok", "git tree object {} ok", 'id = "{}" here', "blob at {}.", "(password hash: {})", "row key: {} end", "the primary key {} end"]
+    secrets = ['password: "{}" end', "my api key: {} here", "the password is {} here", "API_KEY={}\nnext", "accessToken: '{}', then", "secret key {} end", "authorization bearer {} end"]
+    rows = [(100 * k + i, f"text {i} " + c.format(hex40(1000 * k + i))) for k, c in enumerate(contexts + secrets) for i in range(12)]
+    got = {r[0]: r[6] for r in found(spark.createDataFrame(rows, "doc_id long, text string"))}
+    plain = {r: s for r, s in got.items() if r < 100 * len(contexts)}
+    assert set(plain.values()) == {""}, {contexts[r // 100] for r, s in plain.items() if s}
+    missed = {secrets[r // 100 - len(contexts)] for r, s in got.items() if r not in plain and "found" not in s}
+    assert not missed
+
+
 def plain_trusted(rows):
     """Trusted patterns by the rules, over plain sets."""
     edges = {}
