@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import bisect
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -39,8 +40,13 @@ from pairloom.llm.common import bound_batches, cut_lineage, distinct_names, read
 
 CAPACITY = 4096
 END_ID = 1
-#: Entries of a worker's word caches; when full, a cache starts anew.
+#: Entries of a worker's word cache, about; when full, it starts anew, and the one before is kept beside it.
 CACHE_ENTRIES = 600_000
+#: Letters whose normal form is their lower case, a letter again; small ones alone of A-Z.
+LETTERS = "a-zÀ-ÖØ-öø-įı-ɏ"
+#: Words that the tokenizer's pattern cuts as ``RUNS`` does.
+PLAIN = re.compile(f"[!-@\\[-~{LETTERS}]+")
+RUNS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+")
 #: Pieces of one length that meet in one ranking group, about.
 RANK_GROUP = 100_000
 #: The most segments a plan may have, 48 bytes each; from capacity and run splitting, checked before it is sent.
@@ -49,64 +55,97 @@ PIECE_COLUMNS = "doc_id", "piece", "start", "length", "ids_crc32"
 
 
 class WordEncoder:
-    """Token ids as little-endian bytes, by white-space separated words.
+    """Token ids as little-endian bytes, by white-space separated words in UTF-8.
 
     The tokenizer drops white space and no token spans it, so words are encoded independently. Words in the cache
-    cost a look-up; the library encodes the others.
+    cost a look-up. Missing ones of plain characters are cut into runs as the tokenizer's pattern cuts them; the library
+    encodes missing runs, without normalising and cutting them again, and the words that are left.
     """
 
     def __init__(self, tokenizer_file: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.of_runs = Tokenizer.from_file(tokenizer_file)
+        self.of_runs.normalizer = normalizers.Lowercase()
+        self.of_runs.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.special = re.compile(b"|".join(re.escape(token.content.encode()) for token in self.tokenizer.get_added_tokens_decoder().values()) or b"(?!)")
         vocabulary = self.tokenizer.get_vocab()
         self.closing = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a run
         self.closing[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {"": b""}
-        self.parts: dict[str, bytes] = {"": b""}
-
-    def _library(self, words: list[str]) -> dict[str, bytes]:
-        """Words of letters are one run of tokens each, so they are encoded as one text and cut after closing tokens."""
-        letters = [w for w in words if w.isalpha()]
-        found: dict[str, bytes] = {}
-        if letters:
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(letters)], add_special_tokens=False)[0].ids, "<u4")
-            ends = (4 * (np.flatnonzero(self.closing[ids]) + 1)).tolist()
-            if len(ends) == len(letters):
-                raw = ids.tobytes()
-                found = {w: raw[i:j] for w, i, j in zip(letters, [0, *ends], ends, strict=False)}
-        rest = [w for w in words if w not in found]
-        encoded = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
-        return found | {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(rest, encoded, strict=True)}
-
-    def learn(self, words: set[str]) -> None:
-        """Add missing words. Closing punctuation after plain letters and digits is a token run of its own."""
-        if len(self.words) + len(words) > CACHE_ENTRIES:
-            self.words = {"": b""}
-        if len(self.parts) >= CACHE_ENTRIES:
-            self.parts = {"": b""}
-        split = {}
-        for w in words:
-            base = w.rstrip(".,;:!?")
-            if base.isalpha() and "İ" not in base:  # its lower case ends in a mark, which would join the punctuation
-                split[w] = (base.lower() if base.isascii() else base, w[len(base) :])
-            else:
-                split[w] = (w, "")
-        parts = self.parts
-        if missing := [p for p in {p for pair in split.values() for p in pair} if p not in parts]:
-            for k in range(0, len(missing), 2_000):
-                parts.update(self._library(missing[k : k + 2_000]))
-        self.words.update((w, parts[a] + parts[b]) for w, (a, b) in split.items())
+        self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}  # the cache before; what is met again is taken over
+
+    def _lower(self, text: str) -> bytes:
+        """Lower-cases A-Z, if the ids surely stay the same: without marks (U+0300 to U+037F) and special tokens."""
+        raw = text.encode()
+        lower = raw.lower()
+        return raw if b"\xcc" in raw or b"\xcd" in raw or self.special.search(lower) else lower
+
+    def _runs(self, word: bytes) -> list[bytes]:
+        """Runs of a word of plain characters; none for other words."""
+        if word.isalpha():
+            return [word]
+        text = word.decode()
+        if not PLAIN.fullmatch(text) or self.special.search(word):
+            return []
+        return [r.encode() for r in RUNS.findall(text)]
+
+    def _whole(self, words: list[bytes]) -> dict[bytes, bytes]:
+        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        return {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(words, encoded, strict=True)}
+
+    def _joined(self, runs: list[bytes]) -> dict[bytes, bytes]:
+        """A run ends with its only closing token, so runs are encoded as one text and cut there."""
+        ids = np.array(self.of_runs.encode_batch_fast([b" ".join(runs).decode()], add_special_tokens=False)[0].ids, "<u4")
+        ends = (4 * (np.flatnonzero(self.closing[ids]) + 1)).tolist()
+        if len(ends) != len(runs):
+            return self._whole(runs)
+        raw = ids.tobytes()
+        return {r: raw[i:j] for r, i, j in zip(runs, [0, *ends], ends, strict=False)}
+
+    def learn(self, missing: set[bytes]) -> None:
+        """Add missing words and their runs."""
+        if len(self.words) + len(missing) > CACHE_ENTRIES:
+            self.older, self.words = self.words, {}
+        words, older = self.words, self.older
+        cut: dict[bytes, list[bytes]] = {}
+        new: set[bytes] = set()
+        others = []
+        for w in missing:
+            if (known := older.get(w)) is not None:
+                words[w] = known
+                continue
+            runs = self._runs(w)
+            if not runs:
+                others.append(w)
+            elif len(runs) > 1:
+                cut[w] = runs
+            for r in runs:
+                if r not in words:
+                    if (known := older.get(r)) is not None:
+                        words[r] = known
+                    else:
+                        new.add(r)
+        for some, encode in ((list(new), self._joined), (others, self._whole)):
+            for k in range(0, len(some), 2_000):
+                words.update(encode(some[k : k + 2_000]))
+        words.update((w, b"".join(map(words.__getitem__, runs))) for w, runs in cut.items())
 
     def encode(self, some: list[str]) -> list[bytes]:
         """Ids of texts; what is missing in the cache is learnt for all of them at once."""
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in some]
-        missing = set().union(*split).difference(self.words)
-        if missing:
-            full = len(self.words) + len(missing) > CACHE_ENTRIES
-            self.learn(set().union(*split) if full else missing)
-        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+        words: list[bytes] = []
+        ends = []
+        for text in some:
+            words += self._lower(text).split()
+            ends.append(len(words))
+        found = list(map(self.words.get, words))
+        if gaps := [k for k, ids in enumerate(found) if ids is None]:
+            self.learn({words[k] for k in gaps})
+            for k in gaps:
+                found[k] = self.words[words[k]]
+        return [b"".join(found[i:j]) for i, j in zip([0, *ends], ends, strict=False)]
 
 
 def _groups(some: Iterator[str], characters: int = 1 << 20) -> Iterator[list[str]]:

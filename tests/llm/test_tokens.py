@@ -75,6 +75,50 @@ def test_word_ids():
         assert ids == np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_ids_of_odd_words():
+    tokenizer, encoder = Tokenizer.from_file(WORDS), packing.WordEncoder(WORDS)
+    odd = "H\u0331 T\u0344 É e\u0301 Ǆ ŉ İ. × a÷b ß, 'S it's'll !'s 12,5 a*** <|ENDOFTEXT|> X<|endoftext|>Y <| a\x0bb a\x1cb a\x85b </w>".split(" ")
+    for some in ([w] for w in [*odd, " ".join(odd)]):
+        assert encoder.encode(some) == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in some]
+
+
+@pytest.fixture
+def counted(monkeypatch):
+    """An encoder, and the words that reach the library."""
+    encoder, reached = packing.WordEncoder(WORDS), []
+
+    class Counting:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def encode_batch_fast(self, some, **options):
+            reached.extend(w for t in some for w in t.split())
+            return self.tokenizer.encode_batch_fast(some, **options)
+
+    for name, value in list(vars(encoder).items()):
+        if isinstance(value, Tokenizer):
+            monkeypatch.setattr(encoder, name, Counting(value))
+    return encoder, reached
+
+
+def test_words_of_known_runs_do_not_reach_the_library(counted):
+    encoder, reached = counted
+    encoder.encode(["alpha élan 's 1 2 5 , *** ( )"])
+    assert reached
+    reached.clear()
+    assert [len(ids) > 0 for ids in encoder.encode(["Alpha*** (ALPHA) alpha's 12,5 élan***,"])] == [True]
+    assert reached == ["***,"]
+
+
+def test_words_in_use_outlive_a_full_cache(counted, monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_ENTRIES", 100)
+    encoder, reached = counted
+    for k in range(50):
+        encoder.encode(["alpha, beta " + " ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26)}{chr(97 + i)}q" for i in range(20))])
+    assert [reached.count(w) for w in ("alpha", ",", "beta")] == [1, 1, 1]
+    assert len(encoder.words) + len(encoder.older) <= 200
+
+
 @pytest.mark.parametrize("capacity", [10, 50, 4096])
 def test_plan_fills_sequences_without_gaps(capacity):
     rng = np.random.default_rng(capacity)
