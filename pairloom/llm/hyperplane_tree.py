@@ -64,27 +64,32 @@ class Tree:
                 continue
             d = distances(x[rows], self.splits[node])
             of = d.argmin(1)
-            for k in np.unique(of):
-                mine = of == k
-                met.append((node, int(k), d[mine]))
+            order = np.argsort(of, kind="stable")
+            rows, d = rows[order], d[order]
+            ends = np.searchsorted(of[order], np.arange(len(self.kids[node]) + 1))
+            for k in np.flatnonzero(np.diff(ends)).tolist():
+                mine = slice(ends[k], ends[k + 1])
+                met.append((node, k, d[mine]))
                 todo.append((int(self.kids[node][k]), rows[mine]))
         return leaf, met
 
     def reached(self, x: np.ndarray, near: np.ndarray, far: np.ndarray, slack: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(query, leaf) where a point may be within one of a query's annuli: ``near`` to ``far`` (query, annulus)."""
-        rows_of, leaves_of = [np.zeros(0, int)], [np.zeros(0, int)]
-        todo = [(self.top, np.arange(at, min(at + TOGETHER, len(x)))) for at in range(0, len(x), TOGETHER)]
+        """(query, leaf) where a point may be within one of a query's annuli: ``near`` to ``far`` (query, annulus); once for each at most."""
+        rows_of, leaves_of = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+        query, annulus = (a.astype(np.int32) for a in np.nonzero(near <= far))
+        near, far, slack = near[query, annulus], far[query, annulus], slack[query]
+        todo = [(self.top, np.arange(at, min(at + TOGETHER, len(query)))) for at in range(0, len(query), TOGETHER)]
         while todo:
             node, rows = todo.pop()
             if node < 0:
-                rows_of.append(rows)
-                leaves_of.append(np.full(len(rows), -1 - node))
+                rows_of.append(query[rows])
+                leaves_of.append(np.full(len(rows), -1 - node, np.int32))
                 continue
-            d = distances(x[rows], self.splits[node])[:, None, :]
-            low = np.maximum(np.maximum(d - far[rows][:, :, None], near[rows][:, :, None] - d), 0) - slack[rows][:, None, None]
-            high = d + far[rows][:, :, None] + slack[rows][:, None, None]
+            d = distances(self.splits[node], x[query[rows]])  # (split point, annulus)
+            low = np.maximum(np.maximum(d - far[rows], near[rows] - d), 0) - slack[rows]
+            high = d + (far + slack)[rows]
             for k in range(len(self.kids[node])):
-                meets = ((self.far[node][:, k] >= low) & (self.near[node][:, k] <= high)).all(2) & (near[rows] <= far[rows])
-                if (some := meets.any(1)).any():
-                    todo.append((int(self.kids[node][k]), rows[some]))
+                meets = ((self.far[node][:, k, None] >= low) & (self.near[node][:, k, None] <= high)).all(0)
+                if meets.any():
+                    todo.append((int(self.kids[node][k]), rows[meets]))
         return np.concatenate(rows_of), np.concatenate(leaves_of)

@@ -80,3 +80,74 @@ def test_annuli_lose_no_leaf():
     needed = {(i, int(leaf[j])) for w in (0, 1) for i, j in zip(*np.nonzero((d >= lower[:, [w]]) & (d <= upper[:, [w]])), strict=True)}
     assert needed <= asked
     assert len(asked) < 40 * tree.leaves / 2  # and most leaves are left out
+
+
+def test_anchors_are_stored_once(spark, monkeypatch):
+    """An anchor that asks many leaves is a row with sets of them; a row for each would be the whole table times the leaves."""
+    tables = []
+
+    def stored(df):
+        tables.append(cut(df))
+        return tables[-1]
+
+    cut = hard_negatives.cut_lineage
+    monkeypatch.setattr(hard_negatives, "cut_lineage", stored)
+    monkeypatch.setattr(hard_negatives, "LEAF", 5)
+    rng = np.random.default_rng(11)
+    rows = [(k * 25, v, k % 3) for k, v in enumerate(near(rng, 1200, 12, 1200, 0.1))]
+    assert found(spark, rows) == brute(rows)
+    assert max(t.count() for t in tables) <= 5 * 5 * 300  # what 300 anchors get, for five windows each
+
+
+def test_driver_gets_one_sample(spark, monkeypatch):
+    """Whatever the number of tasks, the driver gets one sample, not one from each task."""
+
+    def sent() -> dict[int, int]:
+        """Bytes that the driver got, by stage."""
+        none = spark._jvm.java.util.ArrayList()
+        stages = spark._jsc.sc().statusStore().stageList(none, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), none)
+        return {s.stageId(): s.resultSize() for s in map(stages.apply, range(stages.size()))}
+
+    monkeypatch.setattr(hard_negatives, "SAMPLE", 200)
+    monkeypatch.setattr(hard_negatives, "LEAF", 4096)
+    v = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda k: F.rand(3) - 0.5 + k * 0)
+    rows = hard_negatives.cut_lineage(spark.range(0, 8000, 1, 40).select(F.col("id").alias("vec_id"), v.cast("array<float>").alias("embedding"), (F.col("id") % 3).alias("label")))
+    monkeypatch.setattr(hard_negatives.Index, "search", lambda index, anchors, k, same: spark.createDataFrame([], "aid long, window int, vec_id long, score long, rank int"))
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))  # a task for each file
+    try:
+        before = sent()
+        hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+        assert 0 < max(n for stage, n in sent().items() if stage not in before) < 1 << 20
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize(("flood", "asking"), [(40, 7), (1000, 100)])
+def test_floods_of_ties(spark, monkeypatch, flood, asking):
+    """Hot groups of equal vectors, in leaves of many slices, of few and of many labels, and rows of one id."""
+    for name, value in (("FLOOD", flood), ("ASKING", asking), ("TOGETHER", asking), ("LEAF", 20), ("SLICE", 60), ("BLOCK", 16), ("GROUP", 9)):
+        monkeypatch.setattr(hard_negatives, name, value)
+    monkeypatch.setattr(hard_negatives, "bound_batches", lambda session: None)
+    rng = np.random.default_rng(3)
+    vectors = [[0.5, -0.25, 0.125]] * 300 + [[0.25, 0.5, -1.0]] * 100 + near(rng, 200, 3, 10, 0.05)
+    ids = [int(i) * 20 for i in rng.permutation(590)] + [100] * 10
+    rows = [(i, v, k % 2 if k < 250 else k) for k, (i, v) in enumerate(zip(ids, vectors, strict=True))]
+    assert found(spark, rows) == brute(rows)
+
+
+def test_slice_sifts_ties(monkeypatch):
+    """A slice gives what may be among the first of a window, whether few or many reach it, as floats and as doubles."""
+    rng = np.random.default_rng(8)
+    for kind, flood in (("i2", 10), ("i2", 1 << 20), ("f8", 10)):
+        monkeypatch.setattr(hard_negatives, "FLOOD", flood)
+        x, ids, labels = rng.integers(-2, 3, (500, 3)), rng.permutation(500), rng.integers(0, 3, 500).astype(str)
+        blocks = [hard_negatives._batch({"slice": [0], "cell": [c], "ids": [ids[c::4].tobytes()], "labels": [labels[c::4].tolist()], "v": [x[c::4].astype(kind).tobytes()]}, hard_negatives._BLOCK) for c in range(4)]
+        v, low, high = rng.integers(-2, 3, (9, 3)), np.array([[-4, 0]] * 9), np.array([[3, 2]] * 9)
+        anchors = {"aid": range(9), "anchor_id": range(9), "label": labels[:9].tolist(), "v": [r.astype(kind).tobytes() for r in v], "low": [r.tobytes() for r in low], "high": [r.tobytes() for r in high], "cell": [15] * 9}
+        for same in (True, False):
+            got = hard_negatives.Slice(blocks, 3, kind, 4, same).first(hard_negatives._batch(anchors, "aid long, anchor_id long, label string, v binary, low binary, high binary, cell long"))
+            rows = {a: {tuple(p) for p in np.frombuffer(f, np.int64).reshape(-1, 2).tolist()} for a, f in zip(*(c.to_pylist() for c in got.columns), strict=True)}
+            for a in range(9):
+                scored = sorted((-int(s), int(i)) for s, i, k in zip(x @ v[a], ids, labels, strict=True) if i != a and (k == labels[a]) == same)
+                first = {(i, -s) for lo, hi in zip(low[a], high[a], strict=True) for s, i in [p for p in scored if lo <= -p[0] <= hi][:4]}
+                assert rows.get(a, set()) == first
