@@ -34,11 +34,11 @@ ANCHOR_EVERY, RELABEL_EVERY, LABELS = 100, 7, 10
 #: Vectors that a cell has at least, where there are so many; vectors in the sample at most, and their bytes, which bound the tree.
 LEAF, SAMPLE, MAX_BYTES = 4096, 16_384, 32 << 20
 #: Vectors of a block, of a slice; anchors that pass through a slice in one task, beyond which it is sent again.
-BLOCK, SLICE, GROUP = 1024, 131_072, 262_144
+BLOCK, SLICE, GROUP = 1024, 65_536, 262_144
 #: Cells of a slice at most, as a set of them is a long; anchors that go down together, and that meet a block together; scores sifted at once.
 CELLS, ASKING, TOGETHER, FLOOD = 62, 128, 512, 65_536
 #: Vectors that go down the tree together.
-DOWN = 65_536
+DOWN = 16_384
 #: Squared length below which integer vectors have exact products as floats, and components of two bytes.
 SHORT = 2**24
 _LOWEST, _HIGHEST = -(2**63), 2**63 - 1
@@ -189,7 +189,7 @@ class Index:
         Leaves in order fill a cell up to ``LEAF`` vectors and cells a slice up to ``SLICE``; a leaf beyond that is many
         slices of a cell each.
         """
-        most = max(1, min(SLICE, MAX_BYTES // (4 * self.width if self.kind == "i2" else 8 * self.width)))
+        most = max(1, min(SLICE, MAX_BYTES // (8 * self.width)))
         self.slice_of, self.cell_of, self.slices_of, self.first_of = (np.zeros(len(sizes), np.int64) for _ in range(4))
         self.slice_starts: list[int] = []
         cells, full, in_cell, in_slice = 0, True, 0, 0  # ``full``: the next leaf starts a slice
